@@ -1,0 +1,27 @@
+"""Size-checked dimension lookups.
+
+A small dimension (ids -> names) can be used inside row-wise array expressions as a map value,
+computed once as a scalar subquery and shipped to every task like a broadcast. That is only done
+behind a checked bound on its size; beyond it callers take the relational path (explode, join,
+regroup), which scales with the dimension.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ENTRIES = 100_000
+
+
+def small_lookup(dim: DataFrame, key: str, value: str, max_entries: int = DEFAULT_MAX_ENTRIES) -> Column | None:
+    """``map(key -> value)`` of ``dim`` as a column, or None when ``dim`` is too large or its keys repeat.
+
+    Costs one count over the dimension. A repeated key would make a join emit several rows, which a
+    map cannot express, so it also sends the caller to the relational path.
+    """
+    keyed = dim.where(F.col(key).isNotNull())
+    stats = keyed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("k")).first()
+    if stats is None or stats["n"] > max_entries or stats["n"] != stats["k"]:
+        return None
+    return keyed.agg(F.map_from_entries(F.collect_list(F.struct(key, value)))).scalar()
