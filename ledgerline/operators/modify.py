@@ -158,14 +158,17 @@ def ingredient_usage_delivered(lines: DataFrame, orders: DataFrame, bridge: Data
     """
     shipped = delivered(lines, orders)
     if method == "relational":
-        ids = tagged_toppings(line_ids(shipped), bridge).select("topping_id")
+        ids = tagged_toppings(line_ids(shipped), bridge).select("topping_id", F.lit(1).alias("_w"))
     else:
-        res = resolve_modifications(shipped, bridge)
+        # resolve each distinct (item, exclusions, extras) once, weighted by its number of lines:
+        # the grouping combines map-side, so the array work no longer grows with the line count
+        combos = shipped.groupBy("pizza_id", "exclusions", "extras").agg(F.count(F.lit(1)).alias("_w"))
+        res = resolve_modifications(combos, bridge)
+        used = F.col("ingredient_ids")
         if count_extras_twice:
             doubled = F.array_except(F.array_intersect(F.col("extra_ids"), F.col("recipe_ids")), F.col("exclusion_ids"))
-            ids = res.select(F.explode(F.concat(F.col("ingredient_ids"), doubled)).alias("topping_id"))
-        else:
-            ids = res.select(F.explode("ingredient_ids").alias("topping_id"))
-    per_id = ids.groupBy("topping_id").agg(F.count(F.lit(1)).alias("_n"))
+            used = F.concat(used, doubled)
+        ids = res.select(F.explode(used).alias("topping_id"), "_w")
+    per_id = ids.groupBy("topping_id").agg(F.sum("_w").alias("_n"))
     return (per_id.join(toppings, "topping_id").groupBy("topping_name")
             .agg(F.sum("_n").cast("long").alias("total_quantity")))

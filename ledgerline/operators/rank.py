@@ -1,8 +1,9 @@
 """Per-key ranking building blocks (first/last/favourite, top-k, line ids).
 
 Skew: one key may hold a large share of the rows, so the top-1 forms are plain aggregations
-(partial aggregation map-side, no sort of a key's rows), and "keep ties" uses an aggregate of the
-best value joined back on (key, value), so a hot key is spread by the second join column.
+(partial aggregation map-side, no sort of a key's rows), "keep ties" is a rank filter that Spark
+pre-applies per map task (``WindowGroupLimit``), and ranks over a whole key are computed on its
+distinct order values only.
 """
 
 from __future__ import annotations
@@ -26,10 +27,14 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
 
 
 def keep_best_ties(df: DataFrame, keys: Sequence[str], order: str, descending: bool = False) -> DataFrame:
-    """Rows whose ``order`` value is the best within their key (``DENSE_RANK() = 1``, ties kept)."""
-    best = (F.max if descending else F.min)(order).alias(order)
-    top = df.groupBy(*keys).agg(best)
-    return df.join(top, on=[*keys, order], how="inner")
+    """Rows whose ``order`` value is the best within their key (``DENSE_RANK() = 1``, ties kept).
+
+    Planned with a partial ``WindowGroupLimit`` before the shuffle: every map task forwards only
+    its best-ranked rows per key, so a hot key is reduced before it reaches one task.
+    """
+    o = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
+    w = Window.partitionBy(*keys).orderBy(o)
+    return df.withColumn("_rank", F.dense_rank().over(w)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def dense_ranks(df: DataFrame, keys: Sequence[str], order: str, out: str) -> DataFrame:
