@@ -26,7 +26,7 @@ def shared_input(spark: SparkSession, name: str, scope: str, build: Callable[[],
         raise ValueError(f"mode must be one of {MODES}")
     if mode == "none":
         return build()
-    view = f"ll_{name}_{zlib.crc32(scope.encode()):08x}"
+    view = f"ll_{name}_{mode}_{zlib.crc32(scope.encode()):08x}"
     if spark.catalog.tableExists(view):
         return spark.table(view)
     df = build()
