@@ -36,7 +36,9 @@ def as_reported(df: DataFrame) -> DataFrame:
     """Final result typing shared with the SQL oracle.
 
     Whole decimals and small integers become BIGINT, fractional decimals become DOUBLE (the exact
-    value converted once, at the very end). Everything else is left alone.
+    value converted once, at the very end), and DATE becomes midnight TIMESTAMP_NTZ (a date and a
+    timestamp travel differently through pandas; a timestamp arrives the same way from both engines).
+    Everything else is left alone; the operators themselves keep their exact types.
     """
     cols = []
     for field in df.schema.fields:
@@ -46,5 +48,7 @@ def as_reported(df: DataFrame) -> DataFrame:
             c = c.cast(T.LongType() if dt.scale == 0 else T.DoubleType())
         elif isinstance(dt, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast(T.LongType())
+        elif isinstance(dt, T.DateType):
+            c = c.cast(T.TimestampNTZType())
         cols.append(c.alias(field.name))
     return df.select(*cols)

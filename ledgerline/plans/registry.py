@@ -196,6 +196,18 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
 }
 
 
+# Integer measures that can be NULL are reported as DOUBLE: pandas has no NULL for a plain integer
+# column, so each engine would otherwise hand such a column over in its own way.
+NULLABLE_INT_AS_DOUBLE = {
+    "clean_duration": ("duration",),
+    "rank_member_purchases": ("ranking",),
+    "delivery_summary": ("rating",),
+}
+
+
 def build(key: str, spark: SparkSession, sf_dir: str, inputs: Inputs | None = None) -> DataFrame:
     """The registered query ``key`` on the tables in ``sf_dir``, with the shared result typing."""
-    return as_reported(QUERIES[key](inputs or Inputs(spark, sf_dir)))
+    df = as_reported(QUERIES[key](inputs or Inputs(spark, sf_dir)))
+    for c in NULLABLE_INT_AS_DOUBLE.get(key, ()):
+        df = df.withColumn(c, F.col(c).cast("double"))
+    return df
