@@ -44,7 +44,9 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
     keys = only or list(QUERIES)
-    spark = build_session(f"local[{cpus}]", app="ledgerline-bench", shuffle_partitions=2 * cpus,
+    # small inputs: one shuffle partition per core (AQE coalesces further); clusters size this by data volume
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = build_session(f"local[{cpus}]", app="ledgerline-bench", shuffle_partitions=partitions,
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     build_sec = build_inputs(spark, sf_dir)
     for key in keys:  # warm-up: JIT, file listing caches
