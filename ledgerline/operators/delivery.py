@@ -217,16 +217,15 @@ def delivery_summary(lines: DataFrame, orders: DataFrame, ratings: DataFrame) ->
     """One row per successful order (and per distinct customer/order time of it) with rating
     (NULL if unrated), times, pickup minutes, duration, speed and number of lines.
 
-    Lines are reduced per order in one aggregation, so the order-level frame is hash-partitioned by
-    order_id and the joins with runner orders and ratings reuse that partitioning.
+    The two order-level frames (distinct customer/order time per order, line count per order) are
+    both de-duplicated or counted map-side before their shuffle; no per-order list is collected, so
+    an order with very many lines costs one row per distinct (customer, order time).
     """
-    per_order = lines.groupBy("order_id").agg(
-        F.count("pizza_id").alias("total_pizzas"),
-        F.collect_set(F.struct("customer_id", "order_time")).alias("_who"))
-    who = per_order.select("order_id", "total_pizzas", F.explode("_who").alias("_w")).select(
-        "order_id", "total_pizzas", "_w.customer_id", "_w.order_time")
+    who = lines.select("order_id", "customer_id", "order_time").distinct()
+    sizes = lines.groupBy("order_id").agg(F.count("pizza_id").alias("total_pizzas"))
     ok = orders.where(F.col("cancellation").isNull())
-    j = ok.join(who, "order_id").join(ratings.select("order_id", "rating"), "order_id", "left")
+    j = (ok.join(who, "order_id").join(sizes, "order_id")
+         .join(ratings.select("order_id", "rating"), "order_id", "left"))
     return j.select(
         "customer_id", "order_id", "runner_id", "rating", "order_time", "pickup_time",
         round_ratio(seconds_between(F.col("order_time"), F.col("pickup_time")), F.lit(60), 0).alias("pickup_minutes"),

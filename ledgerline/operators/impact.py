@@ -50,9 +50,10 @@ def before_after(mart: DataFrame, event_date: str, weeks: int, year: int | None
     ``weeks - 1`` after it, their difference and % change (2 decimals). Weeks do not wrap across
     years. If the event date is not in the mart, every figure is NULL.
     """
-    w = event_week(mart, event_date, week_col=week_col)
     df = mart if year is None else mart.where(F.col("calendar_year") == year)
-    wk, m = F.col(week_col), F.col(measure)
+    # the looked-up week is projected once, so the plan carries a single scalar subquery
+    df = df.select(week_col, measure, event_week(mart, event_date, week_col=week_col).alias("_event_week"))
+    w, wk, m = F.col("_event_week"), F.col(week_col), F.col(measure)
     found = w.isNotNull()
     before = F.sum(F.when(found, F.when(wk.between(w - weeks, w - 1), m).otherwise(0)))
     after = F.sum(F.when(found, F.when(wk.between(w, w + weeks - 1), m).otherwise(0)))
