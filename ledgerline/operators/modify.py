@@ -3,12 +3,14 @@
 A line's final ingredient set is ``(recipe ∪ extras) − exclusions`` (a topping is dropped as soon
 as it is excluded; an extra already in the recipe counts once). Two equivalent forms:
 
-* **array form** (default): lists stay arrays on the line; set algebra, id->name lookup and sorting
-  are row-wise array expressions. No shuffle per line; the recipe sets and the topping map are
-  small dimensions (the map is size-checked, see ``plans.lookup``).
+* **per distinct modification** (default): lists become arrays and the set algebra is row-wise; the
+  work that depends on the lists (resolution, name join, ordering, rendering) runs once per
+  distinct list or (item, exclusions, extras) combination and is joined back to the lines, so per
+  line only a hash-join probe remains. Joins with the dimensions are planned by size (broadcast
+  when the measured size allows, shuffle otherwise); nothing is collected to the driver.
 * **relational form**: the tagged UNION ALL of recipe/extra/exclusion rows, grouped per
-  (line, topping) with a HAVING on exclusions, then joined and re-aggregated per line. Used when
-  the topping dimension is too large for a map, and as the cross-check of the array form.
+  (line, topping) with a HAVING on exclusions, then joined and re-aggregated per line: the
+  reference's own plan, kept as the cross-check of the default form.
 """
 
 from __future__ import annotations
@@ -18,10 +20,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import split_ids
 from ledgerline.operators.delivery import delivered
-from ledgerline.operators.rank import number_lines
-from ledgerline.plans.lookup import DEFAULT_MAX_ENTRIES, small_lookup
+from ledgerline.operators.rank import expand_ranges, line_number_ranges, number_lines
 
-LINE_CONTENT = ["pizza_id", "exclusions", "extras", "customer_id", "order_time"]
+# A line's outputs depend only on its item and modification lists, so lines are numbered within their
+# order by these columns; lines tied on them give identical output rows whatever number each gets.
+LINE_CONTENT = ["pizza_id", "exclusions", "extras"]
 
 
 def _empty() -> Column:
@@ -52,27 +55,32 @@ def resolve_modifications(lines: DataFrame, bridge: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- D21 labels
 
-def _names(ids: Column, lookup: Column) -> Column:
-    return F.filter(F.transform(ids, lambda x: F.try_element_at(lookup, x)), lambda n: n.isNotNull())
+def _list_labels(lines: DataFrame, toppings: DataFrame, col: str, prefix: str, out: str) -> DataFrame:
+    """``prefix`` + topping names in list order, once per distinct list text (ids without a topping are
+    skipped; a list with no known topping gets no label)."""
+    lists = lines.where(F.col(col).isNotNull()).select(F.col(col).alias("_list")).distinct()
+    exploded = lists.select("_list", F.posexplode(split_ids(F.col("_list"))).alias("_pos", "topping_id"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("_pos", "topping_name"))), lambda s: s["topping_name"])
+    return (exploded.join(toppings, "topping_id").groupBy("_list")
+            .agg(F.concat(F.lit(prefix), F.array_join(ordered, ", ")).alias(out)))
 
 
-def _part(prefix: str, names: Column) -> Column:
-    return F.when(F.size(names) > 0, F.concat(F.lit(prefix), F.array_join(names, ", ")))
-
-
-def order_item_label(lines: DataFrame, names: DataFrame, toppings: DataFrame, method: str = "auto",
-                     max_lookup: int = DEFAULT_MAX_ENTRIES) -> DataFrame:
+def order_item_label(lines: DataFrame, names: DataFrame, toppings: DataFrame, method: str = "lists") -> DataFrame:
     """``Name - Exclude a, b - Extra c, d`` per line; absent parts skipped; ids without a topping
-    are ignored; names keep list order. Lines whose item has no name are dropped (inner join)."""
-    lookup = small_lookup(toppings, "topping_id", "topping_name", max_lookup) if method != "relational" else None
-    if lookup is None:
+    are ignored; names keep list order. Lines whose item has no name are dropped (inner join).
+
+    Default: each distinct list text is labelled once (explode, join, regroup; bounded by one list)
+    and the labels are joined back to the lines by list text. Per line that is a hash-join probe;
+    the planner broadcasts the label tables when their measured size allows, else shuffles.
+    """
+    if method == "relational":
         return _order_item_label_relational(lines, names, toppings)
-    # the map is projected once as a column: subqueries cannot sit inside lambda functions
-    m = F.col("_lookup")
-    excl = _part("Exclude ", _names(split_ids(F.col("exclusions")), m))
-    extra = _part("Extra ", _names(split_ids(F.col("extras")), m))
-    return lines.join(names, "pizza_id").withColumn("_lookup", lookup).select(
-        "order_id", "pizza_id", F.concat_ws(" - ", F.col("pizza_name"), excl, extra).alias("order_item"))
+    excl = _list_labels(lines, toppings, "exclusions", "Exclude ", "_excl").withColumnRenamed("_list", "_excl_list")
+    extra = _list_labels(lines, toppings, "extras", "Extra ", "_extra").withColumnRenamed("_list", "_extra_list")
+    j = (lines.join(names, "pizza_id")
+         .join(excl, F.col("exclusions") == F.col("_excl_list"), "left")
+         .join(extra, F.col("extras") == F.col("_extra_list"), "left"))
+    return j.select("order_id", "pizza_id", F.concat_ws(" - ", "pizza_name", "_excl", "_extra").alias("order_item"))
 
 
 def _order_item_label_relational(lines: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
@@ -101,24 +109,41 @@ def _render(items: Column) -> Column:
         ", ")
 
 
+def rendered_combinations(lines: DataFrame, bridge: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
+    """``Name: 2x Extra, Other, …`` once per distinct (pizza_id, exclusions, extras) of ``lines``.
+
+    Combinations that keep no named ingredient, or whose item has no name, give no row.
+    """
+    combos = resolve_modifications(lines.select(*LINE_CONTENT).distinct(), bridge)
+    exploded = combos.select(*LINE_CONTENT, "extra_ids", F.explode("ingredient_ids").alias("topping_id"))
+    named = exploded.join(toppings, "topping_id").select(
+        *LINE_CONTENT, F.struct(F.col("topping_name").alias("name"),
+                                F.array_contains(F.col("extra_ids"), F.col("topping_id")).alias("is_extra")).alias("_item"))
+    per_combo = named.groupBy(*LINE_CONTENT).agg(F.collect_list("_item").alias("_items"))
+    return per_combo.join(names, "pizza_id").select(
+        *LINE_CONTENT, F.concat(F.col("pizza_name"), F.lit(": "), _render(F.col("_items"))).alias("ingredient_list"))
+
+
 def ingredient_list_with_multiplier(lines: DataFrame, bridge: DataFrame, names: DataFrame, toppings: DataFrame,
-                                    method: str = "auto", max_lookup: int = DEFAULT_MAX_ENTRIES) -> DataFrame:
+                                    method: str = "combinations") -> DataFrame:
     """Per line ``Name: 2x Extra, Other, …`` ordered by topping name (bytewise).
 
     Output (order_id, record_id, ingredient_list). Lines with no remaining ingredient, or whose
-    item has no name, give no row (inner joins in the reference).
+    item has no name, give no row (inner joins in the reference). Default: every distinct
+    (item, exclusions, extras) is resolved and rendered once, then joined (NULL-safe) to the
+    numbered line ranges of each order and expanded to one row per line.
     """
-    lookup = small_lookup(toppings, "topping_id", "topping_name", max_lookup) if method != "relational" else None
-    if lookup is None:
+    if method == "relational":
         return _ingredient_list_relational(lines, bridge, names, toppings)
-    res = resolve_modifications(line_ids(lines), bridge).withColumn("_lookup", lookup)
-    items = F.filter(
-        F.transform("ingredient_ids", lambda x: F.struct(F.try_element_at(F.col("_lookup"), x).alias("name"),
-                                                          F.array_contains(F.col("extra_ids"), x).alias("is_extra"))),
-        lambda s: s["name"].isNotNull())
-    rendered = res.select("order_id", "record_id", "pizza_id", items.alias("_items")).where(F.size("_items") > 0)
-    return rendered.join(names, "pizza_id").select(
-        "order_id", "record_id", F.concat(F.col("pizza_name"), F.lit(": "), _render(F.col("_items"))).alias("ingredient_list"))
+    ranges = line_number_ranges(lines, "order_id", LINE_CONTENT)
+    rendered = rendered_combinations(lines, bridge, names, toppings).select(
+        *[F.col(c).alias(f"_r_{c}") for c in LINE_CONTENT], "ingredient_list")
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in LINE_CONTENT]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    joined = ranges.join(rendered, cond).select("order_id", "_n", "_first", "ingredient_list")
+    return expand_ranges(joined, "record_id").select("order_id", "record_id", "ingredient_list")
 
 
 def tagged_toppings(numbered: DataFrame, bridge: DataFrame) -> DataFrame:

@@ -58,21 +58,33 @@ def top_n(df: DataFrame, order: Sequence, n: int = 1) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def number_lines(df: DataFrame, key: str, content: Sequence[str], out: str = "line_no",
-                 chunk: int = 1 << 20) -> DataFrame:
-    """Number the rows of each ``key`` 1..n, ordered by ``content`` (NULLs first).
+def line_number_ranges(df: DataFrame, key: str, content: Sequence[str]) -> DataFrame:
+    """Per (key, distinct content): ``_first`` and ``_n`` such that its rows are numbered
+    ``_first .. _first + _n - 1`` within the key, in content order (NULLs first).
 
     ``ROW_NUMBER() OVER ()`` is unordered; identical rows are interchangeable, so rows are counted
-    per distinct content first and numbered by cumulative counts: a key with many identical rows
-    costs one row in the window, not n. The numbers are generated in chunks of at most ``chunk``
-    so that no single array grows with a hot key.
+    per distinct content first (map-side) and numbered by cumulative counts: a key with many
+    identical rows costs one row in the window, not n. Work that depends only on the content can
+    run on these ranges before :func:`expand_ranges` turns them back into one row per line.
     """
     counted = df.groupBy(key, *content).agg(F.count(F.lit(1)).alias("_n"))
     w = (Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in content])
          .rowsBetween(Window.unboundedPreceding, -1))
-    offset = F.coalesce(F.sum("_n").over(w), F.lit(0))
-    n, off, c = F.col("_n"), F.col("_off"), F.col("_c")
-    return (counted.withColumn("_off", offset)
+    return counted.withColumn("_first", F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1)
+
+
+def expand_ranges(ranges: DataFrame, out: str = "line_no", chunk: int = 1 << 20) -> DataFrame:
+    """One row per number of each range; numbers are generated in chunks of at most ``chunk``, so no
+    single array grows with a hot key."""
+    n, first, c = F.col("_n"), F.col("_first"), F.col("_c")
+    return (ranges
             .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk).cast("long"))))
-            .withColumn(out, F.explode(F.sequence(off + c * chunk + 1, off + F.least(n, (c + 1) * chunk))))
-            .drop("_n", "_off", "_c"))
+            .withColumn(out, F.explode(F.sequence(first + c * chunk, first + F.least(n, (c + 1) * chunk) - 1)))
+            .drop("_n", "_first", "_c"))
+
+
+def number_lines(df: DataFrame, key: str, content: Sequence[str], out: str = "line_no",
+                 chunk: int = 1 << 20) -> DataFrame:
+    """Number the rows of each ``key`` 1..n, ordered by ``content`` (NULLs first); the result has the
+    key, the content columns and ``out``. See :func:`line_number_ranges`."""
+    return expand_ranges(line_number_ranges(df, key, content), out, chunk)

@@ -1 +1 @@
-"""Planning choices made explicit: size-checked lookups, the query registry and its SQL oracle."""
+"""Planning choices made explicit: the query registry, its SQL oracle and input materialisation."""

@@ -47,7 +47,7 @@ def orders(spark):
     ], ORDER_SCHEMA)
 
 
-@pytest.mark.parametrize("method", ["auto", "relational"])
+@pytest.mark.parametrize("method", ["lists", "relational"])
 def test_order_item_labels(spark, method):
     names, toppings, _ = dims(spark)
     got = rows(modify.order_item_label(lines(spark), names, toppings, method=method))
@@ -61,7 +61,7 @@ def test_order_item_labels(spark, method):
     ], key=repr)
 
 
-@pytest.mark.parametrize("method", ["auto", "relational"])
+@pytest.mark.parametrize("method", ["combinations", "relational"])
 def test_ingredient_lists(spark, method):
     names, toppings, bridge = dims(spark)
     got = rows(modify.ingredient_list_with_multiplier(lines(spark), bridge, names, toppings, method=method))
@@ -143,10 +143,10 @@ def bound(spark):
 
 
 def test_array_and_relational_forms_agree_on_driver_tables(spark, bound):
-    a = modify.ingredient_list_with_multiplier(bound.lines, bound.bridge, bound.names, bound.toppings, method="auto")
+    a = modify.ingredient_list_with_multiplier(bound.lines, bound.bridge, bound.names, bound.toppings)
     r = modify.ingredient_list_with_multiplier(bound.lines, bound.bridge, bound.names, bound.toppings, method="relational")
     assert a.exceptAll(r).count() == 0 and r.exceptAll(a).count() == 0
-    a = modify.order_item_label(bound.lines, bound.names, bound.toppings, method="auto")
+    a = modify.order_item_label(bound.lines, bound.names, bound.toppings)
     r = modify.order_item_label(bound.lines, bound.names, bound.toppings, method="relational")
     assert a.exceptAll(r).count() == 0 and r.exceptAll(a).count() == 0
     a = modify.ingredient_usage_delivered(bound.lines, bound.orders, bound.bridge, bound.toppings, method="array")

@@ -1,5 +1,5 @@
 """Paths that only matter at scale, exercised on small data: chunked line numbering for a hot key,
-the size-checked lookup falling back to the relational form, and table materialisation."""
+unknown ids and unnamed items in the label forms, and table materialisation."""
 
 import datetime as dt
 
@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import modify
 from ledgerline.operators.rank import dense_rank_distinct, first_per_key, number_lines
-from ledgerline.plans.lookup import small_lookup
 from ledgerline.plans.registry import Inputs, build
 from tests.conftest import SF_SMALL, rows
 
@@ -34,12 +33,20 @@ def test_rank_helpers_on_a_skewed_key(spark):
     assert sorted(r[0] for r in ranked.where("k = 1").select("r").distinct().collect()) == list(range(1, 11))
 
 
-def test_lookup_bound_falls_back_to_relational(spark):
-    bound = Inputs(spark, SF_SMALL, mode="none")
-    assert small_lookup(bound.toppings, "topping_id", "topping_name", max_entries=5) is None
-    fallback = modify.order_item_label(bound.lines, bound.names, bound.toppings, max_lookup=5)
-    mapped = modify.order_item_label(bound.lines, bound.names, bound.toppings)
-    assert fallback.exceptAll(mapped).count() == 0 and mapped.exceptAll(fallback).count() == 0
+def test_unknown_ids_and_missing_names_are_dropped_like_inner_joins(spark):
+    names = spark.createDataFrame([(1, "Meatlovers")], "pizza_id int, pizza_name string")
+    toppings = spark.createDataFrame([(1, "Bacon"), (2, "Beef")], "topping_id int, topping_name string")
+    bridge = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "pizza_id int, topping_id int")
+    lines = spark.createDataFrame([(1, 1, 1, "9", "9, 2", None), (1, 1, 2, None, None, None), (2, 1, 1, "1, 2", "9", None)],
+                                  "order_id long, customer_id long, pizza_id int, exclusions string, extras string, "
+                                  "order_time timestamp_ntz")
+    for method in ("lists", "relational"):
+        assert rows(modify.order_item_label(lines, names, toppings, method=method)) == [
+            (1, 1, "Meatlovers - Extra Beef"), (2, 1, "Meatlovers - Exclude Bacon, Beef")]
+    for method in ("combinations", "relational"):
+        # order 2 keeps only the unknown extra 9: no named ingredient, no row; pizza 2 has no name
+        assert rows(modify.ingredient_list_with_multiplier(lines, bridge, names, toppings, method=method)) == [
+            (1, 1, "Meatlovers: Bacon, 2x Beef")]
 
 
 def test_table_materialisation_mode(spark):
