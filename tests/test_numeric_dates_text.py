@@ -65,3 +65,30 @@ def test_split_ids_and_bytewise_order(spark):
     assert [r[0] for r in df.select(split_ids(F.col("s"))).collect()] == [[2, 6], [4], None]
     names = spark.createDataFrame([("Beef",), ("Bacon",), ("BBQ Sauce",)], "n string")
     assert names.agg(F.array_join(F.array_sort(F.collect_list("n")), ", ")).first()[0] == "BBQ Sauce, Bacon, Beef"
+
+
+def test_round_ratio_matches_exact_decimal_rounding(spark):
+    from decimal import ROUND_HALF_UP, localcontext
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    pairs = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.integers(-10 ** 15, 10 ** 15), st.integers(-10 ** 6, 10 ** 6).filter(lambda d: d != 0),
+           st.integers(0, 4))
+    def collect(n, d, scale):
+        pairs.append((n, d, scale))
+
+    collect()
+    df = spark.createDataFrame(pairs, "n long, d long, s int")
+    got = {}
+    for scale in range(5):
+        part = df.where(F.col("s") == scale).select("n", "d", round_ratio(F.col("n"), F.col("d"), scale).alias("r"))
+        got.update({(r["n"], r["d"], scale): r["r"] for r in part.collect()})
+    with localcontext() as ctx:
+        ctx.prec = 60
+        for n, d, scale in pairs:
+            want = (Decimal(n) / Decimal(d)).quantize(Decimal(1).scaleb(-scale), rounding=ROUND_HALF_UP)
+            assert got[(n, d, scale)] == want, (n, d, scale)
