@@ -1,0 +1,26 @@
+"""Broadcast behind a measured size bound.
+
+The planner broadcasts a join side when its *estimate* is small. A side derived from a large table
+(for example the distinct modification lists of all order lines) is estimated as large even when it
+is tiny, so the big side gets shuffled for a sort-merge join; at runtime AQE can still switch to a
+broadcast, but only after both sides have been shuffled. ``checked_broadcast`` counts the small
+side first (one extra, cheap job) and hints the broadcast only when the count is within the bound;
+beyond it the join stays a shuffle join, which scales with the side.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 200_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    ``bound_by``, when given, is a cheaper frame with at least as many rows as ``df`` (e.g. the
+    distinct keys ``df`` is computed from); it is counted instead of ``df``.
+    """
+    n = (df if bound_by is None else bound_by).limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

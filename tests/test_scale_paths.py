@@ -54,3 +54,15 @@ def test_table_materialisation_mode(spark):
     tabled = build("impact_by_region", spark, SF_SMALL, Inputs(spark, SF_SMALL, mode="table"))
     assert rows(cached) == rows(tabled)
     assert any(t.name.startswith("ll_clean_weekly_sales_table_") for t in spark.catalog.listTables())
+
+
+def test_checked_broadcast_bound_and_fallback_agree(spark):
+    from ledgerline.plans.broadcast import checked_broadcast
+    small = spark.range(10)
+    assert checked_broadcast(small, 10).count() == 10 and checked_broadcast(small, 5).count() == 10
+    bound = Inputs(spark, SF_SMALL, mode="none")
+    for fn, args in ((modify.order_item_label, (bound.lines, bound.names, bound.toppings)),
+                     (modify.ingredient_list_with_multiplier, (bound.lines, bound.bridge, bound.names, bound.toppings))):
+        hinted = fn(*args)
+        shuffled = fn(*args, max_broadcast_rows=0)  # beyond the bound: plain shuffle join
+        assert hinted.exceptAll(shuffled).count() == 0 and shuffled.exceptAll(hinted).count() == 0
