@@ -6,8 +6,9 @@ as it is excluded; an extra already in the recipe counts once). Two equivalent f
 * **per distinct modification** (default): lists become arrays and the set algebra is row-wise; the
   work that depends on the lists (resolution, name join, ordering, rendering) runs once per
   distinct list or (item, exclusions, extras) combination and is joined back to the lines, so per
-  line only a hash-join probe remains. Joins with the dimensions are planned by size (broadcast
-  when the measured size allows, shuffle otherwise); nothing is collected to the driver.
+  line only a hash-join probe remains. The per-list / per-combination tables are broadcast back
+  only within a counted bound (``plans.broadcast.checked_broadcast``), dimension joins are planned
+  by size, and nothing is collected to the driver.
 * **relational form**: the tagged UNION ALL of recipe/extra/exclusion rows, grouped per
   (line, topping) with a HAVING on exclusions, then joined and re-aggregated per line: the
   reference's own plan, kept as the cross-check of the default form.
