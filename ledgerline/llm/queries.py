@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import language, line_crf
-from ledgerline.llm.common import held_out, read, ship
+from ledgerline.llm import fourier, language, line_crf, planes, spaced_seeds
+from ledgerline.llm.common import held_out, read, save, ship
 
 
 def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,25 @@ def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.judge(docs, line_crf.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planes.token_files(read(spark, sf_dir, "documents"), tokenizer_path(), planes="byte")
+
+
+def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_seeds.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op6_fourier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = save(fourier.measured(read(spark, sf_dir, "documents")), "statistics")
+    return fourier.scored(stats, fourier.fit(stats, read(spark, sf_dir, "labels")))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = language.identify(docs, language.learn(docs), "doc_id")
@@ -31,7 +50,7 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
     return run
 
 
-QUERIES = {f.__name__: _with_package(f) for f in (op1_line_crf, op7_language)}
+QUERIES = {f.__name__: _with_package(f) for f in (op1_line_crf, op2_bit_planes, op4_spaced_seeds, op6_fourier, op7_language)}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {}
