@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import fourier, language, line_crf, planes, spaced_seeds
+from ledgerline.llm import fourier, language, line_crf, mixing, planes, spaced_seeds
 from ledgerline.llm.common import held_out, read, save, ship
 
 
@@ -27,6 +27,10 @@ def op2_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.token_files(read(spark, sf_dir, "documents"), tokenizer_path(), planes="byte")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(read(spark, sf_dir, "documents"))
+
+
 def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seeds.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -50,7 +54,7 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
     return run
 
 
-QUERIES = {f.__name__: _with_package(f) for f in (op1_line_crf, op2_bit_planes, op4_spaced_seeds, op6_fourier, op7_language)}
+QUERIES = {f.__name__: _with_package(f) for f in (op1_line_crf, op2_bit_planes, op3_mixing, op4_spaced_seeds, op6_fourier, op7_language)}
 
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_mixing": mixing.SQL}
