@@ -43,8 +43,8 @@ from ledgerline.llm.common import batches, save, shared_path, texts
 MAGIC = b"LPL1"
 #: Ids of a block, ids after which a task begins a new file, and the id put after each document.
 BLOCK, FILE_IDS, END_ID = 1 << 16, 1 << 23, 0
-#: Pieces of text whose ids a worker keeps; beyond that it starts anew.
-KEPT_PIECES, KEPT_TOKENS = 500_000, 500_000
+#: Pieces of text, and tokens before merging, whose ids a worker keeps.
+KEPT_PIECES, KEPT_TOKENS = 700_000, 1_600_000
 
 _SPACES = re.compile(r" (?:\s|$)")
 _CUT = re.compile(r"(?<=\S)(?= )|(?= \S)")
@@ -85,16 +85,20 @@ class Encoder:
 
 
 class _Kept(dict):
+    """Values made once, in two generations: what is not asked for while a generation fills up is dropped."""
+
     def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key: str) -> bytes:
-        self[key] = value = self.make(key)
+        value = self.older.get(key)
+        self[key] = value = self.make(key) if value is None else value
         return value
 
     def trim(self) -> None:
-        if len(self) > self.most:
+        if len(self) > self.most // 2:
+            self.older = dict(self)
             self.clear()
 
 
