@@ -50,6 +50,7 @@ _SPACES = re.compile(r" (?:\s|$)")
 _CUT = re.compile(r"(?<=\S)(?= )|(?= \S)")
 #: The split rule of the byte-level tokenizer; only used for letters up to U+024F, where all versions agree.
 _TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_MARKS = ".,;:!?#$%&*|()"
 _PLAIN = re.compile(r"[\x00-ɏ]*\Z").match
 
 
@@ -66,10 +67,32 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.tokens = _Kept(self._encode, KEPT_TOKENS)
-        self.words = _Kept(lambda word: self._split(" " + word), KEPT_PIECES)
+        self.words = _Kept(self._word, KEPT_PIECES)
+        self.model = self.tokenizer.model
+        self.one = struct.Struct("<I").pack
 
     def _encode(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        letters = piece[1:] if piece[0] == " " else piece
+        if letters.isascii() and letters.isalpha():  # one token for the split rule; the model takes it as it is, a space as U+0120
+            return b"".join([self.one(t.id) for t in self.model.tokenize("\u0120" + letters if piece[0] == " " else piece)])
+        return b"".join(map(self.one, self.tokenizer.encode(piece, add_special_tokens=False).ids))
+
+    def _word(self, word: str) -> bytes:
+        """A word after a space. Letters with marks behind them, and several of them with line ends between, need no pattern."""
+        if not word or not (word.isascii() or _PLAIN(word)):
+            return self._split(" " + word)
+        out, space = [], " "
+        for part in word.split("\n"):
+            core = part.rstrip(_MARKS)
+            if not core.isalpha():
+                return self._split(" " + word)
+            if not space:
+                out.append(self.tokens["\n"])
+            out.append(self.tokens[space + core])
+            if len(core) < len(part):
+                out.append(self.tokens[part[len(core) :]])
+            space = ""
+        return b"".join(out)
 
     def _split(self, piece: str) -> bytes:
         if not _PLAIN(piece):
