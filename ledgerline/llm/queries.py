@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import disclosure, fourier, language, licenses, line_crf, mixing, planes, spaced_seeds
+from ledgerline.llm import disclosure, fourier, language, licenses, line_crf, mixing, planes, shingle_join, spaced_seeds
 from ledgerline.llm.common import held_out, read, save, ship
 
 
@@ -50,6 +50,10 @@ def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.private(read(spark, sf_dir, "documents")).drop("all_spans")
 
 
+def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.grouped(read(spark, sf_dir, "documents")).drop("sig")
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"), licenses.template_table(spark))
 
@@ -62,7 +66,7 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
     return run
 
 
-QUERIES = {f.__name__: _with_package(f) for f in (op1_line_crf, op2_bit_planes, op3_mixing, op4_spaced_seeds, op6_fourier, op7_language, op8_disclosure, op10_licenses)}
+QUERIES = {f.__name__: _with_package(f) for f in (op1_line_crf, op2_bit_planes, op3_mixing, op4_spaced_seeds, op6_fourier, op7_language, op8_disclosure, op9_shingle_join, op10_licenses)}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op10_licenses": licenses.SQL}
