@@ -186,5 +186,17 @@ def identify(docs: DataFrame, reference: Reference, *keep: str) -> DataFrame:
     return source.mapInArrow(run, _ddl(docs.select(*keep)) + ", lang_pred string, score double, bits double")
 
 
+def placed(docs: DataFrame, reference: Reference) -> DataFrame:
+    """The documents, all their columns, that have a language (any but ``und``)."""
+    shared = docs.sparkSession.sparkContext.broadcast(reference)
+
+    def run(parts):
+        parser = _parser(shared.value)
+        for batch in parts:
+            yield batch.filter(pa.array([parser.predict(t)[0] != UNKNOWN for t in texts(batch)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)

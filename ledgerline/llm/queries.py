@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import disclosure, fourier, language, licenses, line_crf, mixing, planes, shingle_join, spaced_seeds
+from ledgerline.llm import disclosure, fourier, language, licenses, line_crf, mixing, planes, repeats, shingle_join, spaced_seeds
 from ledgerline.llm.common import held_out, read, save, ship
 
 
@@ -35,6 +35,10 @@ def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seeds.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(read(spark, sf_dir, "documents"))
+
+
 def op6_fourier(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = save(fourier.measured(read(spark, sf_dir, "documents")), "statistics")
     return fourier.scored(stats, fourier.fit(stats, read(spark, sf_dir, "labels")))
@@ -66,7 +70,7 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
     return run
 
 
-QUERIES = {f.__name__: _with_package(f) for f in (op1_line_crf, op2_bit_planes, op3_mixing, op4_spaced_seeds, op6_fourier, op7_language, op8_disclosure, op9_shingle_join, op10_licenses)}
+QUERIES = {f.__name__: _with_package(f) for f in (op1_line_crf, op2_bit_planes, op3_mixing, op4_spaced_seeds, op5_repeats, op6_fourier, op7_language, op8_disclosure, op9_shingle_join, op10_licenses)}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op10_licenses": licenses.SQL}

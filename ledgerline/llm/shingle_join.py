@@ -28,8 +28,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.llm.common import batches, save, texts
 from ledgerline.llm.components import components
@@ -247,6 +248,30 @@ def forest(group: pd.DataFrame, percent: int = PERCENT) -> list[tuple[int, int]]
     return out
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents, all their columns, of which each group of linked ones keeps one: the smallest id, then the least text.
+
+    A document that is its group's representative is told by its own set and id, so only ids and sets are joined, not texts.
+    Empty sets stay. Groups of null ids only keep the set with the least signature."""
+    found = save(grouped(docs).filter(F.col("n_shingles") > 0), "groups")
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("sig").alias("sig"))
+    schema = docs.schema
+
+    def tagged(parts):
+        for batch in parts:
+            tokens = [shingles(t) for t in texts(batch)]
+            sigs = pa.array([signature(t) if len(t) else None for t in tokens], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, sigs], names=[*batch.schema.names, "group_sig"])
+
+    own = docs.mapInArrow(tagged, T.StructType([*schema.fields, T.StructField("group_sig", T.LongType())]))
+    packed = own.select(F.struct(*schema.names).alias("row"), "group_sig")
+    kept = packed.filter(F.col("group_sig").isNotNull()).join(first.withColumnsRenamed({"sig": "s", "component_id": "c"}), (F.col("group_sig") == F.col("s")) & F.col("row.doc_id").eqNullSafe(F.col("c")), "left_semi")
+    # equal rows of an id and set: one of them
+    order = Window.partitionBy("row.doc_id", "group_sig").orderBy("row.text")
+    one = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == 1)
+    return packed.filter(F.col("group_sig").isNull()).select("row.*").unionByName(one.select("row.*"))
+
+
 def grouped(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and sig of every document."""
     index = save(indexed(docs, frequency_levels(docs)), "shingle-index")

@@ -154,13 +154,11 @@ def contaminated(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MAS
     return found
 
 
-def uncontaminated(docs: DataFrame, items: DataFrame, keep: list[str], **how) -> DataFrame:
-    """``keep`` columns of the documents that overlap with no item, in one scan for each block of items.
+def uncontaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
+    """The documents, all their columns, that overlap with no item, in one scan for each block of items.
 
     Unlike a join on ids this also holds for null and repeated ids."""
-    schema = docs.select(*keep).schema
-    spark = docs.sparkSession
-    left = docs.select(*keep)
+    spark, left = docs.sparkSession, docs
     for block in blocks(items, how.get("block_words", BLOCK_WORDS)):
         shared = spark.sparkContext.broadcast(block)
 
@@ -168,7 +166,7 @@ def uncontaminated(docs: DataFrame, items: DataFrame, keep: list[str], **how) ->
             index = Items(shared.value, how.get("masks", MASKS))
             for batch in parts:
                 clean = [next(index.overlaps(t, how.get("min_words", MIN_WORDS), how.get("min_share", MIN_SHARE), how.get("min_identity", MIN_IDENTITY)), None) is None for t in texts(batch)]
-                yield batch.filter(pa.array(clean))
+                yield batch.filter(pa.array(clean, pa.bool_()))
 
-        left = left.mapInArrow(run, schema)
+        left = left.mapInArrow(run, docs.schema)
     return left
