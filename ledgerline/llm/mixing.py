@@ -165,9 +165,8 @@ def mixed_rows(docs: DataFrame, **how) -> DataFrame:
     """The documents' own columns, each row once for each epoch that shows it."""
     rows = save(counted(docs), "counted")
     names = docs.columns
-    tagged = docs.withColumns({"mix_source": F.coalesce("source", F.lit(_NONE)), "mix_id": _identity()})
     # the row goes along as one struct, so that none of its columns can clash with those added here
-    packed = tagged.select(F.struct(*names).alias("mix_row"), "mix_source", "mix_id")
+    packed = docs.select(F.struct(*names).alias("mix_row"), F.coalesce("source", F.lit(_NONE)).alias("mix_source"), _identity().alias("mix_id"))
     return realise(packed, plan(rows, **how), how.get("seed", SEED)).select("mix_row.*")
 
 

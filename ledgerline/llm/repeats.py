@@ -221,7 +221,9 @@ def covered_by_halving(contexts: DataFrame) -> DataFrame:
         out = out.unionByName(marked.filter("whole_repeats").select("key", (F.col("at") - F.col("s2")).alias("start"), (F.col("at") + LENGTH - F.col("s1")).alias("stop")))
         middle = F.floor((F.col("s1") + F.col("s2")) / 2).cast("int")
         halves = F.array(F.struct(F.col("s1").alias("s1"), middle.alias("s2")), F.struct((middle + 1).alias("s1"), F.col("s2").alias("s2")))
-        open_ranges = marked.filter("NOT whole_repeats AND core_repeats AND s1 < s2").withColumn("h", F.explode(halves))
+        # of equal ranges that are covered, one goes on: others may share a part of it
+        open_ranges = marked.filter("core_repeats AND s1 < s2")
+        open_ranges = open_ranges.filter("NOT whole_repeats").unionByName(open_ranges.filter("whole_repeats").dropDuplicates(["whole"])).withColumn("h", F.explode(halves))
         state = open_ranges.select("grp", "key", "at", "before", "after", "v1", "v2", "h.s1", "h.s2")
 
 

@@ -255,16 +255,18 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Empty sets stay. Groups of null ids only keep the set with the least signature."""
     found = save(grouped(docs).filter(F.col("n_shingles") > 0), "groups")
     first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("sig").alias("sig"))
-    schema = docs.schema
+    schema, own_sig = docs.schema, "group_sig"
+    while own_sig in docs.columns:
+        own_sig += "_"
 
     def tagged(parts):
         for batch in parts:
             tokens = [shingles(t) for t in texts(batch)]
             sigs = pa.array([signature(t) if len(t) else None for t in tokens], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, sigs], names=[*batch.schema.names, "group_sig"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, sigs], names=[*batch.schema.names, own_sig])
 
-    own = docs.mapInArrow(tagged, T.StructType([*schema.fields, T.StructField("group_sig", T.LongType())]))
-    packed = own.select(F.struct(*schema.names).alias("row"), "group_sig")
+    own = docs.mapInArrow(tagged, T.StructType([*schema.fields, T.StructField(own_sig, T.LongType())]))
+    packed = own.select(F.struct(*schema.names).alias("row"), F.col(own_sig).alias("group_sig"))
     kept = packed.filter(F.col("group_sig").isNotNull()).join(first.withColumnsRenamed({"sig": "s", "component_id": "c"}), (F.col("group_sig") == F.col("s")) & F.col("row.doc_id").eqNullSafe(F.col("c")), "left_semi")
     # equal rows of an id and set: one of them
     order = Window.partitionBy("row.doc_id", "group_sig").orderBy("row.text")
