@@ -36,7 +36,7 @@ from ledgerline.llm.shingles import mix
 LENGTH, GRAM = 400, 64
 BACK = LENGTH - GRAM
 #: Contexts that a task takes as one group.
-GROUP = 4096
+GROUP = 16_384
 _BASE = 0x9E3779B97F4A7C15
 
 

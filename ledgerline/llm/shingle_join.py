@@ -71,7 +71,7 @@ def _sum_slices(rows: DataFrame, make, cells: int, kind, join) -> np.ndarray:
 
     out = np.zeros(cells, kind)
     schema = "slice long, part binary"
-    for r in rows.mapInArrow(partial, schema).repartition(cells // step, "slice").mapInArrow(add, schema).toLocalIterator():
+    for r in rows.mapInArrow(partial, schema).repartition("slice").mapInArrow(add, schema).toLocalIterator():
         out[r.slice * step : (r.slice + 1) * step] = np.frombuffer(zlib.decompress(r.part), kind)
     return out
 

@@ -190,7 +190,7 @@ def removed(texts):
         yield len(b), int(gone.sum()), int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum()), hashlib.sha256(left).hexdigest()
 
 
-@pytest.mark.parametrize("group", [4096, 1])
+@pytest.mark.parametrize("group", [repeats.GROUP, 1])
 def test_repeats(spark, docs, none, group):
     r = random.Random(11)
     letters = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
