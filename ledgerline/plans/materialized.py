@@ -1,14 +1,17 @@
-"""Materialise an input once, query it many times (the Spark form of the reference's CTAS tables).
+"""Materialise an input once, query it many times (the Spark form of CREATE TABLE AS).
 
-``cache``: a session temp view cached with MEMORY_AND_DISK (columnar, spills instead of failing;
-a lost executor's blocks are recomputed from lineage). ``table``: written as Parquet under the
-shared folder named by ``spark.checkpoint.dir`` and read back, which also cuts the lineage.
-``none``: recomputed by every query.
+``none`` (default): recomputed by every query, so that filters and columns reach the scans and nothing can go
+stale. ``table``: written as Parquet to a fresh folder below the one that ``spark.checkpoint.dir`` names and read
+back, which also cuts the lineage. ``cache``: a cached temp view, only on request; see :func:`release`.
+
+Both kinds are known by the paths, sizes and modification times of all files that the input reads: when a file
+changes, the next query builds the input anew.
 """
 
 from __future__ import annotations
 
-import zlib
+import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -16,23 +19,41 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.sources.sinks import materialize, table_path
 
-MODES = ("cache", "table", "none")
+MODES = ("none", "table", "cache")
+_PREFIX = "ll_shared_"
+
 
+def fingerprint(df: DataFrame) -> str:
+    """SHA-256 over path, size and modification time of every file that ``df`` reads (no content is read)."""
+    files = sorted(df.inputFiles())
+    if not files:
+        return hashlib.sha256(b"").hexdigest()
+    known = df.sparkSession.read.format("binaryFile").load(files).select("path", "length", "modificationTime").collect()
+    return hashlib.sha256(repr(sorted((r.path, r.length, str(r.modificationTime)) for r in known)).encode()).hexdigest()
 
-def shared_input(spark: SparkSession, name: str, scope: str, build: Callable[[], DataFrame],
-                 mode: str = "cache") -> DataFrame:
-    """The input ``name`` for ``scope`` (e.g. a data folder), built by ``build`` at most once per session."""
+
+def shared_input(spark: SparkSession, name: str, build: Callable[[], DataFrame], mode: str = "none") -> DataFrame:
+    """The input ``name``, built by ``build`` at most once for each state of its files."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    df = build()
     if mode == "none":
-        return build()
-    view = f"ll_{name}_{mode}_{zlib.crc32(scope.encode()):08x}"
+        return df
+    view = f"{_PREFIX}{name}_{mode}_{fingerprint(df)}"
     if spark.catalog.tableExists(view):
         return spark.table(view)
-    df = build()
-    if mode == "table":
-        df = materialize(df, table_path(spark, view))
+    if mode == "table":  # the view is made when the table is complete, so a failed write leaves nothing to read
+        df = materialize(df, table_path(spark, f"{view}-{uuid.uuid4().hex}"))
     df.createOrReplaceTempView(view)
     if mode == "cache":
         spark.catalog.cacheTable(view, StorageLevel.MEMORY_AND_DISK)
     return spark.table(view)
+
+
+def release(spark: SparkSession) -> None:
+    """Drop all shared views of the session, cached blocks included."""
+    for t in spark.catalog.listTables():
+        if t.name.startswith(_PREFIX):
+            if spark.catalog.isCached(t.name):
+                spark.catalog.uncacheTable(t.name)
+            spark.catalog.dropTempView(t.name)

@@ -26,17 +26,17 @@ NEW_ITEM_ID = 5  # the next free item id of the bound item dimension (ids 0-4)
 class Inputs:
     """Logical inputs for one scale-factor folder, built lazily (nothing runs until an action).
 
-    The inputs that are tables in the reference and are derived here by joins (``sales``, the
-    cleaned order lines and runner orders, ratings, the recipe bridge, the clean weekly mart) are
-    materialised once per session (``mode``, see ``plans.materialized``) and shared by all queries,
-    as the reference's queries share its tables. Plain scans (menu, members, …) stay scans.
+    The inputs that the reference keeps as tables and that are derived here by joins (``sales``, the
+    cleaned order lines and runner orders, ratings, the recipe bridge, the clean weekly mart) can be
+    materialised and shared (``mode``, see ``plans.materialized``); by default every query computes them,
+    so only its own columns are read. Plain scans (menu, members, …) stay scans.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, mode: str = "cache"):
+    def __init__(self, spark: SparkSession, sf_dir: str, mode: str = "none"):
         self.spark, self.d, self.mode = spark, sf_dir, mode
 
     def _shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return shared_input(self.spark, name, self.d, build, self.mode)
+        return shared_input(self.spark, name, build, self.mode)
 
     SHARED = ("sales", "lines", "orders", "bridge", "ingested_ratings", "mart")
 
@@ -124,7 +124,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "clean_cancellation": lambda i: clean.clean_cancellation(i.raw_orders).select("order_id", "cancellation"),
     "normalize_list_column": lambda i: clean.normalize_list_column(i.recipes, "pizza_id", "toppings", "topping_id"),
     "extend_bridge_table": lambda i: ingest.extend_bridge_table(i.recipes, _new_item_rows(i)),
-    "ratings_ingest": lambda i: i.ingested_ratings,
+    "ratings_ingest": lambda i: ingest.ratings_ingest(b.runner_ratings_raw(i.spark, i.d)),
     "clean_weekly_sales": lambda i: i.build_mart(),
     "weekly_preview": lambda i: ingest.ordered_preview(i.mart, PREVIEW_ORDER, 10),
     # loyalty
@@ -177,6 +177,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # weekly mart
     "week_date_weekday": lambda i: impact.week_date_weekday(i.mart),
     "missing_weeks": lambda i: impact.missing_weeks(i.mart),
+    "missing_weeks_of_events": lambda i: impact.missing_weeks(b.event_weeks(i.spark, i.d)),
     "transactions_by_year": lambda i: shares.sum_by(i.mart, ["calendar_year"], "transactions", "total_transactions"),
     "sales_by_region_month": lambda i: shares.sum_by(i.mart, ["region", "month_number"], "sales", "total_sales"),
     "transactions_by_platform": lambda i: shares.sum_by(i.mart, ["platform"], "transactions", "total_transactions"),
@@ -205,9 +206,46 @@ NULLABLE_INT_AS_DOUBLE = {
 }
 
 
-def build(key: str, spark: SparkSession, sf_dir: str, inputs: Inputs | None = None) -> DataFrame:
-    """The registered query ``key`` on the tables in ``sf_dir``, with the shared result typing."""
+# The order in which a report lists its rows: column, or "-column" for descending; NULLs as in PostgreSQL
+# (last when ascending, first when descending).
+RESULT_ORDER: dict[str, tuple[str, ...]] = {
+    "total_spend_by_customer": ("customer_id",),
+    "favourite_item_by_customer": ("customer_id", "product_name"),
+    "first_item_after_joining": ("customer_id", "product_name"),
+    "pre_membership_totals": ("customer_id",),
+    "points_with_item_bonus": ("customer_id",),
+    "points_with_welcome_week": ("customer_id",),
+    "sales_with_member_flag": ("customer_id", "order_date", "product_name"),
+    "rank_member_purchases": ("customer_id", "order_date", "product_name"),
+    "items_by_customer_and_type": ("customer_id", "pizza_name"),
+    "volume_by_hour": ("hour_of_day",),
+    "signups_by_week": ("registration_week",),
+    "delivery_speed": ("runner_id", "order_id"),
+    "order_item_label": ("order_id", "pizza_id", "order_item"),
+    "ingredient_list_with_multiplier": ("order_id", "record_id"),
+    "ingredient_usage_delivered": ("-total_quantity", "topping_name"),
+    "transactions_by_year": ("calendar_year",),
+    "sales_by_region_month": ("region", "month_number"),
+    "platform_share_by_month": ("month_number", "platform"),
+    "demographic_share_by_year": ("calendar_year", "demographic"),
+    "top_retail_segments": ("-total_retail_sales",),
+    "avg_transaction_two_ways": ("calendar_year", "platform"),
+    "impact_by_year": ("calendar_year",),
+    "impact_by_region": ("percentage_change",),
+    "missing_weeks": ("missing_week_number",),
+    "missing_weeks_of_events": ("missing_week_number",),
+}
+
+
+def in_order(key: str, df: DataFrame) -> DataFrame:
+    """The rows in the report's order (a range-partitioned sort); keys without one are left as they are."""
+    columns = [F.col(c[1:]).desc_nulls_first() if c[0] == "-" else F.col(c).asc_nulls_last() for c in RESULT_ORDER.get(key, ())]
+    return df.orderBy(*columns) if columns else df
+
+
+def build(key: str, spark: SparkSession, sf_dir: str, inputs: Inputs | None = None, ordered: bool = False) -> DataFrame:
+    """The registered query ``key`` on the tables in ``sf_dir``, with the shared result typing; ``ordered`` sorts it."""
     df = as_reported(QUERIES[key](inputs or Inputs(spark, sf_dir)))
     for c in NULLABLE_INT_AS_DOUBLE.get(key, ()):
         df = df.withColumn(c, F.col(c).cast("double"))
-    return df
+    return in_order(key, df) if ordered else df

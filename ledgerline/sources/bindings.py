@@ -142,6 +142,11 @@ def runner_ratings_raw(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- weekly mart
 
+def event_weeks(spark: SparkSession, d: str) -> DataFrame:
+    """The ISO week of every event; the events cover only part of the year."""
+    return read_table(spark, d, "events", "ts").select(F.weekofyear("ts").alias("week_number"))
+
+
 def weekly_sales(spark: SparkSession, d: str) -> DataFrame:
     """Raw weekly mart: text week (``dd/MM/yy``, Monday), five dimensions, transactions, sales."""
     li = read_table(spark, d, "lineitem", "l_orderkey", "l_extendedprice", "l_returnflag", "l_shipdate")

@@ -25,6 +25,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return path
 
 
+def save_as(df: DataFrame, table: str, mode: str = "overwrite") -> None:
+    """Write ``df`` as the catalog table ``schema.table`` (CREATE TABLE AS; ``append`` inserts rows)."""
+    df.write.mode(mode).saveAsTable(table)
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write once and read back: cuts the lineage so later queries and retries start from the table."""
     write_table(df, path, "overwrite")

@@ -1,10 +1,19 @@
-"""Reading the driver tables (Parquet). Only the named columns reach the scan's ReadSchema."""
+"""Reading input tables. Only the named columns reach the scan's ReadSchema.
+
+A scope names where the tables are: a folder of Parquet tables (``/data/sf1``), or ``catalog:schema`` for the tables of a
+catalog schema (``catalog:sales`` reads ``sales.orders``).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+CATALOG = "catalog:"
+
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, scope: str, name: str, *cols: str) -> DataFrame:
+    if scope.startswith(CATALOG):
+        df = spark.table(f"{scope[len(CATALOG):]}.{name}")
+    else:
+        df = spark.read.parquet(f"{scope.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
