@@ -16,14 +16,18 @@ from pyspark.sql import types as T
 WHOLE = T.DecimalType(38, 0)
 
 
-def round_ratio(num: Column, den: Column, scale: int = 2) -> Column:
-    """``ROUND(num / den, scale)`` for integer-valued ``num`` and ``den``, exact, as DECIMAL(38, scale).
+def round_ratio(num: Column, den: Column, scale: int = 2, digits: int = 0) -> Column:
+    """``ROUND(num / den, scale)``, exact, as DECIMAL(38, scale).
 
-    Half away from zero; NULL when ``den`` is 0 or either side is NULL (no division error).
-    Callers with fractional inputs scale them to integers first (e.g. cents).
+    Half away from zero; NULL when ``den`` is 0 or either side is NULL (no division error). Both sides may
+    have up to ``digits`` decimals (they are scaled to integers); more are refused, never rounded away.
     """
-    n = num.cast(WHOLE)
-    d = den.cast(WHOLE)
+    def whole(c: Column) -> Column:
+        scaled = c * F.lit(Decimal(10 ** digits)) if digits else c
+        w = scaled.cast(WHOLE)
+        return F.when(scaled != w, F.raise_error(F.lit(f"round_ratio: more than {digits} decimals")).cast(WHOLE)).otherwise(w)
+
+    n, d = whole(num), whole(den)
     top = F.abs(n) * F.lit(2 * 10 ** scale) + F.abs(d)
     bottom = F.abs(d) * F.lit(2)
     units = ((top - top % bottom) / bottom).cast(WHOLE)

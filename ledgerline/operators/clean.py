@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import parse_day_month_yy
@@ -18,6 +18,8 @@ from ledgerline.functions.text import DEFAULT_SENTINELS, null_if_sentinel, remov
 # Unit spellings removed from the delivery text, longest first.
 DISTANCE_UNIT_CHARS = "km"
 DURATION_UNITS = ("minutes", "minute", "mins")
+#: Decimals that a distance may have.
+DISTANCE_DIGITS = 10
 
 
 def clean_sentinels(df: DataFrame, cols: Iterable[str], sentinels: Iterable[str] = DEFAULT_SENTINELS) -> DataFrame:
@@ -29,23 +31,31 @@ def clean_sentinels(df: DataFrame, cols: Iterable[str], sentinels: Iterable[str]
     ])
 
 
-def clean_pickup_time(df: DataFrame, col: str = "pickup_time") -> DataFrame:
-    """``'null'`` -> NULL, text -> TIMESTAMP_NTZ."""
-    return df.withColumn(col, null_if_sentinel(F.col(col), ("null",)).cast("timestamp_ntz"))
+def _retype(df: DataFrame, col: str, cleaned: Column, dtype: str, rejects: str | None) -> DataFrame:
+    """``col`` as ``dtype``; text that is not one becomes NULL and, with ``rejects``, is kept in that column."""
+    typed = cleaned.try_cast(dtype)
+    if rejects:
+        df = df.withColumn(rejects, F.when(cleaned.isNotNull() & typed.isNull(), F.col(col)))
+    return df.withColumn(col, typed)
+
+
+def clean_pickup_time(df: DataFrame, col: str = "pickup_time", rejects: str | None = None) -> DataFrame:
+    """``'null'`` -> NULL, text -> TIMESTAMP_NTZ. ``rejects`` names a column for text that is no time."""
+    return _retype(df, col, null_if_sentinel(F.col(col), ("null",)), "timestamp_ntz", rejects)
 
 
 def clean_distance(df: DataFrame, col: str = "distance", unit_chars: str = DISTANCE_UNIT_CHARS,
-                   dtype: str = "decimal(10,2)") -> DataFrame:
+                   dtype: str = f"decimal(28,{DISTANCE_DIGITS})", rejects: str | None = None) -> DataFrame:
     """``'null'`` -> NULL, strip unit characters at both ends (``'23.4 km'``, ``'20km'``), cast.
 
-    DECIMAL instead of REAL so that sums do not depend on partitioning.
+    DECIMAL instead of REAL so that sums do not depend on partitioning; wide, so that no digit of a distance is lost.
     """
-    return df.withColumn(col, strip_chars(null_if_sentinel(F.col(col), ("null",)), unit_chars).cast(dtype))
+    return _retype(df, col, strip_chars(null_if_sentinel(F.col(col), ("null",)), unit_chars), dtype, rejects)
 
 
-def clean_duration(df: DataFrame, col: str = "duration", units: Iterable[str] = DURATION_UNITS) -> DataFrame:
+def clean_duration(df: DataFrame, col: str = "duration", units: Iterable[str] = DURATION_UNITS, rejects: str | None = None) -> DataFrame:
     """``'null'`` -> NULL, remove unit words in the given order, cast to INT."""
-    return df.withColumn(col, remove_words(null_if_sentinel(F.col(col), ("null",)), units).cast("int"))
+    return _retype(df, col, remove_words(null_if_sentinel(F.col(col), ("null",)), units), "int", rejects)
 
 
 def clean_cancellation(df: DataFrame, col: str = "cancellation") -> DataFrame:

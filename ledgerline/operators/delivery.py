@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import day_name, seconds_between, week_start
 from ledgerline.functions.numeric import round_ratio
 from ledgerline.functions.text import split_ids
+from ledgerline.operators.clean import DISTANCE_DIGITS
 from ledgerline.operators.rank import top_n
 
 
@@ -142,7 +143,7 @@ def avg_distance_by_customer(lines: DataFrame, orders: DataFrame) -> DataFrame:
              .join(orders.where(F.col("distance").isNotNull()).select("order_id", "distance"), "order_id")
              .select("customer_id", "order_id", "distance").distinct())
     return trips.groupBy("customer_id").agg(
-        round_ratio(F.sum(F.col("distance") * 100), F.count("distance") * 100, 2).alias("avg_distance_km"))
+        round_ratio(F.sum("distance"), F.count("distance"), 2, DISTANCE_DIGITS).alias("avg_distance_km"))
 
 
 def delivery_time_spread(orders: DataFrame) -> DataFrame:
@@ -152,8 +153,8 @@ def delivery_time_spread(orders: DataFrame) -> DataFrame:
 
 
 def _speed(distance: str = "distance", duration: str = "duration"):
-    # distance / (duration / 60) = distance·60 / duration, with distance in hundredths
-    return round_ratio(F.col(distance) * 6000, F.col(duration) * 100, 2)
+    # distance / (duration / 60) = distance·60 / duration
+    return round_ratio(F.col(distance) * 60, F.col(duration), 2, DISTANCE_DIGITS)
 
 
 def delivery_speed(orders: DataFrame) -> DataFrame:
@@ -217,14 +218,13 @@ def delivery_summary(lines: DataFrame, orders: DataFrame, ratings: DataFrame) ->
     """One row per successful order (and per distinct customer/order time of it) with rating
     (NULL if unrated), times, pickup minutes, duration, speed and number of lines.
 
-    The two order-level frames (distinct customer/order time per order, line count per order) are
-    both de-duplicated or counted map-side before their shuffle; no per-order list is collected, so
-    an order with very many lines costs one row per distinct (customer, order time).
+    The lines are read once: counted per (order, customer, order time) map-side, and these counts are
+    summed per order, so an order with very many lines costs one row per distinct (customer, order time).
     """
-    who = lines.select("order_id", "customer_id", "order_time").distinct()
-    sizes = lines.groupBy("order_id").agg(F.count("pizza_id").alias("total_pizzas"))
+    who = lines.groupBy("order_id", "customer_id", "order_time").agg(F.count("pizza_id").alias("_n"))
+    who = who.withColumn("total_pizzas", F.sum("_n").over(Window.partitionBy("order_id"))).drop("_n")
     ok = orders.where(F.col("cancellation").isNull())
-    j = (ok.join(who, "order_id").join(sizes, "order_id")
+    j = (ok.join(who, "order_id")
          .join(ratings.select("order_id", "rating"), "order_id", "left"))
     return j.select(
         "customer_id", "order_id", "runner_id", "rating", "order_time", "pickup_time",

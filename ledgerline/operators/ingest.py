@@ -28,13 +28,19 @@ def extend_bridge_table(recipes: DataFrame, new_rows: DataFrame | None = None, k
 def ratings_ingest(rows: DataFrame, low: int = 1, high: int = 5) -> DataFrame:
     """Check submitted ratings against the table's constraints.
 
-    ``order_id`` and ``rating`` are required and the rating lies in ``[low, high]``; a missing
-    ``rating_time`` defaults to the ingest time. Every input row comes out once with ``accepted``
-    and ``reject_reason`` (NULL when accepted), so nothing is silently dropped.
+    ``rating_id`` is the key: a missing one, and every row of one that occurs twice, is rejected (which
+    of them came first is not known). ``order_id`` and ``rating`` are required; the rating is a whole number in
+    ``[low, high]``. A missing ``rating_time`` defaults to the ingest time. Every input row comes out
+    once with ``accepted`` and ``reject_reason`` (NULL when accepted), so nothing is silently dropped.
     """
+    twice = rows.groupBy("rating_id").agg((F.count(F.lit(1)) > 1).alias("_twice")).where("_twice AND rating_id IS NOT NULL")
+    rows = rows.join(twice, "rating_id", "left")
     rating = F.col("rating")
-    reason = (F.when(F.col("order_id").isNull(), F.lit("order_id missing"))
+    reason = (F.when(F.col("rating_id").isNull(), F.lit("rating_id missing"))
+              .when(F.col("_twice"), F.lit("rating_id duplicated"))
+              .when(F.col("order_id").isNull(), F.lit("order_id missing"))
               .when(rating.isNull(), F.lit("rating missing"))
+              .when(rating != F.floor(rating), F.lit("rating not whole"))
               .when((rating < low) | (rating > high), F.lit("rating out of range"))
               .otherwise(F.lit(None).cast("string")))
     return rows.select(

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.rank import dense_ranks, first_per_key, keep_best_ties, top_n
+from ledgerline.operators.rank import dense_ranks, keep_best_ties, top_n
 
 
 def _priced(sales: DataFrame, menu: DataFrame) -> DataFrame:
@@ -25,6 +25,20 @@ def _as_members(sales: DataFrame, menu: DataFrame, members: DataFrame, how: str
     return _priced(sales, menu).join(members, "customer_id", how)
 
 
+def _known(sales: DataFrame, menu: DataFrame) -> DataFrame:
+    """The sales of products on the menu, by their keys alone: the inner join's rows without its columns."""
+    return sales.join(menu.select("product_id"), "product_id", "left_semi")
+
+
+def _on_best_day(rows: DataFrame, best) -> DataFrame:
+    """The rows (ties kept) on each customer's first (``F.min``) or last (``F.max``) date.
+
+    A hash aggregate of the date, joined back on customer and date, which adaptive execution can split. A customer
+    whose dates are all NULL keeps those rows; else a NULL date is never the best."""
+    days = rows.groupBy(F.col("customer_id").alias("_customer")).agg(best("order_date").alias("_day"))
+    return rows.join(days, F.col("customer_id").eqNullSafe(F.col("_customer")) & F.col("order_date").eqNullSafe(F.col("_day"))).drop("_customer", "_day")
+
+
 def _bought(sales: DataFrame, menu: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Purchases counted per (keys, product_id) *before* the menu join, then priced and named.
 
@@ -52,7 +66,9 @@ def visit_days_by_customer(sales: DataFrame) -> DataFrame:
 
 def first_item_by_customer(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """One earliest item per customer (ties on the date broken by product name)."""
-    return first_per_key(_priced(sales, menu), ["customer_id"], ["order_date", "product_name"], ["product_name"])
+    best = _on_best_day(_known(sales, menu).select("customer_id", "order_date", "product_id"), F.min)
+    named = best.select("customer_id", "product_id").distinct().join(menu.select("product_id", "product_name"), "product_id")
+    return named.groupBy("customer_id").agg(F.min("product_name").alias("product_name"))
 
 
 def most_purchased_item(sales: DataFrame, menu: DataFrame, n: int = 1) -> DataFrame:
@@ -72,15 +88,17 @@ def favourite_item_by_customer(sales: DataFrame, menu: DataFrame) -> DataFrame:
 
 def first_item_after_joining(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """item(s) bought on the first date on or after ``join_date``; ties kept, non-members dropped."""
-    after = _as_members(sales, menu, members).where(F.col("order_date") >= F.col("join_date"))
-    return keep_best_ties(after.select("customer_id", "order_date", "product_name"), ["customer_id"], "order_date").select(
-        "customer_id", "order_date", "product_name")
+    after = _known(sales, menu).join(members, "customer_id").where(F.col("order_date") >= F.col("join_date"))
+    best = _on_best_day(after.select("customer_id", "order_date", "product_id"), F.min)
+    return best.join(menu.select("product_id", "product_name"), "product_id").select("customer_id", "order_date", "product_name")
 
 
 def last_item_before_joining(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """One latest item bought before ``join_date`` (ties on the date: greatest name)."""
-    before = _as_members(sales, menu, members).where(F.col("order_date") < F.col("join_date"))
-    return first_per_key(before, ["customer_id"], ["order_date", "product_name"], ["product_name"], descending=True)
+    before = _known(sales, menu).join(members, "customer_id").where(F.col("order_date") < F.col("join_date"))
+    best = _on_best_day(before.select("customer_id", "order_date", "product_id"), F.max)
+    named = best.select("customer_id", "product_id").distinct().join(menu.select("product_id", "product_name"), "product_id")
+    return named.groupBy("customer_id").agg(F.max("product_name").alias("product_name"))
 
 
 def pre_membership_totals(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
@@ -127,7 +145,9 @@ def rank_member_purchases(sales: DataFrame, menu: DataFrame, members: DataFrame)
     """L11 plus ``ranking`` = dense rank of the date among the customer's member purchases
     (NULL for 'N' rows)."""
     flagged = sales_with_member_flag(sales, menu, members)
-    member_rows = flagged.where(F.col("member") == "Y").select("customer_id", "order_date")
+    # the ranks come from a narrow frame of their own: names and prices are joined for the result only
+    since = _known(sales, menu).join(members, "customer_id").where(F.col("order_date") >= F.col("join_date"))
+    member_rows = since.select("customer_id", "order_date")
     ranks = dense_ranks(member_rows, ["customer_id"], "order_date", "ranking")
     # a customer's 'Y' and 'N' dates never overlap (the flag is a function of the date),
     # so joining the 'Y' ranks on (customer, date) leaves NULL exactly on the 'N' rows

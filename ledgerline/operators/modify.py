@@ -7,7 +7,7 @@ as it is excluded; an extra already in the recipe counts once). Two equivalent f
   work that depends on the lists (resolution, name join, ordering, rendering) runs once per
   distinct list or (item, exclusions, extras) combination and is joined back to the lines, so per
   line only a hash-join probe remains. The per-list / per-combination tables are broadcast back
-  only within a counted bound (``plans.broadcast.checked_broadcast``), dimension joins are planned
+  if it turns out small at run time, dimension joins are planned
   by size, and nothing is collected to the driver.
 * **relational form**: the tagged UNION ALL of recipe/extra/exclusion rows, grouped per
   (line, topping) with a HAVING on exclusions, then joined and re-aggregated per line: the
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from ledgerline.functions.text import split_ids
 from ledgerline.operators.delivery import delivered
 from ledgerline.operators.rank import expand_ranges, line_number_ranges, number_lines
-from ledgerline.plans.broadcast import DEFAULT_MAX_ROWS, checked_broadcast
 
 # A line's outputs depend only on its item and modification lists, so lines are numbered within their
 # order by these columns; lines tied on them give identical output rows whatever number each gets.
@@ -67,24 +66,18 @@ def _list_labels(lines: DataFrame, toppings: DataFrame, col: str, prefix: str, o
             .agg(F.concat(F.lit(prefix), F.array_join(ordered, ", ")).alias(out)))
 
 
-def order_item_label(lines: DataFrame, names: DataFrame, toppings: DataFrame, method: str = "lists",
-                     max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def order_item_label(lines: DataFrame, names: DataFrame, toppings: DataFrame, method: str = "lists") -> DataFrame:
     """``Name - Exclude a, b - Extra c, d`` per line; absent parts skipped; ids without a topping
     are ignored; names keep list order. Lines whose item has no name are dropped (inner join).
 
     Default: each distinct list text is labelled once (explode, join, regroup; bounded by one list)
-    and the labels are joined back to the lines by list text. Per line that is a hash-join probe:
-    a label table within ``max_broadcast_rows`` (counted first) is broadcast, so the lines are not
-    shuffled; a larger one is joined by shuffle.
+    and the labels are joined back to the lines by list text. Nothing runs while the query is built:
+    whether a label table is broadcast is left to its size in bytes at run time.
     """
     if method == "relational":
         return _order_item_label_relational(lines, names, toppings)
-    excl = checked_broadcast(_list_labels(lines, toppings, "exclusions", "Exclude ", "_excl")
-                             .withColumnRenamed("_list", "_excl_list"), max_broadcast_rows,
-                             bound_by=lines.select("exclusions").distinct())
-    extra = checked_broadcast(_list_labels(lines, toppings, "extras", "Extra ", "_extra")
-                              .withColumnRenamed("_list", "_extra_list"), max_broadcast_rows,
-                              bound_by=lines.select("extras").distinct())
+    excl = _list_labels(lines, toppings, "exclusions", "Exclude ", "_excl").withColumnRenamed("_list", "_excl_list")
+    extra = _list_labels(lines, toppings, "extras", "Extra ", "_extra").withColumnRenamed("_list", "_extra_list")
     j = (lines.join(names, "pizza_id")
          .join(excl, F.col("exclusions") == F.col("_excl_list"), "left")
          .join(extra, F.col("extras") == F.col("_extra_list"), "left"))
@@ -133,22 +126,20 @@ def rendered_combinations(lines: DataFrame, bridge: DataFrame, names: DataFrame,
 
 
 def ingredient_list_with_multiplier(lines: DataFrame, bridge: DataFrame, names: DataFrame, toppings: DataFrame,
-                                    method: str = "combinations", max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+                                    method: str = "combinations") -> DataFrame:
     """Per line ``Name: 2x Extra, Other, …`` ordered by topping name (bytewise).
 
     Output (order_id, record_id, ingredient_list). Lines with no remaining ingredient, or whose
     item has no name, give no row (inner joins in the reference). Default: every distinct
     (item, exclusions, extras) is resolved and rendered once, then joined (NULL-safe) to the
-    numbered line ranges of each order and expanded to one row per line. The rendered combinations
-    are broadcast when their count is within ``max_broadcast_rows``, so the ranges keep their
-    partitioning; beyond it the join shuffles.
+    numbered line ranges of each order and expanded to one row per line. Whether the rendered
+    combinations are broadcast is left to their size in bytes at run time.
     """
     if method == "relational":
         return _ingredient_list_relational(lines, bridge, names, toppings)
     ranges = line_number_ranges(lines, "order_id", LINE_CONTENT)
-    rendered = checked_broadcast(rendered_combinations(lines, bridge, names, toppings).select(
-        *[F.col(c).alias(f"_r_{c}") for c in LINE_CONTENT], "ingredient_list"), max_broadcast_rows,
-        bound_by=lines.select(*LINE_CONTENT).distinct())
+    rendered = rendered_combinations(lines, bridge, names, toppings).select(
+        *[F.col(c).alias(f"_r_{c}") for c in LINE_CONTENT], "ingredient_list")
     same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in LINE_CONTENT]
     cond = same[0]
     for c in same[1:]:
@@ -193,6 +184,8 @@ def ingredient_usage_delivered(lines: DataFrame, orders: DataFrame, bridge: Data
     Counting happens per topping id with map-side partial aggregation, before any name join.
     """
     shipped = delivered(lines, orders)
+    if method == "relational" and count_extras_twice:
+        raise ValueError("count_extras_twice needs method='array': the relational form keeps one row per line and topping")
     if method == "relational":
         ids = tagged_toppings(line_ids(shipped), bridge).select("topping_id", F.lit(1).alias("_w"))
     else:

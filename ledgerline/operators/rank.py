@@ -1,9 +1,10 @@
 """Per-key ranking building blocks (first/last/favourite, top-k, line ids).
 
-Skew: one key may hold a large share of the rows, so the top-1 forms are plain aggregations
-(partial aggregation map-side, no sort of a key's rows), "keep ties" is a rank filter that Spark
-pre-applies per map task (``WindowGroupLimit``), and ranks over a whole key are computed on its
-distinct order values only.
+Skew: one key may hold a large share of the rows, so the top-1 forms are aggregations with map-side
+partial results (a struct is compared by a sort aggregate; callers reduce to the best date with a hash
+aggregate first), "keep ties" is a rank filter that Spark pre-applies per map task (``WindowGroupLimit``;
+the ties themselves still meet in one task), and ranks over a whole key are computed on its distinct
+order values only.
 """
 
 from __future__ import annotations
@@ -19,10 +20,14 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     """One row per key: the ``values`` of the smallest (or largest) ``order`` tuple.
 
     The order tuple continues with ``values`` so ties are broken deterministically (the reference's
-    ROW_NUMBER picks an arbitrary row). NULL order values are skipped, as ``min``/``max`` do.
+    ROW_NUMBER picks an arbitrary row). A NULL comes after all values, in either direction, so a key keeps
+    a row even if its order values are all NULL.
     """
-    packed = F.struct(*[F.col(c) for c in list(order) + [v for v in values if v not in order]])
-    best = (F.max if descending else F.min)(packed).alias("_best")
+    parts = []
+    for c in list(order) + [v for v in values if v not in order]:
+        missing = F.col(c).isNull()
+        parts += [(~missing if descending else missing).alias(f"_has_{c}"), F.col(c)]
+    best = (F.max if descending else F.min)(F.struct(*parts)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
 
 
@@ -30,7 +35,7 @@ def keep_best_ties(df: DataFrame, keys: Sequence[str], order: str, descending: b
     """Rows whose ``order`` value is the best within their key (``DENSE_RANK() = 1``, ties kept).
 
     Planned with a partial ``WindowGroupLimit`` before the shuffle: every map task forwards only
-    its best-ranked rows per key, so a hot key is reduced before it reaches one task.
+    its best-ranked rows per key. All ties of a key reach one task: use it where they are few.
     """
     o = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
     w = Window.partitionBy(*keys).orderBy(o)
