@@ -22,7 +22,7 @@ def runner_orders(spark):
 
 def test_runner_orders_cleaning(spark):
     out = clean.clean_runner_orders(runner_orders(spark))
-    assert dict((f.name, f.dataType.simpleString()) for f in out.schema.fields)["distance"] == "decimal(10,2)"
+    assert dict((f.name, f.dataType.simpleString()) for f in out.schema.fields)["distance"] == "decimal(28,10)"
     got = rows(out, "order_id", "pickup_time", "distance", "duration", "cancellation")
     assert got == [
         (1, dt.datetime(2020, 1, 1, 18, 15, 34), Decimal("20.00"), 32, None),
