@@ -41,6 +41,7 @@ PERCENT, CLASSES, CELL_BITS, FILTER_BITS = 85, 16, 22, 25
 #: A verification block: sets, and tokens.
 BLOCK_SETS, BLOCK_TOKENS = 512, 2_000_000
 _SLICE = 1 << 16
+_RARE = 24
 
 
 def _cells(tokens: np.ndarray, bits: int) -> np.ndarray:
@@ -206,7 +207,33 @@ def links(members: DataFrame) -> DataFrame:
     def verify(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(forest(group), columns=["a", "b"], dtype="int64")
 
-    return pairs.select("component", "i", "j", "sig", "packed").groupBy("component", "i", "j").applyInPandas(verify, "a long, b long")
+    # the work is in the pairs, not in the bytes: a fixed number of partitions, which are not put together by size
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.select("component", "i", "j", "sig", "packed").repartition(n, "component", "i", "j").groupBy("component", "i", "j").applyInPandas(verify, "a long, b long")
+
+
+def _common(row: np.ndarray, token: np.ndarray, many: np.ndarray, n: int) -> np.ndarray:
+    """Tokens that each two of ``n`` sets share. Rare tokens add to their pairs, the others go through matrix products."""
+    order = np.argsort(token, kind="stable")
+    row, many_of = row[order], many[token[order]]
+    common = np.zeros(n * n, np.int64)
+    for d in range(2, _RARE + 1):
+        sharing = row[many_of == d].reshape(-1, d)
+        a, b = np.triu_indices(d, 1)
+        for k in range(0, len(sharing), 10_000):
+            part = sharing[k : k + 10_000]
+            common += np.bincount((part[:, a] * n + part[:, b]).ravel(), minlength=n * n)
+    common = common.reshape(n, n)
+    common += common.T
+    often = many_of > _RARE
+    row, column = row[often], np.unique(token[order][often], return_inverse=True)[1]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+        cut = slice(*np.searchsorted(column, [low, low + 2048]))
+        part = np.zeros((n, 2048), np.float32)
+        part[row[cut], column[cut] - low] = 1
+        common += (part @ part.T).astype(np.int64)
+    np.fill_diagonal(common, 0)
+    return common
 
 
 def forest(group: pd.DataFrame, percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -220,19 +247,7 @@ def forest(group: pd.DataFrame, percent: int = PERCENT) -> list[tuple[int, int]]
     sets = [shingles(loosen(x).decode("utf-8", "surrogatepass")) for x in group["packed"]]
     size = np.array([len(s) for s in sets], np.int64)
     tokens, at, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    column = np.cumsum(many > 1) - 1
-    row = np.repeat(np.arange(len(sets)), size)
-    kept = many[at] > 1
-    row, column = row[kept], column[at[kept]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    common = np.zeros((len(sets), len(sets)), np.float32)
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
-        cut = slice(*np.searchsorted(column, [low, low + 2048]))
-        part = np.zeros((len(sets), 2048), np.float32)
-        part[row[cut], column[cut] - low] = 1
-        common += part @ part.T
-    common = common.astype(np.int64)
+    common = _common(np.repeat(np.arange(len(sets)), size), at, many, len(sets))
     linked = 100 * common >= percent * (size[:, None] + size[None, :] - common)
     out, left = [], np.ones(len(sets), bool)
     for root in range(len(sets)):
