@@ -25,7 +25,7 @@ def round_ratio(num: Column, den: Column, scale: int = 2, digits: int = 0) -> Co
     def whole(c: Column) -> Column:
         scaled = c * F.lit(Decimal(10 ** digits)) if digits else c
         w = scaled.cast(WHOLE)
-        return F.when(scaled != w, F.raise_error(F.lit(f"round_ratio: more than {digits} decimals")).cast(WHOLE)).otherwise(w)
+        return F.when(scaled % F.lit(1) != 0, F.raise_error(F.lit(f"round_ratio: more than {digits} decimals")).cast(WHOLE)).otherwise(w)
 
     n, d = whole(num), whole(den)
     top = F.abs(n) * F.lit(2 * 10 ** scale) + F.abs(d)

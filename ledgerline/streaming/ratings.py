@@ -31,16 +31,17 @@ def start_ratings_ingest(spark: SparkSession, source_dir: str, table_dir: str, r
     reader = spark.readStream.schema(RAW_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    checked = ratings_ingest(reader.parquet(source_dir))
+    rows = reader.parquet(source_dir)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        # checked per micro-batch: a rating_id that occurs twice is rejected within its batch
+        checked = ratings_ingest(batch).persist()
         try:
-            _write_batch(batch.where("accepted").select(*RATING_COLUMNS), table_dir, batch_id)
-            _write_batch(batch.where("NOT accepted"), rejects_dir, batch_id)
+            _write_batch(checked.where("accepted").select(*RATING_COLUMNS), table_dir, batch_id)
+            _write_batch(checked.where("NOT accepted"), rejects_dir, batch_id)
         finally:
-            batch.unpersist()
+            checked.unpersist()
 
-    writer = checked.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
+    writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

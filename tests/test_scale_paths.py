@@ -4,6 +4,7 @@ unknown ids and unnamed items in the label forms, and table materialisation."""
 import datetime as dt
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,10 +65,11 @@ def test_table_materialisation_mode(spark):
 
 def test_nothing_runs_while_a_query_is_built(spark):
     jobs = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("build-only", "build-only")
     bound = Inputs(spark, SF_SMALL)
-    modify.order_item_label(bound.lines, bound.names, bound.toppings)
-    modify.ingredient_list_with_multiplier(bound.lines, bound.bridge, bound.names, bound.toppings)
+    lines, bridge, names, toppings = bound.lines, bound.bridge, bound.names, bound.toppings  # reads the files' schemas
+    spark.sparkContext.setJobGroup("build-only", "build-only")
+    modify.order_item_label(lines, names, toppings)
+    modify.ingredient_list_with_multiplier(lines, bridge, names, toppings)
     assert not jobs.getJobIdsForGroup("build-only")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
@@ -81,11 +83,11 @@ def test_shared_inputs_follow_their_files(spark, tmp_path):
     ask = lambda mode: build("items_ordered", spark, str(tmp_path), Inputs(spark, str(tmp_path), mode=mode)).first()[0]
     n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
     assert [ask(m) for m in ("none", "table", "cache")] == [n] * 3
-    half = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").filter("l_orderkey % 2 = 0").toPandas()
+    half = pq.read_table(f"{SF_SMALL}/lineitem.parquet").slice(0, n // 2)
     (tmp_path / "lineitem.parquet").unlink()
-    half.to_parquet(tmp_path / "lineitem.parquet")
+    pq.write_table(half, tmp_path / "lineitem.parquet")
     spark.catalog.refreshByPath(str(tmp_path))
-    assert [ask(m) for m in ("none", "table", "cache")] == [len(half)] * 3
+    assert [ask(m) for m in ("none", "table", "cache")] == [n // 2] * 3
     release(spark)
     assert not any(t.name.startswith("ll_shared_") for t in spark.catalog.listTables())
     assert not any(t.name.startswith("ll_shared_") for t in spark.catalog.listTables()) and Inputs(spark, SF_SMALL).mode == "none"
@@ -105,7 +107,7 @@ def test_results_in_order(spark):
 def test_missing_weeks_of_events_is_not_empty(spark):
     got = rows(build("missing_weeks_of_events", spark, SF_SMALL))
     weeks = {r[0] for r in spark.read.parquet(f"{SF_SMALL}/events.parquet").selectExpr("weekofyear(ts)").distinct().collect()}
-    assert got == [(w,) for w in range(1, 53) if w not in weeks] and got
+    assert sorted(got) == [(w,) for w in range(1, 53) if w not in weeks] and got
 
 
 def test_null_dates_come_last(spark):
