@@ -63,10 +63,7 @@ def _windows(array: Column) -> Column:
 def _signatures(shingles: Column, n: int) -> Column:
     """One long for each band: its number hashed with the least hash of the window's shingles."""
 
-    def band(k: int) -> Column:
-        return F.xxhash64(F.lit(k), F.array_min(F.transform(shingles, lambda s: F.xxhash64(s, F.lit(k)))))
-
-    return F.array(*map(band, range(n)))
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.xxhash64(k, F.array_min(F.transform(shingles, lambda s: F.xxhash64(s, k)))))
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:

@@ -33,7 +33,7 @@ from ledgerline.llm.common import batches, save, texts
 from ledgerline.llm.shingle_join import FILTER_BITS, _cells, _filter_of
 from ledgerline.llm.shingles import mix
 
-LENGTH, GRAM = 400, 64
+LENGTH, GRAM = 400, 128
 BACK = LENGTH - GRAM
 #: Contexts that a task takes as one group.
 GROUP = 16_384
@@ -202,11 +202,13 @@ def covered_by_halving(contexts: DataFrame) -> DataFrame:
     """key, start and stop of what repeats in groups of any size, by counting alone: no task ever holds a group.
 
     A context stands for its strings with starts from ``s1`` to ``s2`` bytes before the anchor. If all of their bytes together occur
-    twice, all are covered; if not even the bytes that they share do, none is; else the range is halved, 10 times at most."""
+    twice, all are covered; if not even the bytes that they share do, none is; else the range is halved, 7 times at most."""
     out = contexts.sparkSession.createDataFrame([], _COVER)
-    # starts that the text has room for; ranges are the same for all contexts (halves of 0 to 511), so that they meet
+    # starts that the text has room for; ranges are the same for all contexts (halves of ranges of 128), so that they meet.
+    # All strings of a first range share LENGTH - 127 bytes or more, so contexts with only a line in common go at once.
     first, last = F.greatest(F.lit(0), LENGTH - F.length("after")), F.length("before")
-    state = contexts.select("*", first.alias("v1"), last.alias("v2"), F.lit(0).alias("s1"), F.lit(511).alias("s2"))
+    ranges = F.array(*(F.struct(F.lit(k).alias("s1"), F.lit(k + 127).alias("s2")) for k in range(0, BACK + 1, 128)))
+    state = contexts.select("*", first.alias("v1"), last.alias("v2"), F.explode(ranges).alias("r")).select("*", "r.s1", "r.s2").drop("r")
     part = lambda low, high: F.xxhash64("grp", "s1", "s2", F.expr(f"substring(before, 1, {high})"), F.expr(f"substring(after, 1, {LENGTH} - {low})"))
     while True:
         within = (F.col("s1") >= F.col("v1")) & (F.col("s2") <= F.col("v2"))
