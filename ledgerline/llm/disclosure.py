@@ -1,12 +1,15 @@
-"""Personal data: pattern spans, and terms near them that reveal them by corpus co-occurrence.
+"""Personal data: pattern spans, and terms that reveal them by corpus co-occurrence.
 
 Base spans are the leftmost non-overlapping matches of four patterns (email, ip, card, phone), checked afterwards
 (parts up to 255; 12 to 19 digits that pass Luhn; 9 to 15 digits). Each distinct value is a protected entity.
-For a term ``t`` in the words up to ``REACH`` characters beside an entity ``e`` (and not beyond the next span of its kind), documents are counted: with ``t``
-beside ``e``, with ``t`` anywhere, with ``e``, and all. The information that ``t`` gives of ``e`` is
+For a term ``t`` in the words of a document that names an entity ``e`` (without the words of its base spans), documents are counted: with
+``t`` outside spans and ``e``, with ``t`` anywhere, with ``e``, and all. The information that ``t`` gives of ``e`` is
 ``PMI = ln(N * n(t,e) / (n(t) * n(e)))``; as a share of all there is to know, ``IC(e) = ln(N / n(e))``, it is the term's
-disclosure (1: the term occurs only beside the entity). Terms seen beside the entity in at least
-``MIN_SUPPORT`` documents are removed from ``REMOVE`` on and generalised from ``GENERALISE`` on.
+disclosure (1: the term occurs only with the entity). Terms are removed from ``REMOVE`` on and generalised from ``GENERALISE`` on, if so
+many common documents are no chance: the hypergeometric tail (Hoeffding's bound of it, from either margin), times the number of pairs
+tested, must be at most ``ALPHA``. Pairs whose counts n(t) and n(e) could not pass whatever they share are no tests (Tarone): an entity of
+a single document is tested only in a corpus where 1/N would pass. Every occurrence of a disclosing term outside
+base spans is marked, in every document, whether the entity is named there or not.
 
 The patterns are written with possessive quantifiers and look-behinds, so that a long run without a match costs one pass
 and no stack; they find the same matches. Positions are code points, end exclusive.
@@ -19,6 +22,7 @@ null ids included. Extra columns are ignored. DataFrame functions only.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import save
 
 KINDS = ("email", "ip", "card", "phone", "term")
-REACH, MIN_SUPPORT, GENERALISE, REMOVE = 40, 3, 0.8, 0.95
+ALPHA, GENERALISE, REMOVE = 0.05, 0.8, 0.95
 #: Candidate terms up to this many are broadcast for the corpus count; more are joined by shuffling counts.
 BROADCAST_TERMS = 200_000
 
@@ -37,7 +41,7 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 TERM = r"[\p{L}\p{N}]+"
 _IP_PARTS = r"^0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})(?:\.0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})){3}$"
 
-_SPAN = "array<struct<start:int,end:int,value:string,left:string,right:string>>"
+_SPAN = "array<struct<start:int,end:int,value:string>>"
 #: Matches are added up in blocks of so many, as an array that grows is copied at each step.
 _BLOCK = 128
 
@@ -47,19 +51,18 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def spans(text: Column, pattern: str, reach: int = 0) -> Column:
-    """start, end and value of all matches, with up to ``reach`` characters on either side (not beyond the next match).
+def spans(text: Column, pattern: str) -> Column:
+    """start, end and value of all matches.
 
     Positions are the lengths of what lies between matches and of themselves, added up."""
     none = F.array().cast(_SPAN)
 
     def block(part: Column, at: Column) -> Column:
         def step(done: Column, i: Column) -> Column:
-            value, gap, after = F.element_at(part["f"], i), F.element_at(part["g"], i), F.element_at(part["g"], i + 1)
+            value, gap = F.element_at(part["f"], i), F.element_at(part["g"], i)
             start = done["at"] + F.char_length(gap)
             end = start + F.char_length(value)
-            left = F.substring(gap, F.greatest(F.lit(1), F.char_length(gap) - (reach - 1)), F.lit(reach))
-            one = F.struct(start.alias("start"), end.alias("end"), value.alias("value"), left.alias("left"), F.substring(after, F.lit(1), F.lit(reach)).alias("right"))
+            one = F.struct(start.alias("start"), end.alias("end"), value.alias("value"))
             return F.struct(end.alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
 
         return F.aggregate(F.sequence(F.lit(1), F.size(part["f"])), F.struct(at.alias("at"), none.alias("out")), step)["out"]
@@ -95,22 +98,43 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), step) % 10 == 0
 
 
+PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
+
+
+def checked(kind: str, value: Column) -> Column:
+    """Whether a match of the kind's pattern is one."""
+    count = F.length(_digits(value))
+    return {"email": F.lit(True), "ip": value.rlike(_IP_PARTS), "card": luhn(_digits(value)), "phone": (count >= 9) & (count <= 15)}[kind]
+
+
 def base_spans(text: Column) -> dict[str, Column]:
     """The checked spans of each kind."""
-    count = lambda s: F.length(_digits(s["value"]))
-    return {
-        "email": spans(text, EMAIL, REACH),
-        "ip": F.filter(spans(text, IP, REACH), lambda s: s["value"].rlike(_IP_PARTS)),
-        "card": F.filter(spans(text, CARD, REACH), lambda s: luhn(_digits(s["value"]))),
-        "phone": F.filter(spans(text, PHONE, REACH), lambda s: (count(s) >= 9) & (count(s) <= 15)),
-    }
+    each = lambda kind: F.filter(spans(text, PATTERNS[kind]), lambda s: checked(kind, s["value"]))
+    return {kind: each(kind) for kind in PATTERNS}
+
+
+def terms(text: Column) -> Column:
+    """The distinct words, lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
-_ORDER = "array<struct<start:int,kind:int,end:int,value:string,left:string,right:string>>"
+def _hidden(kind: str, value: Column) -> Column:
+    return F.when(checked(kind, value), " ").otherwise(value)
+
+
+def masked(text: Column) -> Column:
+    """The text with a space for each base span; kind by kind, so that it costs one pass each."""
+    for kind, p in PATTERNS.items():
+        found = F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(0)), partial(_hidden, kind))
+        text = F.array_join(F.zip_with(F.split(text, p, -1), found, lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))), "")
+    return text
+
+
+_ORDER = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
 def _tagged(found: Column, kind: str) -> Column:
-    return F.transform(found, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end"), s["value"].alias("value"), s["left"].alias("left"), s["right"].alias("right")))
+    return F.transform(found, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end"), s["value"].alias("value")))
 
 
 def _listed(all_spans: Column) -> Column:
@@ -119,54 +143,82 @@ def _listed(all_spans: Column) -> Column:
     return F.array_join(F.transform(all_spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _key() -> Column:
+    """Known by id and text: rows that agree in both get the same terms."""
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.coalesce("text", F.lit("")))
+    return F.unhex(F.substring(F.sha2(named, 256), 1, 32)).alias("key")
+
+
 def found(docs: DataFrame, *keep: str) -> DataFrame:
-    """doc_id, ``keep``, n_<kind> and base (the spans by start, then kind), saved with a number for each row (uid)."""
-    read = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """key, doc_id, ``keep``, n_<kind>, base (the spans by start, then kind) and words (the terms beside them; none without spans), saved."""
+    read = docs.select(_key(), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     for kind, column in base_spans(F.col("text")).items():
         read = read.withColumn(kind, column)
-    both = F.array_sort(F.concat(*(_tagged(F.col(k), k) for k in KINDS[:4])))
-    return save(read.select(F.monotonically_increasing_id().alias("uid"), "doc_id", *keep, *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:4]), both.alias("base")), "private")
-
-
-def beside(rows: DataFrame) -> DataFrame:
-    """uid, entity, term, start and end of the words beside each base span; words that the reach cuts off are left out."""
-    each = rows.select("uid", F.explode("base").alias("s"))
-    entity = F.concat_ws(":", F.col("s.kind").cast("string"), F.when(F.col("s.kind") >= 2, _digits(F.col("s.value"))).otherwise(F.lower("s.value")))
-    low = F.col("s.start") - F.char_length("s.left")
-    before = F.filter(spans(F.col("s.left"), TERM), lambda w: (w["start"] > 0) | (F.char_length("s.left") < REACH))
-    after = F.filter(spans(F.col("s.right"), TERM), lambda w: w["end"] < REACH)
-    put = lambda words, by: F.transform(words, lambda w: F.struct(F.lower(w["value"]).alias("term"), (w["start"] + by).alias("start"), (w["end"] + by).alias("end")))
-    return each.select("uid", entity.alias("entity"), F.explode_outer(F.concat(put(before, low), put(after, F.col("s.end")))).alias("w")).select("uid", "entity", "w.*")
-
-
-def disclosing(docs: DataFrame, near: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """entity, term, disclosure and removed (else generalised) of every term above the thresholds. near: see ``beside``."""
-    pairs = near.filter(F.col("term").isNotNull()).select("uid", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    pairs = save(pairs.filter(F.col("n_both") >= min_support), "pairs")
-    entities = near.select("uid", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    terms = pairs.select("term").distinct()
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    if terms.count() <= BROADCAST_TERMS:
-        anywhere = words.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    read = read.withColumn("base", F.array_sort(F.concat(*(_tagged(F.col(k), k) for k in KINDS[:4]))))
+    words = F.when(F.size("base") > 0, terms(masked(F.col("text")))).otherwise(F.array().cast("array<string>"))
+    return save(read.select("key", "doc_id", *keep, *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:4]), "base", words.alias("words")), "private")
+
+
+def _entity(span: Column) -> Column:
+    return F.concat_ws(":", span["kind"].cast("string"), F.when(span["kind"] >= 2, _digits(span["value"])).otherwise(F.lower(span["value"])))
+
+
+def _log_chance(both: Column, draws: Column, share: Column) -> Column:
+    """Hoeffding's bound of the logarithm of the chance of ``both`` or more in ``draws``; for a part above ``share``."""
+    part = both / draws
+    rest = F.when((part < 1) & (share < 1), (1 - part) * F.log((1 - part) / (1 - share))).otherwise(0.0)
+    return -draws * (part * F.log(part / share) + rest)
+
+
+def disclosing(docs: DataFrame, rows: DataFrame, alpha: float = ALPHA, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+    """entity, term, disclosure and removed (else generalised) of every term above the thresholds. rows: see ``found``."""
+    n = float(rows.count())
+    naming = rows.filter(F.size("base") > 0).select(F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"), "words")
+    entities = naming.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), F.sum(F.size("words")).alias("n_tests"))
+    entities = save(entities.filter(F.col("n_entity") < n), "entities")
+    several = F.when(F.col("n_entity") > 1, F.col("n_tests")).otherwise(0)
+    tests, least = entities.agg(F.coalesce(F.sum("n_tests"), F.lit(0)), F.coalesce(F.sum(several), F.lit(0))).first(), 1
+    if tests[0] > alpha * n:  # the chance of a pair seen in one document is 1/N at least
+        least = 2
+    tests = max(1, tests[least - 1])
+    tested = naming.join(entities.filter(F.col("n_entity") >= least).select("entity"), "entity", "left_semi")
+    pairs = tested.select("entity", F.explode("words").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+    pairs = save(pairs.filter(F.col("n_both") >= (1 if tests <= alpha * n else 2)), "pairs")
+    wanted = pairs.select("term").distinct()
+    words = docs.select(F.explode(terms(F.col("text"))).alias("term"))
+    if wanted.count() <= BROADCAST_TERMS:
+        anywhere = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     else:
-        anywhere = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(terms, "term", "left_semi")
-    n = docs.count()
-    ratio = F.log(F.lit(float(n)) * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.log(F.lit(float(n)) / F.col("n_entity"))
-    rated = pairs.join(anywhere, "term").join(entities, "entity").filter(F.col("n_entity") < n).withColumn("disclosure", ratio)
-    return rated.filter(F.col("disclosure") >= generalise).select("entity", "term", "disclosure", (F.col("disclosure") >= remove).alias("removed"))
+        anywhere = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "term", "left_semi")
+    both, of_term, of_entity = F.col("n_both"), F.col("n_term"), F.col("n_entity")
+    ratio = F.log(n * both / (of_term * of_entity)) / F.log(n / of_entity)
+    chance = F.least(_log_chance(both, of_entity, of_term / n), _log_chance(both, of_term, of_entity / n))
+    rated = pairs.join(anywhere, "term").join(entities, "entity").withColumn("disclosure", ratio).filter(F.col("disclosure") >= generalise)
+    rated = rated.filter(chance + F.log(F.lit(float(tests))) <= F.log(F.lit(alpha)))
+    return rated.select("entity", "term", "disclosure", (F.col("disclosure") >= remove).alias("removed"))
+
+
+def marked(docs: DataFrame, told: DataFrame) -> DataFrame:
+    """key and found_terms: all occurrences of the disclosing terms. Only texts that hold one are cut into positions."""
+    by_term = save(told.groupBy("term").agg(F.max("removed").alias("removed")), "disclosing")
+    if by_term.count() <= BROADCAST_TERMS:
+        by_term = F.broadcast(by_term)
+    read = docs.select(_key(), F.coalesce("text", F.lit("")).alias("text"))
+    each = read.select("key", F.explode(terms(F.col("text"))).alias("term"))
+    holding = save(each.join(by_term, "term", "left_semi").select("key").distinct(), "holding")
+    words = read.join(holding, "key", "left_semi").select("key", F.explode(spans(F.col("text"), TERM)).alias("w"))
+    hits = words.select("key", "w.start", "w.end", F.lower("w.value").alias("term")).join(by_term, "term")
+    return hits.groupBy("key").agg(F.collect_set(F.struct("start", "end", "removed")).alias("found_terms"))
 
 
 def private(docs: DataFrame, *keep: str, **how) -> DataFrame:
     """doc_id, n_<kind> of the base kinds, base_sha256, n_removed, n_generalised, spans, all_spans and ``keep``."""
     rows = found(docs, *keep)
-    near = save(beside(rows), "beside")
-    told = disclosing(docs, near, **how)
-    hits = near.join(told, ["entity", "term"]).groupBy("uid", "start", "end").agg(F.max("removed").alias("removed"))
-    term = F.struct("start", F.lit(4).alias("kind"), "end", F.when(F.col("removed"), "removed").otherwise("generalised").alias("value"), F.lit("").alias("left"), F.lit("").alias("right"))
-    of_row = hits.groupBy("uid").agg(F.collect_list(term).alias("found_terms"))
-    both = rows.join(of_row, "uid", "left")
+    of_row = marked(docs, disclosing(docs, rows, **how))
+    both = rows.join(of_row, "key", "left")
     apart = F.filter(F.col("found_terms"), lambda w: ~F.exists("base", lambda s: (w["start"] < s["end"]) & (w["end"] > s["start"])))
-    both = both.withColumn("terms", F.coalesce(apart, F.array().cast(_ORDER)))
+    shown = lambda w: F.struct(w["start"].alias("start"), F.lit(4).alias("kind"), w["end"].alias("end"), F.when(w["removed"], "removed").otherwise("generalised").alias("value"))
+    both = both.withColumn("terms", F.coalesce(F.transform(apart, shown), F.array().cast(_ORDER)))
     every = F.array_sort(F.concat("base", "terms"))
     removed = F.size(F.filter("terms", lambda s: s["value"] == "removed"))
     return both.select(

@@ -312,6 +312,23 @@ def test_disclosing_terms(spark, docs):
     assert all("@" not in t and "zanzibar" not in t and "[email]" in t for t in clean.values())
 
 
+def test_disclosing_terms_anywhere(spark):
+    """Two documents name a value, far from the word that goes with it; a third holds the word alone. Words of one document, or common ones, stay."""
+    r = random.Random(12)
+    common = [f"common{i}" for i in range(400)]
+    fill = lambda n: " ".join(r.choices(common, k=n))
+    texts = [fill(20) + f" once{i}" for i in range(4000)]
+    texts[7] = f"Zanzibar {fill(300)} once7 4@mail.example.org {fill(5)}"
+    texts[8] = f"{fill(5)} 4@MAIL.example.org {fill(60)} once8 ZANZIBAR. zanzibar"
+    texts[9] = f"{fill(3)} zanzibar {fill(3)}"
+    for i in range(10, 40):
+        texts[i] = f"{fill(20)} {i}@mail.example.org {fill(20)} once{i}"
+    out = {x.doc_id: x for x in disclosure.private(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        terms = [text[int(a) : int(b)].lower() for kind, a, b in (x.split(":") for x in filter(None, out[i].spans.split(","))) if kind == "term"]
+        assert terms == ["zanzibar"] * {7: 1, 8: 2, 9: 1}.get(i, 0)
+
+
 def linked(table):
     sets = []
     for _, text in table:
