@@ -3,6 +3,7 @@ extra columns that are named like results."""
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -178,6 +179,41 @@ def test_spaced_seeds(spark, docs, none):
     assert spaced_seeds.uncontaminated(docs, items.limit(0)).count() == len(rows())
 
 
+def test_spaced_seeds_find_all_patterns():
+    """Every placement of up to a fifth of substitutions in a short item, by brute force."""
+    for n in (8, 9, 10, 11, 13, 15, 16, 20):
+        words = [f"w{i}" for i in range(n)]
+        items = spaced_seeds.Items([(1, " ".join(words))])
+        for k in range(n // 5 + 1):
+            if n - k >= 0.8 * n:
+                for at in itertools.combinations(range(n), k):
+                    text = "before it " + " ".join("zzz" if i in at else w for i, w in enumerate(words)) + " after"
+                    assert [x[4] for x in items.overlaps(text, 13, 0.8, 0.8)] == [n - k], (n, at)
+
+
+def test_masks_miss_no_stretch():
+    """The least substitutions that keep all masks from hitting, for each length: always more than a fifth."""
+    bits, least = [(len(m), int(m, 2)) for m in spaced_seeds.MASKS], {0: 0}
+    for n in range(1, 300):
+        new = {}
+        for state, k in least.items():
+            for equal in (0, 1):
+                now = (state << 1 | equal) & 255
+                if not (equal and any(n >= size and now & m == m for size, m in bits)):
+                    new[now] = min(new.get(now, n), k + 1 - equal)
+        least = new
+        assert n < 8 or 5 * min(least.values()) > n
+
+
+def test_best_stretch():
+    r = np.random.default_rng(4)
+    for _ in range(2000):
+        equal = r.random(int(r.integers(1, 40))) < r.choice([0.3, 0.75, 0.9])
+        n = max(int(equal[a:b].sum()) for a in range(len(equal)) for b in range(a, len(equal) + 1) if 5 * equal[a:b].sum() >= 4 * (b - a))
+        a, b = spaced_seeds.best_stretch(equal)
+        assert equal[a:b].sum() == n and 5 * n >= 4 * (b - a)
+
+
 def removed(texts):
     raws = [(t or "").encode() for t in texts]
     n = collections.Counter(b[i : i + 400] for b in raws for i in range(len(b) - 399))
