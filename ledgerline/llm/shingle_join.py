@@ -1,8 +1,8 @@
 """Jaccard join of word shingles by token-combination prefixes, and the groups that its links make.
 
-Tokens are the hashed 4-word shingles of a document's set. They are ordered from rare to frequent by a count sketch of fixed size
+Tokens are the hashed shingles of a document's set, of 4 words, with a similarity of 85% unless ``size`` and ``percent`` say otherwise. They are ordered from rare to frequent by a count sketch of fixed size
 (2^22 cells, summed over all documents; broadcast as one byte a cell), then by hash. Two sets of sizes up to n that are similar
-share ``o = ceil(0.85 n)`` tokens at least, so their first ``n - o + 1`` tokens meet, and their first ``n - o + 1 + CLASSES``
+share ``o = ceil(percent/100 n)`` tokens at least, so their first ``n - o + 1`` tokens meet, and their first ``n - o + 1 + CLASSES``
 tokens share ``CLASSES + 1``. Hence the keys of a document:
 
 * each rare token of the short prefix by itself;
@@ -15,7 +15,7 @@ rows); the connected candidates form clusters, whose texts are fetched once and
 cluster in blocks of bounded size, count common tokens by matrix products and return a spanning forest of the links found. The forest's
 components are the answer. No pair list of a group is ever made.
 
-Defined results: the null and the empty text have the empty set and link with nothing (component: the own id). Fewer than four words
+Defined results: the null and the empty text have the empty set and link with nothing (component: the own id). Fewer words than a shingle has
 are one token. Equal sets link, copies and repeated rows included; they count as one set all along. A null id is ignored when
 a component's smallest id is taken; a component of null ids only has a null one. Other columns are ignored.
 """
@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from ledgerline.llm.common import batches, save, texts
 from ledgerline.llm.components import components
-from ledgerline.llm.shingles import mix, shingles
+from ledgerline.llm.shingles import SIZE, mix, shingles
 
 #: Similarity in percent, classes of frequent tokens, cells of the sketch (a power of two) and of the set filter.
 PERCENT, CLASSES, CELL_BITS, FILTER_BITS = 85, 16, 22, 25
@@ -77,13 +77,13 @@ def _sum_slices(rows: DataFrame, make, cells: int, kind, join) -> np.ndarray:
     return out
 
 
-def frequency_levels(docs: DataFrame, bits: int = CELL_BITS) -> np.ndarray:
+def frequency_levels(docs: DataFrame, bits: int = CELL_BITS, size: int = SIZE) -> np.ndarray:
     """A level for each cell of the sketch, rising with its count; 128 and more: frequent."""
 
     def count(parts):
         total = None
         for batch in parts:
-            cells = [_cells(shingles(t), bits) for t in texts(batch)]
+            cells = [_cells(shingles(t, size), bits) for t in texts(batch)]
             if total is None:
                 total = np.zeros(1 << bits, np.uint32)
             if cells:
@@ -121,7 +121,7 @@ def signature(tokens: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
 
 
-def indexed(docs: DataFrame, levels: np.ndarray) -> DataFrame:
+def indexed(docs: DataFrame, levels: np.ndarray, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n, sig and keys of every document; of equal sets in a batch only the first carries keys."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("keys", pa.list_(pa.int64()))])
@@ -131,9 +131,9 @@ def indexed(docs: DataFrame, levels: np.ndarray) -> DataFrame:
             rows: dict[str, list] = {n: [] for n in schema.names}
             seen: set[int] = set()
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                tokens = shingles(text)
+                tokens = shingles(text, size)
                 sig = signature(tokens)
-                own = [] if sig in seen else keys(tokens, shared.value).view(np.int64)
+                own = [] if sig in seen else keys(tokens, shared.value, percent).view(np.int64)
                 seen.add(sig)
                 for k, x in zip(schema.names, (doc_id, len(tokens), sig, own)):
                     rows[k].append(x)
@@ -142,13 +142,13 @@ def indexed(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, sig long, keys array<long>")
 
 
-def candidate_clusters(index: DataFrame) -> DataFrame:
+def candidate_clusters(index: DataFrame, percent: int = PERCENT) -> DataFrame:
     """node (sig) and component (cluster) of all sets that share a key with another of similar size."""
     postings = index.select(F.explode("keys").alias("key"), "sig", "n")
     several = postings.groupBy("key").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).filter(F.col("low") < F.col("high")).select("key")
     active = save(postings.join(several, "key"), "active-postings")
     # sizes: similar sets differ by at most one class, so each set is listed under its own and the next
-    size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / PERCENT)) + F.lit(1e-9))
+    size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + F.lit(1e-9))
     listed = active.withColumn("size", F.explode(F.array(size, size + 1))).select("sig", F.xxhash64("key", "size").alias("key"))
     hubs = listed.groupBy("key").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).filter(F.col("low") < F.col("high")).select("key", "low")
     return components(listed.join(hubs, "key").filter(F.col("sig") != F.col("low")).select(F.col("sig").alias("a"), F.col("low").alias("b")))
@@ -169,7 +169,7 @@ def _filter_of(sigs: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return _sum_slices(sigs.select("sig"), mark, 1 << bits - 3, np.uint8, lambda a, b: a | b)
 
 
-def cluster_texts(docs: DataFrame, clusters: DataFrame) -> DataFrame:
+def cluster_texts(docs: DataFrame, clusters: DataFrame, size: int = SIZE) -> DataFrame:
     """component, sig, n and packed (one compressed text of each set) of all sets in a cluster."""
     shared = docs.sparkSession.sparkContext.broadcast(_filter_of(clusters.withColumnRenamed("node", "sig")))
     schema = pa.schema([("sig", pa.int64()), ("n", pa.int64()), ("packed", pa.binary())])
@@ -182,7 +182,7 @@ def cluster_texts(docs: DataFrame, clusters: DataFrame) -> DataFrame:
             rows: dict[str, list] = {n: [] for n in schema.names}
             seen: set[int] = set()
             for text in texts(batch):
-                tokens = shingles(text)
+                tokens = shingles(text, size)
                 sig = signature(tokens)
                 at = int(_cells(mix(np.array([sig], np.int64).view(np.uint64)), len(table).bit_length() + 2)[0])
                 if sig not in seen and table[at >> 3] >> (at & 7) & 1:
@@ -195,7 +195,7 @@ def cluster_texts(docs: DataFrame, clusters: DataFrame) -> DataFrame:
     return got.join(clusters.withColumnRenamed("node", "sig"), "sig")
 
 
-def links(members: DataFrame) -> DataFrame:
+def links(members: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """a and b: a spanning forest of the links between the sets of each cluster. members: see ``cluster_texts``."""
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS))
@@ -205,7 +205,7 @@ def links(members: DataFrame) -> DataFrame:
     pairs = pairs.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(forest(group), columns=["a", "b"], dtype="int64")
+        return pd.DataFrame(forest(group, percent, size), columns=["a", "b"], dtype="int64")
 
     # the work is in the pairs, not in the bytes: a fixed number of partitions, which are not put together by size
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -236,7 +236,7 @@ def _common(row: np.ndarray, token: np.ndarray, many: np.ndarray, n: int) -> np.
     return common
 
 
-def forest(group: pd.DataFrame, percent: int = PERCENT) -> list[tuple[int, int]]:
+def forest(group: pd.DataFrame, percent: int = PERCENT, size: int = SIZE) -> list[tuple[int, int]]:
     """Edges that connect the sets of a group just as their links do."""
     import zstandard
 
@@ -244,11 +244,11 @@ def forest(group: pd.DataFrame, percent: int = PERCENT) -> list[tuple[int, int]]
         return []
     loosen = zstandard.ZstdDecompressor().decompress
     sigs = group["sig"].tolist()
-    sets = [shingles(loosen(x).decode("utf-8", "surrogatepass")) for x in group["packed"]]
-    size = np.array([len(s) for s in sets], np.int64)
+    sets = [shingles(loosen(x).decode("utf-8", "surrogatepass"), size) for x in group["packed"]]
+    many_of = np.array([len(s) for s in sets], np.int64)
     tokens, at, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    common = _common(np.repeat(np.arange(len(sets)), size), at, many, len(sets))
-    linked = 100 * common >= percent * (size[:, None] + size[None, :] - common)
+    common = _common(np.repeat(np.arange(len(sets)), many_of), at, many, len(sets))
+    linked = 100 * common >= percent * (many_of[:, None] + many_of[None, :] - common)
     out, left = [], np.ones(len(sets), bool)
     for root in range(len(sets)):
         if left[root]:
@@ -263,12 +263,12 @@ def forest(group: pd.DataFrame, percent: int = PERCENT) -> list[tuple[int, int]]
     return out
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """The documents, all their columns, of which each group of linked ones keeps one: the smallest id, then the least text.
 
     A document that is its group's representative is told by its own set and id, so only ids and sets are joined, not texts.
     Empty sets stay. Groups of null ids only keep the set with the least signature."""
-    found = save(grouped(docs).filter(F.col("n_shingles") > 0), "groups")
+    found = save(grouped(docs, size, percent).filter(F.col("n_shingles") > 0), "groups")
     first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("sig").alias("sig"))
     schema, own_sig = docs.schema, "group_sig"
     while own_sig in docs.columns:
@@ -276,7 +276,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     def tagged(parts):
         for batch in parts:
-            tokens = [shingles(t) for t in texts(batch)]
+            tokens = [shingles(t, size) for t in texts(batch)]
             sigs = pa.array([signature(t) if len(t) else None for t in tokens], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, sigs], names=[*batch.schema.names, own_sig])
 
@@ -289,11 +289,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return packed.filter(F.col("group_sig").isNull()).select("row.*").unionByName(one.select("row.*"))
 
 
-def grouped(docs: DataFrame) -> DataFrame:
+def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and sig of every document."""
-    index = save(indexed(docs, frequency_levels(docs)), "shingle-index")
-    clusters = save(candidate_clusters(index), "clusters")
-    found = components(links(save(cluster_texts(docs, clusters), "cluster-texts")))
+    index = save(indexed(docs, frequency_levels(docs, size=size), size, percent), "shingle-index")
+    clusters = save(candidate_clusters(index, percent), "clusters")
+    found = components(links(save(cluster_texts(docs, clusters, size), "cluster-texts"), size, percent))
     linked = index.select("doc_id", "n", "sig").filter(F.col("n") > 0).join(found.select(F.col("node").alias("sig"), "component"), "sig", "left")
     linked = linked.withColumn("component", F.coalesce("component", "sig"))
     least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -29,3 +29,12 @@ def test_stages(spark, docs, tmp_path):  # noqa: F811
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert 0 < len({r.doc_id for r in out.collect()}) <= read(spark, SF_SMALL, "documents").count()
+
+
+def test_near_copies_five_words_80_percent(spark, tmp_path):
+    """A block of a fifth added (0.83), five words of 230 changed (0.80 by five words), and a copy below 0.8."""
+    long, words, other = ([f"{c}{i}" for i in range(n)] for c, n in (("a", 1000), ("b", 230), ("c", 300)))
+    changed = ["zzz" if i % 40 == 20 and i < 200 else w for i, w in enumerate(words)]
+    table = [long, long + [f"x{i}" for i in range(200)], words, changed, other, other + [f"y{i}" for i in range(90)]]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(table)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, df, str(tmp_path)).collect()) == [0, 2, 4, 5]
