@@ -264,12 +264,13 @@ def forest(group: pd.DataFrame, percent: int = PERCENT, size: int = SIZE) -> lis
 
 
 def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The documents, all their columns, of which each group of linked ones keeps one: the smallest id, then the least text.
+    """The documents, all their columns, of which each group of linked ones keeps one: the smallest id, then the least set, then the least text.
 
     A document that is its group's representative is told by its own set and id, so only ids and sets are joined, not texts.
-    Empty sets stay. Groups of null ids only keep the set with the least signature."""
-    found = save(grouped(docs, size, percent).filter(F.col("n_shingles") > 0), "groups")
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("sig").alias("sig"))
+    Groups are known by their component, as several may have the same smallest id, or null ids only. Empty sets stay."""
+    linked = save(_linked(docs, size, percent)[1], "groups")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("c"), F.col("sig").alias("s")))
+    first = linked.groupBy("component").agg(least.alias("least")).select("least.c", "least.s")
     schema, own_sig = docs.schema, "group_sig"
     while own_sig in docs.columns:
         own_sig += "_"
@@ -282,7 +283,7 @@ def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Da
 
     own = docs.mapInArrow(tagged, T.StructType([*schema.fields, T.StructField(own_sig, T.LongType())]))
     packed = own.select(F.struct(*schema.names).alias("row"), F.col(own_sig).alias("group_sig"))
-    kept = packed.filter(F.col("group_sig").isNotNull()).join(first.withColumnsRenamed({"sig": "s", "component_id": "c"}), (F.col("group_sig") == F.col("s")) & F.col("row.doc_id").eqNullSafe(F.col("c")), "left_semi")
+    kept = packed.filter(F.col("group_sig").isNotNull()).join(first, (F.col("group_sig") == F.col("s")) & F.col("row.doc_id").eqNullSafe(F.col("c")), "left_semi")
     # equal rows of an id and set: one of them
     order = Window.partitionBy("row.doc_id", "group_sig").orderBy("row.text")
     one = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == 1)
@@ -291,12 +292,17 @@ def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Da
 
 def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and sig of every document."""
-    index = save(indexed(docs, frequency_levels(docs, size=size), size, percent), "shingle-index")
-    clusters = save(candidate_clusters(index, percent), "clusters")
-    found = components(links(save(cluster_texts(docs, clusters, size), "cluster-texts"), size, percent))
-    linked = index.select("doc_id", "n", "sig").filter(F.col("n") > 0).join(found.select(F.col("node").alias("sig"), "component"), "sig", "left")
-    linked = linked.withColumn("component", F.coalesce("component", "sig"))
+    index, linked = _linked(docs, size, percent)
     least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     full = linked.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "sig")
     none = index.filter(F.col("n") == 0).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "sig")
     return full.unionByName(none)
+
+
+def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The index; and doc_id, n, sig and component (a set's signature) of every document whose set is not empty."""
+    index = save(indexed(docs, frequency_levels(docs, size=size), size, percent), "shingle-index")
+    clusters = save(candidate_clusters(index, percent), "clusters")
+    found = components(links(save(cluster_texts(docs, clusters, size), "cluster-texts"), size, percent))
+    linked = index.select("doc_id", "n", "sig").filter(F.col("n") > 0).join(found.select(F.col("node").alias("sig"), "component"), "sig", "left")
+    return index, linked.withColumn("component", F.coalesce("component", "sig"))

@@ -38,3 +38,13 @@ def test_near_copies_five_words_80_percent(spark, tmp_path):
     table = [long, long + [f"x{i}" for i in range(200)], words, changed, other, other + [f"y{i}" for i in range(90)]]
     df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(table)], "doc_id long, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, df, str(tmp_path)).collect()) == [0, 2, 4, 5]
+
+
+def test_near_copies_of_null_and_repeated_ids(spark, tmp_path):
+    """Unrelated texts stay, whether they have no id or the same one; copies go, those without an id before those with one."""
+    text = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcdefgh"]
+    rows = [(None, text[0]), (None, text[1]), (None, text[2]), (None, text[2]), (5, text[3]), (5, text[4]), (6, text[4]), (None, text[5]), (9, text[5]), (None, ""), (None, text[6] + " more"), (None, text[6])]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()]
+    one = [x for x in got if x[1] in (text[6], text[6] + " more")]
+    assert len(one) == 1
+    same([x for x in got if x not in one], [(None, text[0]), (None, text[1]), (None, text[2]), (5, text[3]), (5, text[4]), (9, text[5]), (None, "")])
