@@ -9,7 +9,7 @@ that similarity, is missed by a window with a probability of at most ``MISS``. R
 the share of the template's distinct shingles that the text holds must reach ``CONTAINMENT``.
 
 A shingle of a template always holds that template's chosen word (its longest); texts and windows without any chosen word share no
-shingle with a template, so they are not hashed. Template tables are parameters of bounded size (checked: ``MAX_TEMPLATES``).
+shingle with a template, so they are not hashed. Of the other texts those without any shingle of a small template table are left out as well. Template tables are parameters of bounded size (checked: ``MAX_TEMPLATES``).
 Defined results: null and empty texts, and templates without words, match nothing. Repeated rows each get their matches, null ids
 included; other columns are ignored. DataFrame functions only.
 """
@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,15 +28,44 @@ from ledgerline.llm.common import save
 
 SHINGLE, WINDOW, STEP, CONTAINMENT, MISS = 5, 12, 4, 0.8, 1e-3
 MAX_TEMPLATES = 10_000
+#: Templates of so many words in all have their shingles listed in the plan.
+LISTED_WORDS = 5_000
 
-#: Statements by which texts name their licence, under SPDX identifiers.
+#: Short notices, the sentences of standard headers that name a version, permission clauses and titles of license texts, under SPDX
+#: identifiers and, if there are several of one, what they are. Each begins and ends so that another version or license lacks more
+#: than a fifth of its shingles. None has fewer words than a shingle: the SQL below has no shorter ones.
 TEMPLATES = [
+    ("AGPL-3.0", "GNU Affero General Public License, version 3"),
+    ("AGPL-3.0 header", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("Apache-2.0 header", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0 name", "the Apache License, Version 2.0"),
+    ("Apache-2.0 title", "Apache License Version 2.0, January 2004"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause endorsement", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International"),
+    ("CC-BY-4.0 short", "under CC BY 4.0"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International"),
+    ("CC-BY-NC-4.0 short", "under CC BY-NC 4.0"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International"),
+    ("CC-BY-SA-4.0 short", "under CC BY-SA 4.0"),
+    ("CC0-1.0", "CC0 1.0 Universal Public Domain Dedication"),
+    ("CC0-1.0 title", "Creative Commons Legal Code CC0 1.0 Universal"),
+    ("GPL-2.0", "GNU General Public License, version 2"),
+    ("GPL-2.0 header", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("GPL-3.0", "GNU General Public License, version 3"),
+    ("GPL-3.0 header", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("LGPL-2.1", "GNU Lesser General Public License, version 2.1"),
+    ("LGPL-2.1 header", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License"),
+    ("LGPL-3.0", "GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0 header", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License"),
     ("MIT", "Released under the MIT License."),
+    ("MIT licensed", "Licensed under the MIT License."),
+    ("MIT text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MPL-2.0", "Mozilla Public License, version 2.0"),
+    ("MPL-2.0 header", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
 ]
 
 
@@ -85,22 +116,25 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
 
     # only texts with a chosen word go on; the row's identity lets repeated and null ids each keep their own
     tagged = docs.select("doc_id", "text", words(F.col("text")).alias("words")).filter(F.arrays_overlap("words", marks))
+    table = spark.createDataFrame([(k, w) for k, (_, w) in enumerate(of)], "template int, words array<string>")
+    if sum(len(w) for _, w in of) <= LISTED_WORDS:  # and of those only the ones with a shingle of a template
+        own_sets = [(s, spark.createDataFrame([(w,) for _, w in of if min(SHINGLE, len(w)) == s], "words array<string>").select(F.explode(_shingles(F.col("words"), s))).distinct().collect()) for s in sizes]
+        tagged = tagged.filter(reduce(or_, (F.arrays_overlap(_shingles(F.col("words"), s), F.array(*(F.lit(r[0]) for r in got))) for s, got in own_sets)))
     kept = save(tagged.select("doc_id", F.struct("doc_id", F.sha2("text", 256).alias("h")).alias("row"), "words"), "license-texts")
 
     n = bands(miss)
-    table = spark.createDataFrame([(k, w) for k, (_, w) in enumerate(of)], "template int, words array<string>")
 
     def keyed(df: DataFrame, by: str) -> DataFrame:
         """(by, signature) of all windows and shingle sizes."""
         each = df.select(by, F.explode(_windows(F.col("words"))).alias("w")).filter(F.arrays_overlap("w", marks))
         sets = F.array(*(F.struct(F.lit(s).alias("size"), _shingles(F.col("w"), s).alias("set")) for s in sizes))
         each = each.select(by, F.explode(sets).alias("s")).select(by, "s.size", "s.set").filter(F.size("set") > 0)
-        return each.select(by, "size", F.explode(_signatures(F.col("set"), n)).alias("signature")).distinct()
+        return each.select(by, "size", F.explode(_signatures(F.col("set"), n)).alias("signature"))
 
     # a template meets windows by the signatures of its own shingle size
     own = F.least(F.size("words"), F.lit(SHINGLE))
-    sides = keyed(table, "template").join(table.select("template", own.alias("own")), "template").filter(F.col("size") == F.col("own")).drop("own")
-    met = keyed(kept, "row").join(F.broadcast(sides), ["size", "signature"]).groupBy("row").agg(F.collect_set("template").alias("templates"))
+    sides = keyed(table, "template").distinct().join(table.select("template", own.alias("own")), "template").filter(F.col("size") == F.col("own")).drop("own")
+    met = save(keyed(kept, "row").join(F.broadcast(sides), ["size", "signature"]).groupBy("row").agg(F.collect_set("template").alias("templates")), "license-pairs")
 
     # verification over whole texts
     facts = table.select("template", F.element_at(F.array(*map(F.lit, [t or "" for t, _ in of])), F.col("template") + 1).alias("license_id"), own.alias("own"), F.when(own == SHINGLE, _shingles(F.col("words"), SHINGLE)).otherwise(F.array(F.xxhash64(F.array_join("words", " ")))).alias("wanted"))

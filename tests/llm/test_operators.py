@@ -433,6 +433,26 @@ def test_licenses(spark, docs, none):
     assert [r.license_id for r in licenses.scan(docs, odd).collect()] == ["short"]
 
 
+def test_license_notices(spark):
+    """Variants, headers and clauses are found; another version or license is not taken for it."""
+    gpl = "under the terms of the GNU General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+    cases = [
+        ("Licensed under CC BY 4.0", {"CC-BY-4.0"}), ("Licensed under CC BY-NC 4.0.", {"CC-BY-NC-4.0"}), ("Licensed under CC BY-SA 3.0.", set()),
+        ("Licensed under the GNU General Public License, version 3", {"GPL-3.0"}), ("This work is licensed under the GNU General Public License, version 3.", {"GPL-3.0"}),
+        ("This work is licensed under the GNU General Public License, version 2.", {"GPL-2.0"}), ("the GNU Lesser General Public License, version 3", {"LGPL-3.0"}),
+        (gpl.format(";", 2), {"GPL-2.0"}), (gpl.format(",", 3), {"GPL-3.0"}), (gpl.format(",", 3).replace("GNU", "GNU Affero"), {"AGPL-3.0"}), (gpl.format(";", "2.1").replace("GNU", "GNU Lesser"), {"LGPL-2.1"}),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", {"CC-BY-4.0"}),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\")", {"MIT"}),
+        ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:", {"BSD"}),
+        ("This Source Code Form is subject to the terms of the Mozilla Public\n  License, v. 2.0. If a copy", {"MPL-2.0"}), ("CC0 1.0 Universal (CC0 1.0) Public Domain Dedication. Creative Commons Legal Code\n\nCC0 1.0 Universal", {"CC0-1.0"}),
+        ("Licensed under the Apache License, Version 2.0 (the License)", {"Apache-2.0"}), ("Licensed under the Apache License, Version 1.1", set()), ("the license of a driver", set()),
+    ]
+    table = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    found = {(r.doc_id, r.license_id.split(" ")[0]) for r in licenses.scan(table, licenses.template_table(spark)).collect()}
+    assert found == {(i, x) for i, (_, names) in enumerate(cases) for x in names}
+    assert len({x for x, _ in licenses.TEMPLATES}) == len(licenses.TEMPLATES)
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
 
