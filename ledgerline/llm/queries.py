@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import disclosure, fourier, language, licenses, line_crf, mixing, planes, repeats, shingle_join, spaced_seeds
+from ledgerline.llm import disclosure, filter_audit, fourier, language, licenses, line_crf, mixing, planes, repeats, shingle_join, spaced_seeds, spelling
 from ledgerline.llm.common import held_out, read, save, ship
 
 
@@ -62,6 +62,14 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"), licenses.template_table(spark))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -70,7 +78,11 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
     return run
 
 
-QUERIES = {f.__name__: _with_package(f) for f in (op1_line_crf, op2_bit_planes, op3_mixing, op4_spaced_seeds, op5_repeats, op6_fourier, op7_language, op8_disclosure, op9_shingle_join, op10_licenses)}
+_ALL = (
+    op1_line_crf, op2_bit_planes, op3_mixing, op4_spaced_seeds, op5_repeats, op6_fourier, op7_language, op8_disclosure,
+    op9_shingle_join, op10_licenses, op11_spelling, op12_filter_audit,
+)
+QUERIES = {f.__name__: _with_package(f) for f in _ALL}
 
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op10_licenses": licenses.SQL}
+SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op10_licenses": licenses.SQL, "op12_filter_audit": filter_audit.SQL}
