@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import disclosure, filter_audit, fourier, language, licenses, line_crf, mixing, planes, repeats, shingle_join, spaced_seeds, spelling
+from ledgerline.llm import disclosure, filter_audit, fourier, language, licenses, line_crf, minhash, mixing, planes, repeats, shingle_join, spaced_seeds, spelling
 from ledgerline.llm.common import held_out, read, save, ship
 
 
@@ -70,6 +70,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_copies(read(spark, sf_dir, "documents"))
+
+
 def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -80,7 +84,7 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 
 _ALL = (
     op1_line_crf, op2_bit_planes, op3_mixing, op4_spaced_seeds, op5_repeats, op6_fourier, op7_language, op8_disclosure,
-    op9_shingle_join, op10_licenses, op11_spelling, op12_filter_audit,
+    op9_shingle_join, op10_licenses, op11_spelling, op12_filter_audit, op13_minhash,
 )
 QUERIES = {f.__name__: _with_package(f) for f in _ALL}
 
