@@ -32,3 +32,13 @@ def remove_words(c: Column, words: Iterable[str]) -> Column:
 def split_ids(c: Column, sep: str = ", ") -> Column:
     """Delimited id list as ``array<int>``; NULL stays NULL."""
     return F.split(c, re.escape(sep)).cast("array<int>")
+
+
+def collated(c: Column, collation: str | None = None) -> Column:
+    """The text under a collation, for grouping and comparing (``UNICODE``, ``UNICODE_CI``, ``de_AI``, ...); as it is without one."""
+    return F.collate(c, collation) if collation else c
+
+
+def sort_key(c: Column, collation: str | None = None) -> Column:
+    """What text is ordered by: its collation, and bytewise where that makes no difference, so that every order is total."""
+    return F.struct(F.collate(c, collation), c.alias("text")) if collation else F.struct(c.alias("text"))

@@ -32,8 +32,14 @@ def clean_sentinels(df: DataFrame, cols: Iterable[str], sentinels: Iterable[str]
 
 
 def _retype(df: DataFrame, col: str, cleaned: Column, dtype: str, rejects: str | None) -> DataFrame:
-    """``col`` as ``dtype``; text that is not one becomes NULL and, with ``rejects``, is kept in that column."""
+    """``col`` as ``dtype``; text that is not one becomes NULL and, with ``rejects``, is kept in that column.
+
+    A decimal takes only text that it holds in full: digits beyond its scale would be rounded away, so such text is none
+    (zeros aside), and neither is a negative power of ten."""
     typed = cleaned.try_cast(dtype)
+    if dtype.startswith("decimal"):
+        scale = int(dtype.rstrip(")").split(",")[1])
+        typed = F.when(~cleaned.rlike(rf"\.\d{{{scale}}}\d*[1-9]") & ~cleaned.rlike("[eE]-"), typed)
     if rejects:
         df = df.withColumn(rejects, F.when(cleaned.isNotNull() & typed.isNull(), F.col(col)))
     return df.withColumn(col, typed)
@@ -48,7 +54,7 @@ def clean_distance(df: DataFrame, col: str = "distance", unit_chars: str = DISTA
                    dtype: str = f"decimal(28,{DISTANCE_DIGITS})", rejects: str | None = None) -> DataFrame:
     """``'null'`` -> NULL, strip unit characters at both ends (``'23.4 km'``, ``'20km'``), cast.
 
-    DECIMAL instead of REAL so that sums do not depend on partitioning; wide, so that no digit of a distance is lost.
+    DECIMAL instead of REAL so that sums do not depend on partitioning; text with more decimals than the type (zeros aside) is no distance.
     """
     return _retype(df, col, strip_chars(null_if_sentinel(F.col(col), ("null",)), unit_chars), dtype, rejects)
 
@@ -79,9 +85,12 @@ def normalize_list_column(df: DataFrame, key: str, list_col: str, item_col: str
     return df.select(F.col(key), F.explode(split_ids(F.col(list_col), sep)).alias(item_col))
 
 
-def clean_weekly_sales(df: DataFrame, pivot: int = 70) -> DataFrame:
+def clean_weekly_sales(df: DataFrame, pivot: int = 70, iso_year: bool = False) -> DataFrame:
     """The analysis-ready weekly mart (13 columns).
 
+    ``iso_year``: ``calendar_year`` is the year that the ISO week belongs to (2021-01-03 lies in week 53 of 2020), so that a
+    week number and its year never name different weeks; by default it is the date's own year, as in the reference.
+
     ``week_date`` text ``d/M/yy`` -> DATE (two-digit years pivot at ``pivot``); ISO week, month, year;
     segment NULL/'null' -> 'Unknown'; age band from the segment's last character, demographic from
     its first; ``avg_transaction = ROUND(sales / transactions, 2)`` exactly (NULL for 0 transactions).
@@ -96,7 +105,7 @@ def clean_weekly_sales(df: DataFrame, pivot: int = 70) -> DataFrame:
         week_date.alias("week_date"),
         F.weekofyear(week_date).alias("week_number"),
         F.month(week_date).alias("month_number"),
-        F.year(week_date).alias("calendar_year"),
+        (F.extract(F.lit("YEAROFWEEK"), week_date) if iso_year else F.year(week_date)).alias("calendar_year"),
         F.col("region"),
         F.col("platform"),
         F.when((seg == "null") | seg.isNull(), "Unknown").otherwise(seg).alias("segment"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import day_name, seconds_between, week_start
 from ledgerline.functions.numeric import round_ratio
-from ledgerline.functions.text import split_ids
+from ledgerline.functions.text import collated, sort_key, split_ids
 from ledgerline.operators.clean import DISTANCE_DIGITS
 from ledgerline.operators.rank import top_n
 
@@ -169,29 +169,35 @@ def success_rate_by_runner(orders: DataFrame) -> DataFrame:
     return orders.groupBy("runner_id").agg(round_ratio(ok * 100, F.count("order_id"), 0).alias("success_percentage"))
 
 
-def standard_ingredients(bridge: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
-    """Alphabetical (bytewise) ingredient list per item name."""
-    named = bridge.join(names, "pizza_id").join(toppings, "topping_id")
+def standard_ingredients(bridge: DataFrame, names: DataFrame, toppings: DataFrame, collation: str | None = None) -> DataFrame:
+    """Alphabetical ingredient list per item name: bytewise, or by ``collation``."""
+    named = bridge.join(names, "pizza_id").join(toppings, "topping_id").where(F.col("topping_name").isNotNull())
+    items = F.array_sort(F.collect_list(sort_key(F.col("topping_name"), collation)))
     return named.groupBy("pizza_name").agg(
-        F.array_join(F.array_sort(F.collect_list("topping_name")), ", ").alias("standard_ingredients"))
+        F.array_join(F.transform(items, lambda s: s["text"]), ", ").alias("standard_ingredients"))
 
 
-def _top_listed(lines: DataFrame, toppings: DataFrame, col: str, out: str, n: int) -> DataFrame:
+def _top_listed(lines: DataFrame, toppings: DataFrame, col: str, out: str, n: int, collation: str | None = None) -> DataFrame:
     ids = lines.where(F.col(col).isNotNull()).select(F.explode(split_ids(F.col(col))).alias("topping_id"))
     # count per id first: map-side partial aggregation leaves one row per id and task
     per_id = ids.groupBy("topping_id").agg(F.count(F.lit(1)).alias("_n"))
-    per_name = per_id.join(toppings, "topping_id").groupBy("topping_name").agg(F.sum("_n").cast("long").alias(out))
+    named = per_id.join(toppings, "topping_id")
+    if collation:  # names that the collation takes for equal are one; the bytewise smallest spelling stands for them
+        per_name = named.groupBy(collated(F.col("topping_name"), collation).alias("_name")).agg(
+            F.min("topping_name").alias("topping_name"), F.sum("_n").cast("long").alias(out))
+        return top_n(per_name, [F.desc(out), F.asc("_name")], n).select("topping_name", out)
+    per_name = named.groupBy("topping_name").agg(F.sum("_n").cast("long").alias(out))
     return top_n(per_name, [F.desc(out), F.asc("topping_name")], n)
 
 
-def top_extra(lines: DataFrame, toppings: DataFrame, n: int = 1) -> DataFrame:
-    """Most frequently added extra over all lines (ties by name)."""
-    return _top_listed(lines, toppings, "extras", "times_added", n)
+def top_extra(lines: DataFrame, toppings: DataFrame, n: int = 1, collation: str | None = None) -> DataFrame:
+    """Most frequently added extra over all lines (ties by name, bytewise or by ``collation``)."""
+    return _top_listed(lines, toppings, "extras", "times_added", n, collation)
 
 
-def top_exclusion(lines: DataFrame, toppings: DataFrame, n: int = 1) -> DataFrame:
+def top_exclusion(lines: DataFrame, toppings: DataFrame, n: int = 1, collation: str | None = None) -> DataFrame:
     """Most frequent exclusion."""
-    return _top_listed(lines, toppings, "exclusions", "times_excluded", n)
+    return _top_listed(lines, toppings, "exclusions", "times_excluded", n, collation)
 
 
 def _line_price(premium_item: str, premium_price: int, base_price: int):

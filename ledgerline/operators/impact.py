@@ -28,8 +28,8 @@ def missing_weeks(mart: DataFrame, first: int = 1, last: int = 52, col: str = "w
     """
     spark: SparkSession = mart.sparkSession
     weeks = spark.range(first, last + 1).select(F.col("id").alias("missing_week_number"))
-    # ISO week numbers are 1..53 (plus NULL): the distinct set has a proven bound, so it is broadcast
-    present = F.broadcast(mart.select(F.col(col).alias("_w")).distinct())
+    # only numbers in the asked range matter, so the distinct set has at most last - first + 1 rows and is broadcast
+    present = F.broadcast(mart.where(F.col(col).between(first, last)).select(F.col(col).alias("_w")).distinct())
     has_null = mart.where(F.col(col).isNull()).exists()
     return (weeks.join(present, weeks.missing_week_number == present._w, "left_anti")
             .where(~has_null))

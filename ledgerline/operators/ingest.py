@@ -6,8 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.clean import normalize_list_column
+from ledgerline.sources import declared
+from ledgerline.sources.declared import Declared, Field
 
-RATING_COLUMNS = ("rating_id", "order_id", "rating", "review_text", "rating_time")
+#: The ratings table as the reference declares it: key, required columns, range, and the time of loading as a default.
+RATINGS = Declared(
+    "ledgerline.runner_ratings",
+    (
+        Field("rating_id", "BIGINT"),
+        Field("order_id", "BIGINT", required=True),
+        Field("rating", "INT", required=True, check="rating BETWEEN 1 AND 5", reason="out of range"),
+        Field("review_text", "STRING"),
+        Field("rating_time", "TIMESTAMP_NTZ", default="localtimestamp()"),
+    ),
+    key=("rating_id",),
+)
+RATING_COLUMNS = tuple(RATINGS.columns)
 
 
 def extend_bridge_table(recipes: DataFrame, new_rows: DataFrame | None = None, key: str = "pizza_id",
@@ -56,6 +70,16 @@ def ratings_table(ingested: DataFrame) -> DataFrame:
     return ingested.where("accepted").select(*RATING_COLUMNS)
 
 
+def insert_ratings(batches: list[DataFrame], table: Declared) -> DataFrame:
+    """Load batches of submitted ratings, numbered from 0, into the ratings table; every row of every batch with its ``batch_id`` and
+    ``reject_reason`` (NULL: stored). A key is stored once, whichever batches send it; loading the batches again gives the same tables."""
+    spark = batches[0].sparkSession
+    for k, rows in enumerate(batches):
+        declared.insert(rows, table, k)
+    stored = spark.table(table.name).withColumn(declared.REASON, F.lit(None).cast("string"))
+    return stored.unionByName(spark.table(table.rejects))
+
+
 def ordered_preview(df: DataFrame, order_by: list[str], n: int = 10) -> DataFrame:
     """The first ``n`` rows by a total order (``LIMIT`` alone leaves the choice undefined).
 

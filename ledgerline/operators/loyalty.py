@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.text import sort_key
 from ledgerline.operators.rank import dense_ranks, keep_best_ties, top_n
 
 
@@ -64,10 +65,13 @@ def visit_days_by_customer(sales: DataFrame) -> DataFrame:
     return sales.groupBy("customer_id").agg(F.count_distinct("order_date").alias("visit_count"))
 
 
-def first_item_by_customer(sales: DataFrame, menu: DataFrame) -> DataFrame:
-    """One earliest item per customer (ties on the date broken by product name)."""
+def first_item_by_customer(sales: DataFrame, menu: DataFrame, collation: str | None = None) -> DataFrame:
+    """One earliest item per customer (ties on the date broken by product name, bytewise or by ``collation``)."""
     best = _on_best_day(_known(sales, menu).select("customer_id", "order_date", "product_id"), F.min)
     named = best.select("customer_id", "product_id").distinct().join(menu.select("product_id", "product_name"), "product_id")
+    if collation:
+        least = F.min(F.when(F.col("product_name").isNotNull(), sort_key(F.col("product_name"), collation)))
+        return named.groupBy("customer_id").agg(least["text"].alias("product_name"))
     return named.groupBy("customer_id").agg(F.min("product_name").alias("product_name"))
 
 

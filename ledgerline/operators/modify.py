@@ -6,9 +6,8 @@ as it is excluded; an extra already in the recipe counts once). Two equivalent f
 * **per distinct modification** (default): lists become arrays and the set algebra is row-wise; the
   work that depends on the lists (resolution, name join, ordering, rendering) runs once per
   distinct list or (item, exclusions, extras) combination and is joined back to the lines, so per
-  line only a hash-join probe remains. The per-list / per-combination tables are broadcast back
-  if it turns out small at run time, dimension joins are planned
-  by size, and nothing is collected to the driver.
+  line only a hash-join probe remains. How the per-list / per-combination tables are joined back is left to their
+  size at run time, dimension joins are planned by size, and nothing is collected to the driver.
 * **relational form**: the tagged UNION ALL of recipe/extra/exclusion rows, grouped per
   (line, topping) with a HAVING on exclusions, then joined and re-aggregated per line: the
   reference's own plan, kept as the cross-check of the default form.
@@ -66,22 +65,27 @@ def _list_labels(lines: DataFrame, toppings: DataFrame, col: str, prefix: str, o
             .agg(F.concat(F.lit(prefix), F.array_join(ordered, ", ")).alias(out)))
 
 
-def order_item_label(lines: DataFrame, names: DataFrame, toppings: DataFrame, method: str = "lists") -> DataFrame:
+def order_item_label(lines: DataFrame, names: DataFrame, toppings: DataFrame, method: str = "lists",
+                     record_id: bool = False) -> DataFrame:
     """``Name - Exclude a, b - Extra c, d`` per line; absent parts skipped; ids without a topping
     are ignored; names keep list order. Lines whose item has no name are dropped (inner join).
 
     Default: each distinct list text is labelled once (explode, join, regroup; bounded by one list)
     and the labels are joined back to the lines by list text. Nothing runs while the query is built:
-    whether a label table is broadcast is left to its size in bytes at run time.
+    whether a label table is broadcast is left to its size in bytes at run time. ``record_id`` adds the line's number
+    within its order, by which the reference sorts without listing it.
     """
     if method == "relational":
         return _order_item_label_relational(lines, names, toppings)
+    if record_id:
+        lines = line_ids(lines)
     excl = _list_labels(lines, toppings, "exclusions", "Exclude ", "_excl").withColumnRenamed("_list", "_excl_list")
     extra = _list_labels(lines, toppings, "extras", "Extra ", "_extra").withColumnRenamed("_list", "_extra_list")
     j = (lines.join(names, "pizza_id")
          .join(excl, F.col("exclusions") == F.col("_excl_list"), "left")
          .join(extra, F.col("extras") == F.col("_extra_list"), "left"))
-    return j.select("order_id", "pizza_id", F.concat_ws(" - ", "pizza_name", "_excl", "_extra").alias("order_item"))
+    key = ["order_id", "record_id"] if record_id else ["order_id"]
+    return j.select(*key, "pizza_id", F.concat_ws(" - ", "pizza_name", "_excl", "_extra").alias("order_item"))
 
 
 def _order_item_label_relational(lines: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:

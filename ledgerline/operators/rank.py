@@ -9,11 +9,14 @@ order values only.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.sources.sinks import materialize, table_path
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
                   descending: bool = False) -> DataFrame:
@@ -93,3 +96,29 @@ def number_lines(df: DataFrame, key: str, content: Sequence[str], out: str = "li
     """Number the rows of each ``key`` 1..n, ordered by ``content`` (NULLs first); the result has the
     key, the content columns and ``out``. See :func:`line_number_ranges`."""
     return expand_ranges(line_number_ranges(df, key, content), out, chunk)
+
+
+def number_rows(df: DataFrame, order: Sequence[str], out: str = "row_number", partitions: int | None = None,
+                chunk: int = 1 << 20) -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY order, all other columns)``: dense table-wide numbers 1..n, NULLs first, never in one task.
+
+    Equal rows are interchangeable, so distinct contents are counted first (map-side): a content that makes up a third of the table is one row
+    from here on. The contents are range-partitioned, sorted and saved with the number of their range, so a retry sees the
+    same layout; the rows of each range are added up (one number a range goes into the offsets), and a content's numbers start after its
+    range's offset and what precedes it in the range. ``expand_ranges`` turns the counts back into rows.
+    """
+    spark = df.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    columns = df.columns
+    by = [F.col(c).asc_nulls_first() for c in [*order, *(c for c in columns if c not in order)]]
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).repartitionByRange(partitions, *by).sortWithinPartitions(*by)
+    # the number of the range in the upper bits, the place within the range in the lower 33
+    placed = materialize(counted.withColumn("_place", F.monotonically_increasing_id()), table_path(spark, f"numbered-{uuid.uuid4().hex}", local_fallback=True))
+    placed = placed.withColumn("_range", F.shiftright("_place", 33))
+    totals = placed.groupBy("_range").agg(F.sum("_n").alias("_total"))
+    listed = totals.agg(F.array_sort(F.collect_list(F.struct("_range", "_total"))).alias("all")).select(F.posexplode("all").alias("k", "r"), "all")
+    before = F.aggregate(F.slice("all", 1, F.col("k")), F.lit(0).cast("long"), lambda a, r: a + r["_total"])
+    offsets = listed.select("r._range", before.alias("_offset"))
+    inside = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.withColumn("_first", F.coalesce(F.sum("_n").over(inside), F.lit(0)) + 1).join(F.broadcast(offsets), "_range")
+    return expand_ranges(ranges.withColumn("_first", F.col("_first") + F.col("_offset")).select(*columns, "_n", "_first"), out, chunk).select(out, *columns)

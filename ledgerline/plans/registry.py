@@ -10,13 +10,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.numeric import as_reported
 from ledgerline.operators import clean, delivery, impact, ingest, loyalty, modify, shares
+from ledgerline.plans import stored
 from ledgerline.plans.materialized import shared_input
 from ledgerline.sources import bindings as b
+from ledgerline.sources.sinks import write_in_order
 
 # The rows the reference appends for its new all-toppings item (ids 3 and 8 absent).
 NEW_ITEM_TOPPINGS = (1, 2, 4, 5, 6, 7, 9, 10, 11, 12)
@@ -24,7 +27,8 @@ NEW_ITEM_ID = 5  # the next free item id of the bound item dimension (ids 0-4)
 
 
 class Inputs:
-    """Logical inputs for one scale-factor folder, built lazily (nothing runs until an action).
+    """Logical inputs for one scale-factor folder, built lazily (in mode ``none`` nothing runs until an action; the other
+    modes look at the input files once for each ``Inputs``).
 
     The inputs that the reference keeps as tables and that are derived here by joins (``sales``, the
     cleaned order lines and runner orders, ratings, the recipe bridge, the clean weekly mart) can be
@@ -34,9 +38,10 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str, mode: str = "none"):
         self.spark, self.d, self.mode = spark, sf_dir, mode
+        self._known: dict[str, str] = {}
 
     def _shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return shared_input(self.spark, name, build, self.mode)
+        return shared_input(self.spark, name, build, self.mode, self._known)
 
     SHARED = ("sales", "lines", "orders", "bridge", "ingested_ratings", "mart")
 
@@ -105,8 +110,8 @@ class Inputs:
     def mart(self) -> DataFrame:
         return self._shared("clean_weekly_sales", self.build_mart)
 
-    def build_mart(self) -> DataFrame:
-        return clean.clean_weekly_sales(b.weekly_sales(self.spark, self.d))
+    def build_mart(self, iso_year: bool = False) -> DataFrame:
+        return clean.clean_weekly_sales(b.weekly_sales(self.spark, self.d), iso_year=iso_year)
 
 
 def _new_item_rows(i: Inputs) -> DataFrame:
@@ -127,7 +132,10 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "ratings_ingest": lambda i: ingest.ratings_ingest(b.runner_ratings_raw(i.spark, i.d)),
     "clean_weekly_sales": lambda i: i.build_mart(),
     "weekly_preview": lambda i: ingest.ordered_preview(i.mart, PREVIEW_ORDER, 10),
+    "keyed_ratings_insert": lambda i: stored.keyed_ratings_insert(b.runner_ratings_raw(i.spark, i.d)),
+    "bridge_insert_repeated": lambda i: stored.bridge_insert_repeated(i.recipes, _new_item_rows(i)),
     # loyalty
+    "total_spend_bucketed": lambda i: stored.total_spend_bucketed(i.spark, i.d),
     "total_spend_by_customer": lambda i: loyalty.total_spend_by_customer(i.sales, i.menu),
     "visit_days_by_customer": lambda i: loyalty.visit_days_by_customer(i.sales),
     "first_item_by_customer": lambda i: loyalty.first_item_by_customer(i.sales, i.menu),
@@ -169,6 +177,12 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "ingredient_list_with_multiplier": lambda i: modify.ingredient_list_with_multiplier(
         i.lines, i.bridge, i.names, i.toppings),
     "ingredient_usage_delivered": lambda i: modify.ingredient_usage_delivered(i.lines, i.orders, i.bridge, i.toppings),
+    "order_lines_numbered": lambda i: stored.order_lines_numbered(i.lines),
+    "order_item_label_relational": lambda i: modify.order_item_label(i.lines, i.names, i.toppings, method="relational"),
+    "ingredient_list_relational": lambda i: modify.ingredient_list_with_multiplier(
+        i.lines, i.bridge, i.names, i.toppings, method="relational"),
+    "ingredient_usage_relational": lambda i: modify.ingredient_usage_delivered(
+        i.lines, i.orders, i.bridge, i.toppings, method="relational"),
     "revenue_fixed_price": lambda i: delivery.revenue_fixed_price(i.lines, i.orders, i.names, b.PREMIUM_ITEM),
     "revenue_with_extras": lambda i: delivery.revenue_with_extras(i.lines, i.orders, i.names, b.PREMIUM_ITEM),
     "ratings_table": lambda i: i.ratings,
@@ -189,6 +203,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "impact_4_weeks": lambda i: impact.before_after(i.mart, b.EVENT_DATE, 4, b.EVENT_YEAR),
     "impact_12_weeks": lambda i: impact.before_after(i.mart, b.EVENT_DATE, 12, b.EVENT_YEAR),
     "impact_by_year": lambda i: impact.impact_by_year(i.mart),
+    "clean_weekly_sales_iso": lambda i: i.build_mart(iso_year=True),
+    "impact_by_iso_year": lambda i: impact.impact_by_year(i.build_mart(iso_year=True)),
     "impact_by_region": lambda i: impact.impact_by(i.mart, "region", b.EVENT_YEAR),
     "impact_by_platform": lambda i: impact.impact_by(i.mart, "platform", b.EVENT_YEAR),
     "impact_by_age_band": lambda i: impact.impact_by(i.mart, "age_band", b.EVENT_YEAR),
@@ -221,7 +237,7 @@ RESULT_ORDER: dict[str, tuple[str, ...]] = {
     "volume_by_hour": ("hour_of_day",),
     "signups_by_week": ("registration_week",),
     "delivery_speed": ("runner_id", "order_id"),
-    "order_item_label": ("order_id", "pizza_id", "order_item"),
+    "order_item_label": ("order_id", "record_id"),
     "ingredient_list_with_multiplier": ("order_id", "record_id"),
     "ingredient_usage_delivered": ("-total_quantity", "topping_name"),
     "transactions_by_year": ("calendar_year",),
@@ -237,15 +253,41 @@ RESULT_ORDER: dict[str, tuple[str, ...]] = {
 }
 
 
-def in_order(key: str, df: DataFrame) -> DataFrame:
+# Reports that are sorted by a column which they don't list: the query with that column, for the sort only.
+HIDDEN_ORDER: dict[str, tuple[Callable[[Inputs], DataFrame], str]] = {
+    "order_item_label": (lambda i: modify.order_item_label(i.lines, i.names, i.toppings, record_id=True), "record_id"),
+}
+
+
+def order_of(key: str, df: DataFrame, collation: str | None = None) -> list[Column]:
+    """The sort columns of the report ``key`` with PostgreSQL's NULL placement; text by ``collation``, if there is one."""
+    def by(name: str) -> Column:
+        text = collation and isinstance(df.schema[name].dataType, T.StringType)
+        return F.collate(name, collation) if text else F.col(name)
+
+    return [by(c[1:]).desc_nulls_first() if c[0] == "-" else by(c).asc_nulls_last() for c in RESULT_ORDER.get(key, ())]
+
+
+def in_order(key: str, df: DataFrame, collation: str | None = None) -> DataFrame:
     """The rows in the report's order (a range-partitioned sort); keys without one are left as they are."""
-    columns = [F.col(c[1:]).desc_nulls_first() if c[0] == "-" else F.col(c).asc_nulls_last() for c in RESULT_ORDER.get(key, ())]
+    columns = order_of(key, df, collation)
     return df.orderBy(*columns) if columns else df
 
 
-def build(key: str, spark: SparkSession, sf_dir: str, inputs: Inputs | None = None, ordered: bool = False) -> DataFrame:
-    """The registered query ``key`` on the tables in ``sf_dir``, with the shared result typing; ``ordered`` sorts it."""
-    df = as_reported(QUERIES[key](inputs or Inputs(spark, sf_dir)))
+def build(key: str, spark: SparkSession, sf_dir: str, inputs: Inputs | None = None, ordered: bool = False,
+          collation: str | None = None) -> DataFrame:
+    """The registered query ``key`` on the tables in ``sf_dir``, with the shared result typing; ``ordered`` sorts it, text
+    by ``collation``. A sort column that the report doesn't list is dropped after the sort."""
+    hidden = HIDDEN_ORDER.get(key) if ordered else None
+    df = as_reported((hidden[0] if hidden else QUERIES[key])(inputs or Inputs(spark, sf_dir)))
     for c in NULLABLE_INT_AS_DOUBLE.get(key, ()):
         df = df.withColumn(c, F.col(c).cast("double"))
-    return in_order(key, df) if ordered else df
+    df = in_order(key, df, collation) if ordered else df
+    return df.drop(hidden[1]) if hidden else df
+
+
+def store_in_order(key: str, spark: SparkSession, sf_dir: str, path: str, files: int, inputs: Inputs | None = None) -> str:
+    """The report ``key`` as files whose names' order and rows' order are the report's; see ``sinks.write_in_order``."""
+    hidden = HIDDEN_ORDER.get(key)
+    df = as_reported((hidden[0] if hidden else QUERIES[key])(inputs or Inputs(spark, sf_dir)))
+    return write_in_order(df, path, order_of(key, df), files, [c for c in df.columns if not hidden or c != hidden[1]])

@@ -40,12 +40,14 @@ def build_session(master: str | None = None, app: str = "ledgerline", shuffle_pa
 def checkpoint_dir(spark: SparkSession, local_fallback: bool = False) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster sets it; only tests and local runs (``local_fallback=True``) get a fresh scratch folder.
+    The cluster sets it. Where it is unset, a session whose tasks all run in this machine's one process (``local[n]``: tests, trials) gets a
+    fresh scratch folder with ``local_fallback=True``; on a cluster a folder of the driver would be lost to the executors, so that is an error.
     """
     current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
-    if not local_fallback:
+    master = spark.sparkContext.master
+    if not local_fallback or not (master == "local" or master.startswith("local[")):
         raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
     folder = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(folder)

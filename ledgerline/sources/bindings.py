@@ -34,7 +34,11 @@ def _plus_seconds(ts: Column, seconds: Column) -> Column:
 
 def sales(spark: SparkSession, d: str) -> DataFrame:
     li = read_table(spark, d, "lineitem", "l_orderkey", "l_partkey")
-    o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    return sales_of(li, read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate"))
+
+
+def sales_of(li: DataFrame, o: DataFrame) -> DataFrame:
+    """The sales of given line items and orders (of any layout)."""
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),

@@ -1,46 +1,44 @@
-"""Continuous ratings ingest: the stream form of C08.
+"""Continuous ratings ingest: the stream form of C08, into a declared table.
 
-New rating files land in a folder; each micro-batch is checked by
-:func:`ledgerline.operators.ingest.ratings_ingest` and split into the ratings table (accepted rows)
-and a rejects table, so nothing is dropped silently. Writes are keyed by the micro-batch id and
-overwrite only that batch's partition, so a batch replayed after a failure (executor or driver
-loss; progress is in the checkpoint) replaces its own output instead of duplicating it.
+New rating files land in a folder; each micro-batch is one ``declared.insert``: rows that miss a value, are out of range or break the key go to
+the rejects, so nothing is dropped silently. The key holds over all batches, as each is checked against the stored ones. Both tables
+overwrite only the batch's own partition, so a batch replayed after a failure (executor or driver loss; progress is
+in the checkpoint) replaces its own output instead of duplicating it.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.operators.ingest import RATING_COLUMNS, ratings_ingest
+from ledgerline.operators.ingest import RATINGS
+from ledgerline.sources import declared
 
 RAW_SCHEMA = "rating_id bigint, order_id bigint, rating int, review_text string, rating_time timestamp_ntz"
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").parquet(path))
+def ratings_at(spark: SparkSession, table_dir: str, rejects_dir: str) -> declared.Declared:
+    """The ratings table and its rejects at these folders; what lies there already belongs to them."""
+    name = f"ratings_{hashlib.sha256(table_dir.encode()).hexdigest()[:16]}"
+    table = declared.Declared(name, RATINGS.fields, RATINGS.key, RATINGS.buckets)
+    declared.create(spark, table, table_dir, rejects_dir)
+    return table
 
 
 def start_ratings_ingest(spark: SparkSession, source_dir: str, table_dir: str, rejects_dir: str,
                          checkpoint_dir: str, available_now: bool = False,
                          processing_time: str = "1 minute", max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops (batch-style runs, tests)."""
+    table = ratings_at(spark, table_dir, rejects_dir)
     reader = spark.readStream.schema(RAW_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.parquet(source_dir)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        # checked per micro-batch: a rating_id that occurs twice is rejected within its batch
-        checked = ratings_ingest(batch).persist()
-        try:
-            _write_batch(checked.where("accepted").select(*RATING_COLUMNS), table_dir, batch_id)
-            _write_batch(checked.where("NOT accepted"), rejects_dir, batch_id)
-        finally:
-            checked.unpersist()
+        declared.insert(batch, table, batch_id)
 
     writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

@@ -21,7 +21,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(KEYS) <= set(E.queries()) and set(KEYS) <= set(E.oracle_sql()) <= set(E.queries())
-    assert len(KEYS) == 71
+    assert len(KEYS) == 80
 
 
 @pytest.mark.parametrize("key", KEYS)
