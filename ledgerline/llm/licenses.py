@@ -5,21 +5,20 @@ shingle by itself, of that length). Documents and templates are cut into windows
 ``STEP`` words, so any ``WINDOW - STEP + 1`` words in a row lie whole in one window. A window's MinHash signature has one value for each
 band; windows that agree in a band meet. Two windows that share one shingle have a Jaccard similarity of at least
 ``1 / (2 * (WINDOW - SHINGLE + 1) - 1)``; the number of bands is taken so that a template of one shingle, and any pair above
-that similarity, is missed by a window with a probability of at most ``MISS``. Retrieved templates are verified over the whole text:
-the share of the template's distinct shingles that the text holds must reach ``CONTAINMENT``.
-
-A shingle of a template always holds that template's chosen word (its longest); texts and windows without any chosen word share no
-shingle with a template, so they are not hashed. Of the other texts those without any shingle of a small template table are left out as well. Template tables are parameters of bounded size (checked: ``MAX_TEMPLATES``).
-Defined results: null and empty texts, and templates without words, match nothing. Repeated rows each get their matches, null ids
-included; other columns are ignored. DataFrame functions only.
+that similarity, is missed by a window with a probability of at most ``MISS``. The bands alone decide what is retrieved, whatever the size of the template table.
+Retrieved templates are verified over the whole text: the share of the template's distinct shingles that the text holds must reach ``CONTAINMENT``.
+
+A shingle of a template always holds the one of its words that fewest documents have (counted over all of them: one row a template word); a
+window without any of these words shares no shingle with a template, so it is not hashed. A text's words are cut out once and handed on as rows. Template
+tables are parameters of bounded size (checked: ``MAX_TEMPLATES``).
+Defined results: null and empty texts, and templates without words, match nothing. Very long texts are scanned in full, in time that grows with their length.
+Repeated rows each get their matches, null ids included; other columns are ignored. DataFrame functions only.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,12 +27,10 @@ from ledgerline.llm.common import save
 
 SHINGLE, WINDOW, STEP, CONTAINMENT, MISS = 5, 12, 4, 0.8, 1e-3
 MAX_TEMPLATES = 10_000
-#: Templates of so many words in all have their shingles listed in the plan.
-LISTED_WORDS = 5_000
 
 #: Short notices, the sentences of standard headers that name a version, permission clauses and titles of license texts, under SPDX
-#: identifiers and, if there are several of one, what they are. Each begins and ends so that another version or license lacks more
-#: than a fifth of its shingles. None has fewer words than a shingle: the SQL below has no shorter ones.
+#: identifiers and, if there are several of one, what they are; tags that name an identifier. Each begins and ends so that another version or license lacks more
+#: than a fifth of its shingles. Those with fewer words than a shingle are found word for word.
 TEMPLATES = [
     ("AGPL-3.0", "GNU Affero General Public License, version 3"),
     ("AGPL-3.0 header", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
@@ -65,7 +62,12 @@ TEMPLATES = [
     ("MIT text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("MPL-2.0", "Mozilla Public License, version 2.0"),
     ("MPL-2.0 header", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MIT short", "Released under MIT License"),
+    ("reserved rights", "All rights reserved."),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
+] + [
+    (f"{name} tag", f"SPDX-License-Identifier: {name}")
+    for name in ("AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense")
 ]
 
 
@@ -86,9 +88,11 @@ def bands(miss: float = MISS) -> int:
     return math.ceil(math.log(miss) / math.log(1 - least))
 
 
-def _windows(array: Column) -> Column:
+def _windows(array: Column, marks: Column) -> Column:
+    """The windows that have one of the marks."""
     last = F.greatest(F.lit(0), F.size(array) - F.lit(WINDOW - STEP + 1))
-    return F.transform(F.sequence(F.lit(0), last, F.lit(STEP)), lambda i: F.slice(array, i + 1, WINDOW))
+    windows = F.transform(F.sequence(F.lit(0), last, F.lit(STEP)), lambda i: F.slice(array, i + 1, WINDOW))
+    return F.filter(windows, lambda w: F.arrays_overlap(w, marks))
 
 
 def _signatures(shingles: Column, n: int) -> Column:
@@ -101,6 +105,18 @@ def template_table(spark: SparkSession, templates: list[tuple[str, str]] = TEMPL
     return spark.createDataFrame(templates, "license_id string, text string")
 
 
+def _strings(found: list[str]) -> Column:
+    return F.array(*map(F.lit, found)).cast("array<string>")
+
+
+def rarest_words(docs: DataFrame, of: list[list[str]]) -> list[str]:
+    """For each shingle of the templates its word that fewest documents have. What reaches the driver are the counts of the templates' own words."""
+    known = sorted({x for w in of for x in w})
+    held = docs.select(F.explode(F.array_intersect(words(F.col("text")), _strings(known))).alias("word"))
+    counts = {r.word: r["count"] for r in held.groupBy("word").count().collect()}
+    return sorted({min(w[i : i + SHINGLE], key=lambda x: (counts.get(x, 0), -len(x), x)) for w in of for i in range(max(1, len(w) - SHINGLE + 1))})
+
+
 def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT, miss: float = MISS) -> DataFrame:
     """doc_id, license_id, n_found and n_template (distinct shingles) and containment of every match."""
     listed = templates.select("license_id", "text").filter(F.col("text").isNotNull()).limit(MAX_TEMPLATES + 1).collect()
@@ -111,50 +127,57 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
     sizes = sorted({min(SHINGLE, len(w)) for _, w in of})
     if not of:
         return docs.select("doc_id", F.lit("").alias("license_id"), F.lit(0).alias("n_found"), F.lit(0).alias("n_template"), F.lit(0.0).alias("containment")).filter(F.lit(False))
-    chosen = sorted({max(w[i : i + SHINGLE], key=lambda x: (len(x), x)) for _, w in of for i in range(max(1, len(w) - SHINGLE + 1))})
-    marks = F.array(*map(F.lit, chosen))
-
-    # only texts with a chosen word go on; the row's identity lets repeated and null ids each keep their own
-    tagged = docs.select("doc_id", "text", words(F.col("text")).alias("words")).filter(F.arrays_overlap("words", marks))
+    marks = _strings(rarest_words(docs, [w for _, w in of]))
     table = spark.createDataFrame([(k, w) for k, (_, w) in enumerate(of)], "template int, words array<string>")
-    if sum(len(w) for _, w in of) <= LISTED_WORDS:  # and of those only the ones with a shingle of a template
-        own_sets = [(s, spark.createDataFrame([(w,) for _, w in of if min(SHINGLE, len(w)) == s], "words array<string>").select(F.explode(_shingles(F.col("words"), s))).distinct().collect()) for s in sizes]
-        tagged = tagged.filter(reduce(or_, (F.arrays_overlap(_shingles(F.col("words"), s), F.array(*(F.lit(r[0]) for r in got))) for s, got in own_sets)))
-    kept = save(tagged.select("doc_id", F.struct("doc_id", F.sha2("text", 256).alias("h")).alias("row"), "words"), "license-texts")
+
+    # words come out of a generator, so no later expression cuts the text again; texts without a mark end there
+    cut = F.filter(F.array(words(F.col("text"))), lambda w: F.arrays_overlap(w, marks))
+    kept = save(docs.select("doc_id", F.struct("doc_id", F.sha2("text", 256).alias("h")).alias("row"), F.explode(cut).alias("words")), "license-texts")
 
     n = bands(miss)
 
     def keyed(df: DataFrame, by: str) -> DataFrame:
-        """(by, signature) of all windows and shingle sizes."""
-        each = df.select(by, F.explode(_windows(F.col("words"))).alias("w")).filter(F.arrays_overlap("w", marks))
+        """(by, size, signature) of all windows and shingle sizes."""
+        each = df.select(by, F.explode(_windows(F.col("words"), marks)).alias("w"))
         sets = F.array(*(F.struct(F.lit(s).alias("size"), _shingles(F.col("w"), s).alias("set")) for s in sizes))
-        each = each.select(by, F.explode(sets).alias("s")).select(by, "s.size", "s.set").filter(F.size("set") > 0)
-        return each.select(by, "size", F.explode(_signatures(F.col("set"), n)).alias("signature"))
+        each = each.select(by, F.explode(F.filter(sets, lambda x: F.size(x["set"]) > 0)).alias("s"))
+        return each.select(by, "s.size", F.explode(_signatures(F.col("s.set"), n)).alias("signature"))
 
     # a template meets windows by the signatures of its own shingle size
     own = F.least(F.size("words"), F.lit(SHINGLE))
     sides = keyed(table, "template").distinct().join(table.select("template", own.alias("own")), "template").filter(F.col("size") == F.col("own")).drop("own")
     met = save(keyed(kept, "row").join(F.broadcast(sides), ["size", "signature"]).groupBy("row").agg(F.collect_set("template").alias("templates")), "license-pairs")
 
-    # verification over whole texts
-    facts = table.select("template", F.element_at(F.array(*map(F.lit, [t or "" for t, _ in of])), F.col("template") + 1).alias("license_id"), own.alias("own"), F.when(own == SHINGLE, _shingles(F.col("words"), SHINGLE)).otherwise(F.array(F.xxhash64(F.array_join("words", " ")))).alias("wanted"))
-    sets = F.map_from_arrays(F.array(*map(F.lit, sizes)), F.array(*(_shingles(F.col("words"), s) for s in sizes)))
-    pairs = kept.join(met, "row").select("doc_id", sets.alias("sets"), F.explode("templates").alias("template")).join(F.broadcast(facts), "template")
-    pairs = pairs.withColumn("n_found", F.size(F.array_intersect(F.col("sets")[F.col("own")], F.col("wanted")))).withColumn("n_template", F.size("wanted"))
+    # verification over whole texts: a text's shingles of each size are made once, by a generator again
+    facts = table.select("template", F.element_at(_strings([t or "" for t, _ in of]), F.col("template") + 1).alias("license_id"), own.alias("own"), F.when(own == SHINGLE, _shingles(F.col("words"), SHINGLE)).otherwise(F.array(F.xxhash64(F.array_join("words", " ")))).alias("wanted"))
+    sets = F.array(F.map_from_arrays(F.array(*map(F.lit, sizes)), F.array(*(_shingles(F.col("words"), s) for s in sizes))))
+    pairs = kept.join(met, "row").select("doc_id", "templates", F.explode(sets).alias("sets")).select("doc_id", "sets", F.explode("templates").alias("template"))
+    pairs = pairs.join(F.broadcast(facts), "template").withColumn("n_found", F.size(F.array_intersect(F.col("sets")[F.col("own")], F.col("wanted")))).withColumn("n_template", F.size("wanted"))
     share = F.col("n_found") / F.col("n_template")
     return pairs.withColumn("containment", share).filter(share >= containment).select("doc_id", "license_id", F.col("n_found").cast("long"), F.col("n_template").cast("long"), "containment")
 
 
 _WORDS = re.compile(r"[^\W_]+").findall
 
-#: The verified result in DuckDB SQL, for the production templates: shingles of five words throughout.
+def _sql_shingles(rows: str, group: str, size: int) -> str:
+    """group, size and every run of ``size`` words of rows (group, i, x)."""
+    run = " || ' ' || ".join(["x", *(f"lead(x, {k}) OVER words" for k in range(1, size))])
+    return f"SELECT DISTINCT {group}, {size} AS size, {run} AS shingle FROM {rows} WINDOW words AS (PARTITION BY {group} ORDER BY i)"
+
+
+_SIZES = sorted({min(SHINGLE, len(_WORDS(text.lower()))) for _, text in TEMPLATES})
+
+#: The verified result in DuckDB SQL, for the production templates; those of fewer than five words have shingles of their own length.
 SQL = f"""
 WITH t AS (SELECT * FROM (VALUES {", ".join(f"('{a}', '{b}')" for a, b in TEMPLATES)}) AS v(license_id, text)),
 w AS (SELECT license_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM t),
-s AS (SELECT DISTINCT license_id, unnest([array_to_string(w[i : i + {SHINGLE - 1}], ' ') FOR i IN range(1, len(w) - {SHINGLE - 2})]) AS shingle FROM w),
+wx AS (SELECT license_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w),
+s AS (SELECT a.* FROM ({" UNION ALL ".join(f"({_sql_shingles('wx', 'license_id', k)})" for k in _SIZES)}) AS a JOIN w USING (license_id)
+  WHERE shingle IS NOT NULL AND size = least(len(w), {SHINGLE})),
 n AS (SELECT license_id, count(*) AS n_template FROM s GROUP BY license_id),
 d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
-h AS (SELECT DISTINCT r, doc_id, unnest([array_to_string(w[i : i + {SHINGLE - 1}], ' ') FOR i IN range(1, len(w) - {SHINGLE - 2})]) AS shingle FROM d WHERE len(w) >= {SHINGLE}),
-f AS (SELECT r, doc_id, license_id, count(*) AS n_found FROM h JOIN s USING (shingle) GROUP BY r, doc_id, license_id)
-SELECT doc_id, license_id, n_found, n_template, n_found / n_template AS containment FROM f JOIN n USING (license_id) WHERE n_found / n_template >= {CONTAINMENT}
+dx AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
+h AS ({" UNION ALL ".join(f"({_sql_shingles('dx', 'r', k)})" for k in _SIZES)}),
+f AS (SELECT r, license_id, count(*) AS n_found FROM h JOIN s USING (size, shingle) GROUP BY r, license_id)
+SELECT doc_id, license_id, n_found, n_template, n_found / n_template AS containment FROM f JOIN n USING (license_id) JOIN d USING (r) WHERE n_found / n_template >= {CONTAINMENT}
 """

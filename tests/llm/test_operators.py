@@ -459,3 +459,21 @@ def test_registered(spark):
     names = [f"op{n}_" for n in range(1, 11)]
     assert all(sum(q.startswith(n) for q in entry.queries()) == 1 for n in names) and "pipeline" in entry.queries()
     assert set(queries.SQL) <= set(queries.QUERIES)
+
+
+def test_license_words_are_cut_once(spark, tmp_path):
+    """The texts are cut once in each of the two passes, outside all lambdas, so that time grows with a text's length only."""
+    import time
+
+    plans = []
+    held = licenses.save
+    try:
+        licenses.save = lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or held(df, name)
+        table = spark.createDataFrame([(1, "word " * 20_000 + "Licensed under the MIT License. " + "word " * 180_000), (2, "All Rights Reserved"), (3, "spdx-license-identifier:mit x")], "doc_id long, text string")
+        start = time.time()
+        got = licenses.scan(table, licenses.template_table(spark)).collect()
+        assert time.time() - start < 60
+    finally:
+        licenses.save = held
+    assert {(r.doc_id, r.license_id) for r in got} == {(1, "MIT licensed"), (2, "reserved rights"), (3, "MIT tag")}
+    assert plans[0].count("regexp_extract_all") == 1 and not any("regexp_extract_all" in p for p in plans[1:])
