@@ -39,8 +39,8 @@ BINS = ROWS * BANDS
 LEAST_EQUAL, STAR_BANDS = 98, 6
 #: Sets of a star a task; sets of a block of sketches; sets and characters of a block of texts.
 STAR_SETS, BLOCK_SETS, BLOCK_TEXTS, BLOCK_CHARS = 1024, 2048, 512, 16_000_000
-_SIG = pa.decimal128(38, 0)
-_EDGES = pa.schema([("a", _SIG), ("b", _SIG)])
+SIG = pa.decimal128(38, 0)
+EDGES = pa.schema([("a", SIG), ("b", SIG)])
 _BOUNDS = np.array([(k << 64) // BINS for k in range(BINS)], np.uint64)
 _ORDER = np.argsort(np.random.default_rng(13).random((BINS, BINS)), axis=1)
 
@@ -68,11 +68,11 @@ def signature(tokens: np.ndarray) -> bytes:
     return (xxhash.xxh3_128_intdigest(tokens.tobytes()) >> 2).to_bytes(16, "little")
 
 
-def _decimals(raw: bytes) -> pa.Array:
-    return pa.Array.from_buffers(_SIG, len(raw) // 16, [None, pa.py_buffer(raw)])
+def decimals(raw: bytes) -> pa.Array:
+    return pa.Array.from_buffers(SIG, len(raw) // 16, [None, pa.py_buffer(raw)])
 
 
-def _raw(column: pa.Array) -> np.ndarray:
+def raw_sigs(column: pa.Array) -> np.ndarray:
     return np.frombuffer(column.buffers()[1], np.uint64).reshape(-1, 2)[column.offset : column.offset + len(column)]
 
 
@@ -98,7 +98,7 @@ def indexed(docs: DataFrame, size: int = SIZE) -> DataFrame:
                 n.append(len(tokens)), sigs.append(sig)
                 sketches.append(None if sig in seen or not len(tokens) else sketch(tokens).tobytes())
                 seen.add(sig)
-            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), _decimals(b"".join(sigs)), batch.column("t1"), batch.column("t2"), pa.array(sketches, pa.binary())]
+            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), decimals(b"".join(sigs)), batch.column("t1"), batch.column("t2"), pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "sig", "t1", "t2", "sketch"])
 
     return text_key(docs).mapInArrow(run, "doc_id long, n long, sig decimal(38,0), t1 long, t2 long, sketch binary")
@@ -111,17 +111,17 @@ def postings(index: DataFrame) -> DataFrame:
         for batch in parts:
             if len(batch):
                 keys = band_keys(_sketches(batch.column("sketch")))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), _decimals(np.repeat(_raw(batch.column("sig")), BANDS, axis=0).tobytes())], names=["key", "sig"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), decimals(np.repeat(raw_sigs(batch.column("sig")), BANDS, axis=0).tobytes())], names=["key", "sig"])
 
     return index.filter(F.col("sketch").isNotNull()).select("sig", "sketch").mapInArrow(run, "key long, sig decimal(38,0)")
 
 
-def _wanted(index: DataFrame, sigs: DataFrame) -> DataFrame:
+def wanted_sets(index: DataFrame, sigs: DataFrame) -> DataFrame:
     """sig, t1, t2 and sketch of the sets in ``sigs``, one row each."""
     return index.filter(F.col("sketch").isNotNull()).join(sigs.select("sig").distinct(), "sig", "left_semi").select("sig", "t1", "t2", "sketch").dropDuplicates(["sig"])
 
 
-def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """sig and text of the sets in ``wanted`` (sig, t1, t2): only these texts are moved."""
     rows = may_have(text_key(docs).drop("doc_id"), wanted.select("t1"), "t1").dropDuplicates(["t1", "t2"])
     return rows.join(wanted.select("sig", "t1", "t2"), ["t1", "t2"]).select("sig", "text")
@@ -135,7 +135,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (least + most - common)
 
 
-def _groups(parts: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, dict[str, list]]]:
+def grouped_rows(parts: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, dict[str, list]]]:
     """The rows of sorted batches by groups of equal ``keys``, one group in memory at a time."""
     at, rows = None, {}
     for batch in parts:
@@ -151,7 +151,7 @@ def _groups(parts: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[
         yield at, rows
 
 
-def _dealt(rows: DataFrame, by: list[str], then: list[str], run: Callable, schema: str) -> DataFrame:
+def dealt_by(rows: DataFrame, by: list[str], then: list[str], run: Callable, schema: str) -> DataFrame:
     # the work is in the comparisons, not in the bytes: a fixed number of partitions
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(tasks, *by).sortWithinPartitions(*by, *then).mapInArrow(run, schema)
@@ -162,7 +162,7 @@ def verified_stars(docs: DataFrame, index: DataFrame, stars: DataFrame, size: in
     centers = stars.groupBy("low").agg(F.ceil(F.count(F.lit(1)) / STAR_SETS).cast("int").alias("parts"))
     members = join_unique(stars, centers, ["low"]).select("low", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "sig")
     hubs = centers.select("low", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("low").alias("sig"))
-    found = save(_texts_of(docs, _wanted(index, stars.select("sig").unionByName(stars.select(F.col("low").alias("sig"))))), "star-texts")
+    found = save(texts_of(docs, wanted_sets(index, stars.select("sig").unionByName(stars.select(F.col("low").alias("sig"))))), "star-texts")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, center = None, None
@@ -173,10 +173,10 @@ def verified_stars(docs: DataFrame, index: DataFrame, stars: DataFrame, size: in
                     at, center = (low, part), shingles(text, size)
                 elif at == (low, part) and linked(center, shingles(text, size), percent):
                     a.append(sig), b.append(low)
-            yield from batches({"a": a, "b": b}, _EDGES)
+            yield from batches({"a": a, "b": b}, EDGES)
 
     rows = join_unique(save(members.unionByName(hubs), "star-rows"), found, ["sig"])
-    return _dealt(rows, ["low", "part"], ["role"], run, "a decimal(38,0), b decimal(38,0)")
+    return dealt_by(rows, ["low", "part"], ["role"], run, "a decimal(38,0), b decimal(38,0)")
 
 
 def open_pairs(sketches: np.ndarray, component: list, key: int, own: list, i: int, j: int) -> Iterator[tuple[int, int]]:
@@ -202,30 +202,20 @@ def open_pairs(sketches: np.ndarray, component: list, key: int, own: list, i: in
             yield k, m
 
 
-def _in_blocks(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+def in_blocks(rows: DataFrame, blocks: DataFrame) -> DataFrame:
     """Each row for each pair of blocks (i, j) of its key that its own block is in. blocks: key and the number of its blocks."""
     dealt = rows.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     return met.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other")
 
 
-def leftover_links(docs: DataFrame, index: DataFrame, active: DataFrame, found: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """a and b: links between different components in a bucket. active: key and sig; found: node and component."""
-    placed = active.join(found.select(F.col("node").alias("sig"), "component"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    placed = save(placed, "bucket-components")
-    several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("sets")).filter(F.col("x") < F.col("y"))
-    several = several.select("key", F.ceil(F.col("sets") / BLOCK_SETS).cast("int").alias("blocks"))
-    rows = placed.join(several.select("key"), "key", "left_semi")
-    facts = save(_wanted(index, rows), "open-sets")
+def verified_doubts(docs: DataFrame, placed: DataFrame, facts: DataFrame, doubts: DataFrame, pairs: Callable, size: int, percent: int) -> DataFrame:
+    """a and b: links among the doubtful sets of each bucket, only as many as connect what is connected.
 
-    def doubtful(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("key", pa.int64()), ("sig", _SIG)])
-        for (key, i, j), group in _groups(parts, ["key", "i", "j"]):
-            at = {x for pair in open_pairs(_sketches(group["sketch"]), group["component"], key, group["own"], i, j) for x in pair}
-            yield from batches({"key": [key] * len(at), "sig": [group["sig"][k] for k in at]}, schema)
+    placed: key, sig, component; facts: sig, t1, t2, sketch; doubts: key, sig; pairs(key, i, j, rows): the pairs that may link."""
 
     def verify(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (key, i, j), group in _groups(parts, ["key", "i", "j"]):
+        for (key, i, j), group in grouped_rows(parts, ["key", "i", "j"]):
             sets: dict[int, np.ndarray] = {}
             root: dict = {}
 
@@ -235,7 +225,7 @@ def leftover_links(docs: DataFrame, index: DataFrame, active: DataFrame, found:
                 return c
 
             a, b = [], []
-            for x, y in open_pairs(_sketches(group["sketch"]), group["component"], key, group["own"], i, j):
+            for x, y in pairs(key, i, j, group):
                 p, q = find(group["component"][x]), find(group["component"][y])
                 if p != q:  # what is connected by now needs no further link
                     for k in (x, y):
@@ -244,15 +234,36 @@ def leftover_links(docs: DataFrame, index: DataFrame, active: DataFrame, found:
                     if linked(sets[x], sets[y], percent):
                         root[p] = q
                         a.append(group["sig"][x]), b.append(group["sig"][y])
-            yield from batches({"a": a, "b": b}, _EDGES)
+            yield from batches({"a": a, "b": b}, EDGES)
 
-    sketched = _in_blocks(rows.join(facts.select("sig", "sketch"), "sig"), several)
-    doubts = save(_dealt(sketched, ["key", "i", "j"], ["sig"], doubtful, "key long, sig decimal(38,0)").distinct(), "doubtful-sets")
-    with_texts = _texts_of(docs, facts.join(doubts.select("sig").distinct(), "sig", "left_semi"))
+    with_texts = texts_of(docs, facts.join(doubts.select("sig").distinct(), "sig", "left_semi"))
     full = doubts.join(placed, ["key", "sig"]).join(facts.select("sig", "sketch"), "sig").join(with_texts, "sig")
     full = save(full, "doubtful-texts")
     size_of = full.groupBy("key").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum(F.length("text")) / BLOCK_CHARS)).cast("int").alias("blocks"))
-    return _dealt(_in_blocks(full, size_of), ["key", "i", "j"], ["sig"], verify, "a decimal(38,0), b decimal(38,0)")
+    return dealt_by(in_blocks(full, size_of), ["key", "i", "j"], ["sig"], verify, "a decimal(38,0), b decimal(38,0)")
+
+
+def leftover_links(docs: DataFrame, index: DataFrame, active: DataFrame, found: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """a and b: links between different components in a bucket. active: key and sig; found: node and component."""
+    placed = active.join(found.select(F.col("node").alias("sig"), "component"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    placed = save(placed, "bucket-components")
+    several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("sets")).filter(F.col("x") < F.col("y"))
+    several = several.select("key", F.ceil(F.col("sets") / BLOCK_SETS).cast("int").alias("blocks"))
+    rows = placed.join(several.select("key"), "key", "left_semi")
+    facts = save(wanted_sets(index, rows), "open-sets")
+
+    def doubtful(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("key", pa.int64()), ("sig", SIG)])
+        for (key, i, j), group in grouped_rows(parts, ["key", "i", "j"]):
+            at = {x for pair in pairs(key, i, j, group) for x in pair}
+            yield from batches({"key": [key] * len(at), "sig": [group["sig"][k] for k in at]}, schema)
+
+    def pairs(key: int, i: int, j: int, group: dict[str, list]) -> Iterator[tuple[int, int]]:
+        return open_pairs(_sketches(group["sketch"]), group["component"], key, group["own"], i, j)
+
+    sketched = in_blocks(rows.join(facts.select("sig", "sketch"), "sig"), several)
+    doubts = save(dealt_by(sketched, ["key", "i", "j"], ["sig"], doubtful, "key long, sig decimal(38,0)").distinct(), "doubtful-sets")
+    return verified_doubts(docs, placed, facts, doubts, pairs, size, percent)
 
 
 def set_components(docs: DataFrame, index: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:

@@ -10,38 +10,41 @@ tokens share ``CLASSES + 1``. Hence the keys of a document:
   one class is a key (of ``CLASSES + 1`` shared tokens two fall into one class);
 * where ``o`` is at most ``CLASSES``, the frequent tokens of the short prefix by themselves too.
 
-Sets that share a key, and are near in size, are candidates. Each key links its sets to their smallest one (linear in its
-rows); the connected candidates form clusters, whose texts are fetched once and verified exactly: tasks take a
-cluster in blocks of bounded size, count common tokens by matrix products and return a spanning forest of the links found. The forest's
-components are the answer. No pair list of a group is ever made.
+Sets that share a key, and are near in size, are candidates; they are verified key by key, and only verified links are closed transitively.
+First each set meets the least set of the keys it shares, the one with most keys in common (linear in the rows); what links is contracted. Then
+the keys that still hold several components are left; of keys with the same sets one is kept. There, pairs of different components are
+tested by parity bitmaps (four bits a token: the bits in which two sets differ are at most the tokens in which they differ, so the test never drops a link), and
+the texts of sets with a pair that passes are sent to the key and compared exactly, until what is connected is known. Keys with many sets are
+worked through in blocks of bounded size. No pair list of a group is ever made.
 
 Defined results: the null and the empty text have the empty set and link with nothing (component: the own id). Fewer words than a shingle has
-are one token. Equal sets link, copies and repeated rows included; they count as one set all along. A null id is ignored when
+are one token. Equal sets link, copies and repeated rows included; they count as one set all along, known by 126 bits. A null id is ignored when
 a component's smallest id is taken; a component of null ids only has a null one. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.common import batches, save, texts
 from ledgerline.llm.components import components
+from ledgerline.llm.hot import join_unique
+from ledgerline.llm.minhash import SIG, dealt_by, decimals, grouped_rows, in_blocks, signature, text_key, verified_doubts, verified_stars, wanted_sets
 from ledgerline.llm.shingles import SIZE, mix, shingles
 
-#: Similarity in percent, classes of frequent tokens, cells of the sketch (a power of two) and of the set filter.
+#: Similarity in percent, classes of frequent tokens, cells of the sketch (a power of two) and of a filter of sets.
 PERCENT, CLASSES, CELL_BITS, FILTER_BITS = 85, 16, 22, 25
-#: A verification block: sets, and tokens.
-BLOCK_SETS, BLOCK_TOKENS = 512, 2_000_000
+#: Keys that a set shares with its star's center to be verified there first; sets and bytes of a block of bitmaps.
+STAR_KEYS, BLOCK_SETS, BLOCK_BYTES = 2, 2048, 16_000_000
 _SLICE = 1 << 16
-_RARE = 24
 
 
 def _cells(tokens: np.ndarray, bits: int) -> np.ndarray:
@@ -116,34 +119,69 @@ def keys(tokens: np.ndarray, levels: np.ndarray, percent: int = PERCENT, classes
     return np.unique(np.concatenate(out))
 
 
-def signature(tokens: np.ndarray) -> int:
-    """A signed 64-bit hash of a set."""
-    return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
+def bitmap(tokens: np.ndarray) -> bytes:
+    """The set's size (8 bytes) and its parity bitmap: each token flips one bit of 64, or of four times the size rounded up to a power of two."""
+    bits = max(64, 4 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    at = (mix(tokens) & np.uint64(bits - 1)).astype(np.int64)
+    flips = np.bincount(at, minlength=bits).astype(np.uint8) & 1
+    return len(tokens).to_bytes(8, "little") + np.packbits(flips).tobytes()
+
+
+def open_pairs(bitmaps: list[bytes], component: list, own: list, i: int, j: int, percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs of rows that belong to different components and whose bitmaps do not rule a link out; of two different blocks i and j only across them."""
+    n = np.array([int.from_bytes(b[:8], "little") for b in bitmaps])
+    words = np.array([(len(b) - 8) // 8 for b in bitmaps])
+    code: dict = {}
+    of = np.array([code.setdefault(c, len(code)) for c in component])
+    block = np.array(own)
+    table, folded = {}, {}
+    for w in np.unique(words).tolist():
+        rows = np.flatnonzero(words == w)
+        full = np.frombuffer(b"".join(bitmaps[r][8:] for r in rows), np.uint64).reshape(len(rows), w)
+        table[w] = rows, full
+        if w > 1:  # a token's bit in the table of half the size is its place modulo that size: fold the halves
+            folded[w] = full[:, : w // 2] ^ full[:, w // 2 :]
+    for w, (rows, full) in table.items():
+        for other_w, (others, against) in table.items():
+            # similar sets differ in size by less than a factor of two, so their tables are of the same or of neighbouring sizes
+            if other_w not in (w, w // 2) or (other_w == w // 2 and w == 1):
+                continue
+            mine = full if other_w == w else folded[w]
+            for k, r in enumerate(rows.tolist()):
+                at = (of[others] != of[r]) & ((block[others] == (j if block[r] == i else i)) if i != j else True)
+                if other_w == w:
+                    at &= others > r
+                at &= 100 * np.minimum(n[others], n[r]) >= percent * np.maximum(n[others], n[r])
+                close = np.flatnonzero(at)
+                if len(close):
+                    apart = np.bitwise_count(against[close] ^ mine[k]).sum(1, dtype=np.int64)
+                    for m in close[apart * (100 + percent) <= (100 - percent) * (n[others[close]] + n[r])].tolist():
+                        yield r, int(others[m])
 
 
 def indexed(docs: DataFrame, levels: np.ndarray, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, sig and keys of every document; of equal sets in a batch only the first carries keys."""
+    """doc_id, n, sig, t1, t2 (the text's name), keys and sketch (bitmap) of every document; of equal sets in a batch only the first carries the last two."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def run(parts):
         for batch in parts:
-            rows: dict[str, list] = {n: [] for n in schema.names}
-            seen: set[int] = set()
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+            n, sigs, own_keys, bitmaps, seen = [], [], [], [], set()
+            for text in texts(batch):
                 tokens = shingles(text, size)
                 sig = signature(tokens)
-                own = [] if sig in seen else keys(tokens, shared.value, percent).view(np.int64)
+                first = sig not in seen and len(tokens)
+                n.append(len(tokens)), sigs.append(sig)
+                own_keys.append(keys(tokens, shared.value, percent).view(np.int64) if first else [])
+                bitmaps.append(bitmap(tokens) if first else None)
                 seen.add(sig)
-                for k, x in zip(schema.names, (doc_id, len(tokens), sig, own)):
-                    rows[k].append(x)
-            yield from batches(rows, schema)
+            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), decimals(b"".join(sigs)), batch.column("t1"), batch.column("t2"), pa.array(own_keys, pa.list_(pa.int64())), pa.array(bitmaps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "sig", "t1", "t2", "keys", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, sig long, keys array<long>")
+    return text_key(docs).mapInArrow(run, "doc_id long, n long, sig decimal(38,0), t1 long, t2 long, keys array<long>, sketch binary")
 
 
-def candidate_clusters(index: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """node (sig) and component (cluster) of all sets that share a key with another of similar size."""
+def candidates(index: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """key, sig and low of all sets that share a key with another of similar size; low: the key's least set."""
     postings = index.select(F.explode("keys").alias("key"), "sig", "n")
     several = postings.groupBy("key").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).filter(F.col("low") < F.col("high")).select("key")
     active = save(postings.join(several, "key"), "active-postings")
@@ -151,7 +189,7 @@ def candidate_clusters(index: DataFrame, percent: int = PERCENT) -> DataFrame:
     size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + F.lit(1e-9))
     listed = active.withColumn("size", F.explode(F.array(size, size + 1))).select("sig", F.xxhash64("key", "size").alias("key"))
     hubs = listed.groupBy("key").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).filter(F.col("low") < F.col("high")).select("key", "low")
-    return components(listed.join(hubs, "key").filter(F.col("sig") != F.col("low")).select(F.col("sig").alias("a"), F.col("low").alias("b")))
+    return listed.join(hubs, "key").distinct()
 
 
 def _filter_of(sigs: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -169,98 +207,41 @@ def _filter_of(sigs: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return _sum_slices(sigs.select("sig"), mark, 1 << bits - 3, np.uint8, lambda a, b: a | b)
 
 
-def cluster_texts(docs: DataFrame, clusters: DataFrame, size: int = SIZE) -> DataFrame:
-    """component, sig, n and packed (one compressed text of each set) of all sets in a cluster."""
-    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(clusters.withColumnRenamed("node", "sig")))
-    schema = pa.schema([("sig", pa.int64()), ("n", pa.int64()), ("packed", pa.binary())])
+def leftover_links(docs: DataFrame, index: DataFrame, active: DataFrame, found: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """a and b: links between different components of a key. active: key and sig; found: node and component."""
+    placed = active.join(found.select(F.col("node").alias("sig"), "component"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    placed = save(placed, "key-components")
+    # keys of the same sets (a passage of two documents has many) are one: the least of those with equal sums of hashes
+    sums = [F.sum(F.xxhash64(F.lit(k), "sig").cast("decimal(38,0)")).alias(f"sum{k}") for k in range(2)]
+    several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("sets"), *sums).filter(F.col("x") < F.col("y"))
+    kept = several.groupBy("sets", "sum0", "sum1").agg(F.min("key").alias("key")).select("key")
+    rows = save(placed.join(kept, "key", "left_semi"), "open-keys")
+    facts = save(wanted_sets(index, rows), "open-sets")
 
-    def run(parts):
-        import zstandard
+    def pairs(key: int, i: int, j: int, group: dict[str, list]) -> Iterator[tuple[int, int]]:
+        return open_pairs(group["sketch"], group["component"], group["own"], i, j, percent)
 
-        table, squeeze = shared.value, zstandard.ZstdCompressor(level=3).compress
-        for batch in parts:
-            rows: dict[str, list] = {n: [] for n in schema.names}
-            seen: set[int] = set()
-            for text in texts(batch):
-                tokens = shingles(text, size)
-                sig = signature(tokens)
-                at = int(_cells(mix(np.array([sig], np.int64).view(np.uint64)), len(table).bit_length() + 2)[0])
-                if sig not in seen and table[at >> 3] >> (at & 7) & 1:
-                    for k, x in zip(schema.names, (sig, len(tokens), squeeze(text.encode("utf-8", "surrogatepass")))):
-                        rows[k].append(x)
-                seen.add(sig)
-            yield from batches(rows, schema)
-
-    got = docs.select("text").mapInArrow(run, "sig long, n long, packed binary").dropDuplicates(["sig"])
-    return got.join(clusters.withColumnRenamed("node", "sig"), "sig")
-
-
-def links(members: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """a and b: a spanning forest of the links between the sets of each cluster. members: see ``cluster_texts``."""
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens"))
-    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS))
-    dealt = members.join(sizes.select("component", blocks.cast("int").alias("blocks")), "component").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
-    # a block meets itself and every other block: with one block, one group
-    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-
-    def verify(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(forest(group, percent, size), columns=["a", "b"], dtype="int64")
-
-    # the work is in the pairs, not in the bytes: a fixed number of partitions, which are not put together by size
-    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.select("component", "i", "j", "sig", "packed").repartition(n, "component", "i", "j").groupBy("component", "i", "j").applyInPandas(verify, "a long, b long")
-
-
-def _common(row: np.ndarray, token: np.ndarray, many: np.ndarray, n: int) -> np.ndarray:
-    """Tokens that each two of ``n`` sets share. Rare tokens add to their pairs, the others go through matrix products."""
-    order = np.argsort(token, kind="stable")
-    row, many_of = row[order], many[token[order]]
-    common = np.zeros(n * n, np.int64)
-    for d in range(2, _RARE + 1):
-        sharing = row[many_of == d].reshape(-1, d)
-        a, b = np.triu_indices(d, 1)
-        for k in range(0, len(sharing), 10_000):
-            part = sharing[k : k + 10_000]
-            common += np.bincount((part[:, a] * n + part[:, b]).ravel(), minlength=n * n)
-    common = common.reshape(n, n)
-    common += common.T
-    often = many_of > _RARE
-    row, column = row[often], np.unique(token[order][often], return_inverse=True)[1]
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
-        cut = slice(*np.searchsorted(column, [low, low + 2048]))
-        part = np.zeros((n, 2048), np.float32)
-        part[row[cut], column[cut] - low] = 1
-        common += (part @ part.T).astype(np.int64)
-    np.fill_diagonal(common, 0)
-    return common
-
-
-def forest(group: pd.DataFrame, percent: int = PERCENT, size: int = SIZE) -> list[tuple[int, int]]:
-    """Edges that connect the sets of a group just as their links do."""
-    import zstandard
-
-    if len(group) < 2:
-        return []
-    loosen = zstandard.ZstdDecompressor().decompress
-    sigs = group["sig"].tolist()
-    sets = [shingles(loosen(x).decode("utf-8", "surrogatepass"), size) for x in group["packed"]]
-    many_of = np.array([len(s) for s in sets], np.int64)
-    tokens, at, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    common = _common(np.repeat(np.arange(len(sets)), many_of), at, many, len(sets))
-    linked = 100 * common >= percent * (many_of[:, None] + many_of[None, :] - common)
-    out, left = [], np.ones(len(sets), bool)
-    for root in range(len(sets)):
-        if left[root]:
-            left[root] = False
-            front = [root]
-            while front:
-                x = front.pop()
-                new = np.flatnonzero(linked[x] & left)
-                left[new] = False
-                front += new.tolist()
-                out += [(sigs[root], sigs[y]) for y in new]
-    return out
+    def doubtful(parts):
+        schema = pa.schema([("key", pa.int64()), ("sig", SIG)])
+        for (key, i, j), group in grouped_rows(parts, ["key", "i", "j"]):
+            at = {x for pair in pairs(key, i, j, group) for x in pair}
+            yield from batches({"key": [key] * len(at), "sig": [group["sig"][k] for k in at]}, schema)
+
+    full = save(rows.join(facts.select("sig", "sketch"), "sig"), "key-bitmaps")
+    blocks = full.groupBy("key").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum(F.length("sketch")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    doubts = save(dealt_by(in_blocks(full, blocks), ["key", "i", "j"], ["sig"], doubtful, "key long, sig decimal(38,0)").distinct(), "doubtful-sets")
+    return verified_doubts(docs, rows, facts, doubts, pairs, size, percent)
+
+
+def set_components(docs: DataFrame, index: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """node (a set's signature) and component of the sets that link with others."""
+    active = save(candidates(index, percent), "candidates")
+    best = F.max(F.struct("shared", "low")).alias("best")
+    stars = active.filter(F.col("sig") != F.col("low")).groupBy("sig", "low").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= STAR_KEYS)
+    stars = save(stars.groupBy("sig").agg(best).select("sig", "best.low"), "stars")
+    first = save(verified_stars(docs, index, stars, size, percent), "star-links")
+    rest = leftover_links(docs, index, active.select("key", "sig"), components(first), size, percent)
+    return components(first.unionByName(rest))
 
 
 def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -268,9 +249,9 @@ def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Da
 
     A document that is its group's representative is told by its own set and id, so only ids and sets are joined, not texts.
     Groups are known by their component, as several may have the same smallest id, or null ids only. Empty sets stay."""
-    linked = save(_linked(docs, size, percent)[1], "groups")
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("c"), F.col("sig").alias("s")))
-    first = linked.groupBy("component").agg(least.alias("least")).select("least.c", "least.s")
+    sets = _sets(docs, size, percent)[1]
+    least = F.min(F.struct(F.col("least").isNull().alias("unnamed"), F.col("least").alias("c"), F.col("sig").alias("s")))
+    first = sets.groupBy("component").agg(least.alias("least")).select("least.c", "least.s")
     schema, own_sig = docs.schema, "group_sig"
     while own_sig in docs.columns:
         own_sig += "_"
@@ -278,10 +259,11 @@ def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Da
     def tagged(parts):
         for batch in parts:
             tokens = [shingles(t, size) for t in texts(batch)]
-            sigs = pa.array([signature(t) if len(t) else None for t in tokens], pa.int64())
+            empty = np.array([not len(t) for t in tokens], bool)
+            sigs = pc.if_else(pa.array(empty), pa.scalar(None, SIG), decimals(b"".join(map(signature, tokens))))
             yield pa.RecordBatch.from_arrays([*batch.columns, sigs], names=[*batch.schema.names, own_sig])
 
-    own = docs.mapInArrow(tagged, T.StructType([*schema.fields, T.StructField(own_sig, T.LongType())]))
+    own = docs.mapInArrow(tagged, T.StructType([*schema.fields, T.StructField(own_sig, T.DecimalType(38, 0))]))
     packed = own.select(F.struct(*schema.names).alias("row"), F.col(own_sig).alias("group_sig"))
     kept = packed.filter(F.col("group_sig").isNotNull()).join(first, (F.col("group_sig") == F.col("s")) & F.col("row.doc_id").eqNullSafe(F.col("c")), "left_semi")
     # equal rows of an id and set: one of them
@@ -292,17 +274,18 @@ def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Da
 
 def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and sig of every document."""
-    index, linked = _linked(docs, size, percent)
-    least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    full = linked.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "sig")
-    none = index.filter(F.col("n") == 0).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "sig")
+    index, sets = _sets(docs, size, percent)
+    ids = sets.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = save(join_unique(sets, ids, ["component"]).select("sig", "component_id"), "set-ids")
+    rows = index.select("doc_id", F.col("n").alias("n_shingles"), "sig")
+    full = join_unique(rows.filter(F.col("n_shingles") > 0), named, ["sig"]).select("doc_id", "n_shingles", "component_id", "sig")
+    none = rows.filter(F.col("n_shingles") == 0).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "sig")
     return full.unionByName(none)
 
 
-def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The index; and doc_id, n, sig and component (a set's signature) of every document whose set is not empty."""
+def _sets(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The index; and sig, component and least (document id, nulls aside) of every set that is not empty."""
     index = save(indexed(docs, frequency_levels(docs, size=size), size, percent), "shingle-index")
-    clusters = save(candidate_clusters(index, percent), "clusters")
-    found = components(links(save(cluster_texts(docs, clusters, size), "cluster-texts"), size, percent))
-    linked = index.select("doc_id", "n", "sig").filter(F.col("n") > 0).join(found.select(F.col("node").alias("sig"), "component"), "sig", "left")
-    return index, linked.withColumn("component", F.coalesce("component", "sig"))
+    found = set_components(docs, index, size, percent)
+    sets = index.filter(F.col("n") > 0).groupBy("sig").agg(F.min("doc_id").alias("least"))
+    return index, save(sets.join(found.select(F.col("node").alias("sig"), "component"), "sig", "left").withColumn("component", F.coalesce("component", "sig")), "sets")

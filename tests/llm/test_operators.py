@@ -477,3 +477,27 @@ def test_license_words_are_cut_once(spark, tmp_path):
         licenses.save = held
     assert {(r.doc_id, r.license_id) for r in got} == {(1, "MIT licensed"), (2, "reserved rights"), (3, "MIT tag")}
     assert plans[0].count("regexp_extract_all") == 1 and not any("regexp_extract_all" in p for p in plans[1:])
+
+
+def test_bitmaps_rule_out_no_link():
+    """Whatever the sizes: pairs at the similarity or above pass, pairs far below mostly don't."""
+    r = np.random.default_rng(4)
+    passed = [0, 0]
+    for _ in range(400):
+        n = int(r.choice([1, 3, 15, 16, 17, 60, 64, 65, 500, 1100, 5000]))
+        both = r.integers(0, 2**63, n, dtype=np.uint64)
+        far = r.random() < 0.3
+        cut, more = (n // 2, n // 2) if far else (int(r.integers(0, n // 10 + 1)), int(r.integers(0, n // 10 + 1)))
+        a, b = np.unique(both), np.unique(np.r_[both[cut:], r.integers(0, 2**63, more, dtype=np.uint64)])
+        if not len(b):
+            continue
+        found = list(shingle_join.open_pairs([shingle_join.bitmap(a), shingle_join.bitmap(b)], ["x", "y"], [0, 0], 0, 0, 85))
+        common = len(np.intersect1d(a, b))
+        if 100 * common >= 85 * (len(a) + len(b) - common):
+            assert found in ([(0, 1)], [(1, 0)])
+        elif far and n > 60:
+            passed[bool(found)] += 1
+    assert passed[0] > 10 * passed[1]
+    sets = [shingle_join.bitmap(np.arange(k, k + 40, dtype=np.uint64)) for k in range(4)]
+    pairs = {tuple(sorted(p)) for p in shingle_join.open_pairs(sets, list("aabc"), [0, 1, 0, 1], 0, 1, 50)}
+    assert pairs == {(0, 3), (1, 2), (2, 3)}
