@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -51,6 +52,20 @@ def batches(rows: dict[str, list], schema: pa.Schema) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
 
+_KEPT: dict = {}
+
+
+def kept_alone(key, make):
+    """What a Python worker keeps between its tasks, made once: one thing at a time, as workers go on to other operators' tasks.
+
+    An encoder's and a parser's tables take hundreds of megabytes; the next operator's task lets go of them before it makes its own."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def ship(spark: SparkSession) -> None:
     """Python workers look for this package where the driver found it, besides what the cluster ships to them."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -11,24 +11,34 @@ Defined results: ``und`` with score 0 for a null or empty text, one without lett
 learned. Ties go to the language with more labelled documents, then to the first name. The score is
 ``other / (best + other)`` of the two least entropies (0.5 for a tie, 1.0 for a sole language). Repeated
 rows are judged each for itself; other columns are ignored.
+
+``placed`` keeps the documents that have a language. A text of another one, or in a script that no automaton has, needs about a phrase a
+letter; ``most_bits`` learns from the labelled sample how far below that labelled texts stay, and texts of ``MIN_LETTERS``
+letters or more beyond the middle of the two go as well.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import sys
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import batches, held_out, texts
+from ledgerline.llm.common import held_out, kept_alone, texts
 
 UNKNOWN = "und"
-#: Bounds of the labelled sample: languages (the most frequent ones), documents and distinct words of each.
-MAX_LANGUAGES, SAMPLE_DOCS, SAMPLE_WORDS = 200, 200, 8000
-LETTERS = re.compile(r"[^\W\d_]+").findall
+#: Bounds of the labelled sample: documents and distinct words of each language. All languages are learned: beyond ``FULL_SAMPLES`` of them each
+#: gets a smaller sample, so that the whole stays as large; more than ``MAX_LANGUAGES`` labels are an error.
+SAMPLE_DOCS, SAMPLE_WORDS, FULL_SAMPLES, MAX_LANGUAGES = 200, 8000, 200, 10_000
+#: Letters that a text needs to be judged foreign.
+MIN_LETTERS = 20
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+#: Runs of letters as ``str.isalpha`` has them: word characters without digits, the underscore, and other numerals such as superscripts and fractions.
+LETTERS = re.compile(rf"[^\W\d_{re.escape(_NUMERALS)}]+").findall
 #: Words whose phrase counts a worker keeps; beyond that it starts anew.
 KEPT_WORDS = 400_000
 _FIELD = 48
@@ -86,21 +96,32 @@ class Reference:
     texts: tuple[str, ...]
 
 
-def learn(docs: DataFrame, max_languages: int = MAX_LANGUAGES, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS) -> Reference:
+def _labelled(docs: DataFrame) -> DataFrame:
+    return docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+
+
+def _sample_ids(known: DataFrame, sample_docs: int) -> DataFrame:
+    """lang and doc_id of the labelled documents of each language with the least hash of the id."""
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    ranked = known.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).withColumn("r", F.row_number().over(order))
+    return ranked.filter(F.col("r") <= sample_docs).select("lang", "doc_id").distinct()
+
+
+def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS, full_samples: int = FULL_SAMPLES, max_languages: int = MAX_LANGUAGES) -> Reference:
     """The references from the documents with a language that are not held out.
 
-    Bounded by the three parameters, so the chosen ids may be broadcast and the words come to the driver.
+    Bounded by the parameters, so the chosen ids may be broadcast and the words come to the driver.
     The sample takes the documents with the least hash of the id; of their words, the most frequent.
     """
-    known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    known = _labelled(docs)
+    top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages + 1).collect()
+    if len(top) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     if not top:
         return Reference((), ())
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = (
-        known.filter(F.col("lang").isin([r.lang for r in top])).select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
-        .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= sample_docs).select("lang", "doc_id").distinct()
-    )
+    fewer = max(1, -(-len(top) // full_samples))
+    sample_docs, sample_words = -(-sample_docs // fewer), -(-sample_words // fewer)
+    ids = _sample_ids(known, sample_docs)
     words = (
         known.join(F.broadcast(ids), ["lang", "doc_id"]).select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("word"))
         .groupBy("lang", "word").count()
@@ -144,6 +165,12 @@ class Parser:
         return self.languages[best], other / (bits[best] + other), bits[best]
 
 
+    def placed(self, text: str, below: float) -> bool:
+        """Whether the text has a language: see ``most_bits``."""
+        lang, _, bits = self.predict(text)
+        return lang != UNKNOWN and (bits < below or sum(map(len, LETTERS(text.lower()))) < MIN_LETTERS)
+
+
 class _Known(dict):
     def __init__(self, parser: Parser):
         super().__init__()
@@ -154,15 +181,9 @@ class _Known(dict):
         return n
 
 
-_PARSERS: dict[Reference, Parser] = {}
-
-
 def _parser(reference: Reference) -> Parser:
     """One parser for each worker process; the automata are built once there."""
-    if reference not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[reference] = Parser(reference)
-    return _PARSERS[reference]
+    return kept_alone(reference, lambda: Parser(reference))
 
 
 def identify(docs: DataFrame, reference: Reference, *keep: str) -> DataFrame:
@@ -186,14 +207,29 @@ def identify(docs: DataFrame, reference: Reference, *keep: str) -> DataFrame:
     return source.mapInArrow(run, _ddl(docs.select(*keep)) + ", lang_pred string, score double, bits double")
 
 
-def placed(docs: DataFrame, reference: Reference) -> DataFrame:
-    """The documents, all their columns, that have a language (any but ``und``)."""
+def most_bits(docs: DataFrame, reference: Reference, sample_docs: int = SAMPLE_DOCS) -> float:
+    """The bits a letter from which a text is foreign: midway between the worst text of the labelled sample and a phrase a letter.
+
+    Infinite where a labelled text needs that much itself, or nothing was learned."""
+    if not reference.languages:
+        return math.inf
+    fewer = max(1, -(-len(reference.languages) // FULL_SAMPLES))
+    known = _labelled(docs)
+    sample = known.join(F.broadcast(_sample_ids(known, -(-sample_docs // fewer))), ["lang", "doc_id"])
+    long = identify(sample, reference, "text").filter(F.length(F.regexp_replace("text", r"\P{L}+", "")) >= MIN_LETTERS)
+    worst = long.agg(F.max("bits")).first()[0] or 0.0
+    alone = min(math.log2(max(2, len(t))) for t in reference.texts)
+    return (worst + alone) / 2 if worst < alone else math.inf
+
+
+def placed(docs: DataFrame, reference: Reference, below: float = math.inf) -> DataFrame:
+    """The documents, all their columns, that have a language: any but ``und``, at fewer bits a letter than ``below`` (see ``most_bits``)."""
     shared = docs.sparkSession.sparkContext.broadcast(reference)
 
     def run(parts):
         parser = _parser(shared.value)
         for batch in parts:
-            yield batch.filter(pa.array([parser.predict(t)[0] != UNKNOWN for t in texts(batch)], pa.bool_()))
+            yield batch.filter(pa.array([parser.placed(t, below) for t in texts(batch)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

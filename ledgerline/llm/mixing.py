@@ -161,13 +161,18 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     return realise(rows, plan(rows, **how), seed).select("doc_id", "source", "epoch", "block", "n_tokens", "turn", "block_key", "doc_key")
 
 
-def mixed_rows(docs: DataFrame, **how) -> DataFrame:
-    """The documents' own columns, each row once for each epoch that shows it."""
+def mixed_rows(docs: DataFrame, in_turn: bool = False, **how) -> DataFrame:
+    """The documents' own columns, each row once for each epoch that shows it.
+
+    ``in_turn`` lays the rows out in the order of the mixture: range-partitioned by turn and sorted, so that files written from it follow it."""
     rows = save(counted(docs), "counted")
     names = docs.columns
     # the row goes along as one struct, so that none of its columns can clash with those added here
     packed = docs.select(F.struct(*names).alias("mix_row"), F.coalesce("source", F.lit(_NONE)).alias("mix_source"), _identity().alias("mix_id"))
-    return realise(packed, plan(rows, **how), how.get("seed", SEED)).select("mix_row.*")
+    shown = realise(packed, plan(rows, **how), how.get("seed", SEED))
+    if in_turn:
+        shown = shown.repartitionByRange("turn", "block_key", "doc_key").sortWithinPartitions("turn", "block_key", "doc_key")
+    return shown.select("mix_row.*")
 
 
 #: The same in DuckDB SQL, for the production parameters.

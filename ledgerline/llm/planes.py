@@ -17,7 +17,7 @@ under another name, and files that no manifest names are never read. The folder
 ``pyarrow.fs`` opens (local mounts, hdfs, s3, gs); by default it lies below ``spark.checkpoint.dir``.
 
 Defined results: a null text encodes as the empty text, so only the end id is stored. Documents are laid
-out by ascending id, null ids first, equal ids by text; repeated rows are each stored. Empty tables give
+out by ascending id, null ids first, equal ids by text (or as the table's files have them, ``as_stored``); repeated rows are each stored. Empty tables give
 no files and no rows. Other columns are ignored.
 """
 
@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import batches, save, shared_path, texts
+from ledgerline.llm.common import batches, kept_alone, save, shared_path, texts
 
 MAGIC = b"LPL1"
 #: Ids of a block, ids after which a task begins a new file, and the id put after each document.
@@ -58,16 +58,19 @@ class Encoder:
     """Ids of whole texts, as little-endian u32 bytes, with the ids of pieces kept.
 
     The byte-level split rule always ends a token before a space that has a non-space on either side, so a text
-    may be cut there and the pieces encoded apart; the library encodes each distinct piece.
+    may be cut there and the pieces encoded apart; the library encodes each distinct piece. A text that has the literal
+    of an added token (such as an end mark, which is one id of its own wherever it stands) goes to the library whole.
+    ``kept`` is the share of ``KEPT_PIECES`` and ``KEPT_TOKENS`` that is kept.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: float = 1.0):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.tokens = _Kept(self._encode, KEPT_TOKENS)
-        self.words = _Kept(self._word, KEPT_PIECES)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
+        self.tokens = _Kept(self._encode, int(KEPT_TOKENS * kept))
+        self.words = _Kept(self._word, int(KEPT_PIECES * kept))
         self.model = self.tokenizer.model
         self.one = struct.Struct("<I").pack
 
@@ -75,7 +78,10 @@ class Encoder:
         letters = piece[1:] if piece[0] == " " else piece
         if letters.isascii() and letters.isalpha():  # one token for the split rule; the model takes it as it is, a space as U+0120
             return b"".join([self.one(t.id) for t in self.model.tokenize("\u0120" + letters if piece[0] == " " else piece)])
-        return b"".join(map(self.one, self.tokenizer.encode(piece, add_special_tokens=False).ids))
+        return self._whole(piece)
+
+    def _whole(self, text: str) -> bytes:
+        return b"".join(map(self.one, self.tokenizer.encode(text, add_special_tokens=False).ids))
 
     def _word(self, word: str) -> bytes:
         """A word after a space. Letters with marks behind them, and several of them with line ends between, need no pattern."""
@@ -100,6 +106,8 @@ class Encoder:
         return b"".join(map(self.tokens.__getitem__, _TOKEN.findall(piece)))
 
     def encode(self, text: str) -> bytes:
+        if self.added(text):
+            return self._whole(text)
         if _SPACES.search(text):
             return b"".join(map(self._split, filter(None, _CUT.split(text))))
         first, *rest = text.split(" ")
@@ -125,13 +133,8 @@ class _Kept(dict):
             self.clear()
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, kept: float = 1.0) -> Encoder:
+    return kept_alone((Encoder, path, kept), lambda: Encoder(path, kept))
 
 
 def pack(ids: np.ndarray, planes: str = "bit", level: int = 3) -> list[bytes]:
@@ -243,15 +246,17 @@ class Reader:
             yield None if null else doc, first, n, parts(n)
 
 
-def write_files(docs: DataFrame, tokenizer: str, folder: str, planes: str = "bit", end_id: int = END_ID, file_ids: int = FILE_IDS, block: int = BLOCK) -> DataFrame:
-    """Encode and write all documents; the manifest: part, seq, file, n_docs, n_ids, n_bytes, start (ids before the file)."""
+def write_files(docs: DataFrame, tokenizer: str, folder: str, planes: str = "bit", end_id: int = END_ID, file_ids: int = FILE_IDS, block: int = BLOCK, kept: float = 1.0, as_stored: bool = False) -> DataFrame:
+    """Encode and write all documents; the manifest: part, seq, file, n_docs, n_ids, n_bytes, start (ids before the file). kept: see ``Encoder``.
+
+    ``as_stored``: not by id, but in the order of the table's own files, by name, and of the rows in each."""
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())])
     end = struct.pack("<I", end_id)
 
     def write(parts):
         files, base = pafs.FileSystem.from_uri(folder)
         files.create_dir(base, recursive=True)
-        code, part, seq, out, name = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0, None, ""
+        code, part, seq, out, name = encoder(tokenizer, kept).encode, TaskContext.get().partitionId(), 0, None, ""
         for batch in parts:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
                 if out is None:
@@ -264,7 +269,11 @@ def write_files(docs: DataFrame, tokenizer: str, folder: str, planes: str = "bit
         if out is not None:
             yield from batches({"part": [part], "seq": [seq], "file": [name], "n_docs": [len(out.docs)], "n_ids": [out.n_ids], "n_bytes": [out.close()]}, schema)
 
-    laid = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    if as_stored:
+        placed = docs.select(F.col("doc_id").cast("long"), "text", F.col("_metadata.file_name").alias("in_file"), F.col("_metadata.row_index").alias("in_row"))
+        laid = placed.repartitionByRange("in_file", "in_row").sortWithinPartitions("in_file", "in_row").select("doc_id", "text")
+    else:
+        laid = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     files = save(laid.mapInArrow(write, "part int, seq int, file string, n_docs long, n_ids long, n_bytes long"), "plane-files")
     # ids before each file: first over the parts (a row each), then within a part
     before = files.groupBy("part").agg(F.sum("n_ids").alias("of_part")).withColumn("base", F.sum("of_part").over(Window.orderBy("part")) - F.col("of_part"))
@@ -296,7 +305,7 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
     return manifest.select("file", "start").repartition(n).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_files(docs: DataFrame, tokenizer: str, planes: str = "bit", folder: str | None = None) -> DataFrame:
+def token_files(docs: DataFrame, tokenizer: str, planes: str = "bit", folder: str | None = None, kept: float = 1.0, as_stored: bool = False) -> DataFrame:
     """Write the documents' ids to plane files and return what the files hold (see ``read_files``)."""
     folder = folder or shared_path(docs.sparkSession, "planes")
-    return read_files(save(write_files(docs, tokenizer, folder, planes), "plane-manifest"), folder)
+    return read_files(save(write_files(docs, tokenizer, folder, planes, kept=kept, as_stored=as_stored), "plane-manifest"), folder)

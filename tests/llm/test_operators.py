@@ -96,7 +96,6 @@ def test_planes(spark, docs, none):
 
     path = queries.tokenizer_path()
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     start, wanted = 0, []
     for r in sorted(rows(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
         ids = np.array(whole.encode(r[1] or "", add_special_tokens=False).ids + [0], "<u4")
@@ -121,7 +120,6 @@ def test_encoder_cuts_where_the_library_does():
 
     path, r = queries.tokenizer_path(), random.Random(9)
     mine, whole = planes.Encoder(path), Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     parts = [" ", " ", "\n", "a", "b'", "s", "é", "1", "!", "\xa0", "　", "漢", "\x1c", "\t", "'ll", "<|endoftext|>", "😀", "Word", ".", "\r"]
     for _ in range(4000):
         text = "".join(r.choice(parts) for _ in range(r.randint(0, 14)))
@@ -501,3 +499,57 @@ def test_bitmaps_rule_out_no_link():
     sets = [shingle_join.bitmap(np.arange(k, k + 40, dtype=np.uint64)) for k in range(4)]
     pairs = {tuple(sorted(p)) for p in shingle_join.open_pairs(sets, list("aabc"), [0, 1, 0, 1], 0, 1, 50)}
     assert pairs == {(0, 3), (1, 2), (2, 3)}
+
+
+def test_letters_are_those_of_isalpha():
+    every = [chr(c) for c in range(0x110000)]
+    assert [c for c in every if language.LETTERS(c)] == [c for c in every if c.isalpha()]
+
+
+def test_numerals_alone_have_no_language(spark, docs):
+    r = language.learn(docs)
+    table = spark.createDataFrame([(1, "\u00b2 \u00bd \u2154 12"), (2, "the house\u00b2")], "doc_id long, text string")
+    assert {x.doc_id: x.lang_pred for x in language.identify(table, r).collect()} == {1: "und", 2: "en"}
+
+
+def test_every_label_is_learned(spark):
+    texts = [(i, f"{'abcdefghij'[i % 10] * 3}{'klmnopqrst'[i // 10 % 10] * 3}{'uvwxyz'[i // 100]} " * 4, f"l{i:03d}") for i in range(300) for _ in range(1)]
+    df = spark.createDataFrame([(k * 1000 + i, t, lang) for i, t, lang in texts for k in range(3)], "doc_id long, text string, lang string")
+    r = language.learn(df, sample_docs=3, sample_words=10, full_samples=100)
+    seen = {x.lang for x in df.collect() if zlib.crc32(str(x.doc_id).encode()) % 3 != 1}
+    assert set(r.languages) == seen and len(seen) > 280
+    with pytest.raises(ValueError, match="languages"):
+        language.learn(df, max_languages=100)
+
+
+def test_foreign_texts_have_no_place(spark, docs):
+    r = language.learn(docs)
+    below = language.most_bits(docs, r)
+    foreign = ["\u043f\u0440\u0438\u0432\u0435\u0442 \u043c\u0438\u0440 " * 9, "\u6f22\u5b57\u4eee\u540d\u4ea4\u3058\u308a\u6587 " * 9]
+    table = spark.createDataFrame([(k, t) for k, t in enumerate([EN, DE, "ok", *foreign, "\u6f22"])], "doc_id long, text string")
+    assert sorted(x.doc_id for x in language.placed(table, r, below).collect()) == [0, 1, 2, 5]
+    assert language.placed(table, r).count() == 6
+    labelled = [x for x in docs.collect() if x.lang and x.text and any(c.isalpha() for c in x.text) and x.doc_id is not None and zlib.crc32(str(x.doc_id).encode()) % 3 != 1]
+    kept = {x.doc_id for x in language.placed(docs, r, below).collect()}
+    assert {x.doc_id for x in labelled} <= kept
+
+
+def test_one_kept_table_a_worker(spark, docs):
+    """After the encoder has worked, the parser's tasks in the same worker let go of its tables."""
+    from ledgerline.llm import common
+
+    common.kept_alone("a", lambda: [1])
+    assert common.kept_alone("a", lambda: [2]) == [1] and common.kept_alone("b", lambda: [3]) == [3] and list(common._KEPT) == ["b"]
+    path, r = queries.tokenizer_path(), language.learn(docs)
+    one = docs.coalesce(1)
+
+    def kept(parts):
+        import pyarrow as pa
+
+        list(parts)
+        yield pa.RecordBatch.from_pydict({"kept": [str(k if isinstance(k, str) else k[0].__name__ if isinstance(k, tuple) else type(k).__name__) for k in common._KEPT] or ["none"]})
+
+    planes.token_files(one, path, "byte").count()
+    language.identify(one, r).count()
+    seen = {x.kept for x in spark.range(8).repartition(8).mapInArrow(kept, "kept string").collect()}
+    assert "Reference" in seen or "none" in seen

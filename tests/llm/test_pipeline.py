@@ -1,6 +1,7 @@
 """The stages over a small table: each one's decision, and the whole run."""
 
 import corpus_pipeline
+from ledgerline.llm import language, mixing, planes, queries
 from ledgerline.llm.common import read, save
 from tests.conftest import SF_SMALL
 from tests.llm.test_operators import DE, docs, linked, rows, same  # noqa: F401
@@ -15,7 +16,10 @@ def test_stages(spark, docs, tmp_path):  # noqa: F811
         seen[name] = kept.collect()
         assert name == "token_files" or kept.columns == docs.columns
     text = [(r[0], r[1]) for r in rows()]
-    placed = [(i, t) for i, t in text if t and any(c.isalpha() for c in t)]
+    reference = language.learn(docs)
+    parser, below = language.Parser(reference), language.most_bits(docs, reference)
+    placed = [(i, t) for i, t in text if t and any(c.isalpha() for c in t) and (parser.predict(t)[2] < below or sum(map(str.isalpha, t)) < 20)]
+    assert len(placed) > 30
     same([(r.doc_id, r.text) for r in seen["language"]], placed)
     wanted = {i for (i, _, c), (_, t) in zip(linked(placed), placed) if i == c}
     assert {r.doc_id for r in seen["near_copies"]} == wanted and len(seen["near_copies"]) == len(wanted)
@@ -48,3 +52,17 @@ def test_near_copies_of_null_and_repeated_ids(spark, tmp_path):
     one = [x for x in got if x[1] in (text[6], text[6] + " more")]
     assert len(one) == 1
     same([x for x in got if x not in one], [(None, text[0]), (None, text[1]), (None, text[2]), (5, text[3]), (5, text[4]), (9, text[5]), (None, "")])
+
+
+def test_files_hold_the_mixture_in_its_order(spark):
+    """The ids lie in the order of the turns; a document's copies lie apart, and every stretch has the sources in about their weights."""
+    docs = save(spark.createDataFrame([(i, f"word{i} of a text", "rare" if i % 10 == 0 else "often") for i in range(3000)], "doc_id long, text string, source string").repartition(7), "test-mix")
+    stored = save(corpus_pipeline.mix(spark, docs, ""), "test-mixed")
+    ids = [r.doc_id for r in planes.token_files(stored, queries.tokenizer_path(), as_stored=True).orderBy("start").collect()]
+    wanted = mixing.mixed(docs).orderBy("turn", "block_key", "doc_key").collect()
+    assert ids == [r.doc_id for r in wanted]
+    place = {}
+    for k, i in enumerate(ids):
+        place.setdefault(i, []).append(k)
+    apart = [b - a for p in place.values() for a, b in zip(p, p[1:])]
+    assert len(ids) > 3000 and min(apart) > 100
