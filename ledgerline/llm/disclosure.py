@@ -2,8 +2,8 @@
 
 Base spans are the leftmost non-overlapping matches of four patterns (email, ip, card, phone), checked afterwards
 (parts up to 255; 12 to 19 digits that pass Luhn; 9 to 15 digits). Each distinct value is a protected entity.
-For a term ``t`` in the words of a document that names an entity ``e`` (without the words of its base spans), documents are counted: with
-``t`` outside spans and ``e``, with ``t`` anywhere, with ``e``, and all. The information that ``t`` gives of ``e`` is
+For a term ``t`` in the words of a document that names an entity ``e`` (without the words of its base spans), distinct texts are counted: with
+``t`` outside spans and ``e``, with ``t`` anywhere, with ``e``, and all. Copies are no evidence: copying a corpus changes no term. The information that ``t`` gives of ``e`` is
 ``PMI = ln(N * n(t,e) / (n(t) * n(e)))``; as a share of all there is to know, ``IC(e) = ln(N / n(e))``, it is the term's
 disclosure (1: the term occurs only with the entity). Terms are removed from ``REMOVE`` on and generalised from ``GENERALISE`` on, if so
 many common documents are no chance: the hypergeometric tail (Hoeffding's bound of it, from either margin), times the number of pairs
@@ -15,7 +15,7 @@ The patterns are written with possessive quantifiers and look-behinds, so that a
 and no stack; they find the same matches. Positions are code points, end exclusive.
 
 Defined results: a null text is empty; a text without spans has the empty span list. Overlapping spans of several kinds
-are all listed; in the sanitised text the first (then the earlier kind) counts. Repeated rows each count and each get their spans,
+are all listed; in the sanitised text the first (then the earlier kind) counts. Repeated rows and copies count once and each get their spans,
 null ids included. Extra columns are ignored. DataFrame functions only.
 """
 
@@ -51,11 +51,12 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def spans(text: Column, pattern: str) -> Column:
-    """start, end and value of all matches.
+def spans(text: Column, pattern: str | Column) -> Column:
+    """start, end and value of all matches (of one pattern, or of each row's own).
 
     Positions are the lengths of what lies between matches and of themselves, added up."""
     none = F.array().cast(_SPAN)
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
 
     def block(part: Column, at: Column) -> Column:
         def step(done: Column, i: Column) -> Column:
@@ -80,8 +81,8 @@ def spans(text: Column, pattern: str) -> Column:
         starts = F.aggregate(parts, begun, lambda d, p: F.struct((d["at"] + size_of(p)).alias("at"), F.concat(d["out"], F.array(d["at"])).alias("out")))["out"]
         return F.flatten(F.zip_with(parts, starts, block))
 
-    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("f"), F.split(text, pattern, -1).alias("g"))
-    return F.when(text.rlike(pattern), _let(_let(both, blocks), laid)).otherwise(none)
+    both = F.struct(F.regexp_extract_all(text, pattern, F.lit(0)).alias("f"), F.split(text, pattern, -1).alias("g"))
+    return F.when(F.rlike(text, pattern), _let(_let(both, blocks), laid)).otherwise(none)
 
 
 def _digits(value: Column) -> Column:
@@ -149,14 +150,18 @@ def _key() -> Column:
     return F.unhex(F.substring(F.sha2(named, 256), 1, 32)).alias("key")
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")
+
+
 def found(docs: DataFrame, *keep: str) -> DataFrame:
-    """key, doc_id, ``keep``, n_<kind>, base (the spans by start, then kind) and words (the terms beside them; none without spans), saved."""
-    read = docs.select(_key(), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """key, h (the text's hash), doc_id, ``keep``, n_<kind>, base (the spans by start, then kind) and words (the terms beside them; none without spans), saved."""
+    read = docs.select(_key(), _text_hash(), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     for kind, column in base_spans(F.col("text")).items():
         read = read.withColumn(kind, column)
     read = read.withColumn("base", F.array_sort(F.concat(*(_tagged(F.col(k), k) for k in KINDS[:4]))))
     words = F.when(F.size("base") > 0, terms(masked(F.col("text")))).otherwise(F.array().cast("array<string>"))
-    return save(read.select("key", "doc_id", *keep, *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:4]), "base", words.alias("words")), "private")
+    return save(read.select("key", "h", "doc_id", *keep, *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:4]), "base", words.alias("words")), "private")
 
 
 def _entity(span: Column) -> Column:
@@ -172,8 +177,9 @@ def _log_chance(both: Column, draws: Column, share: Column) -> Column:
 
 def disclosing(docs: DataFrame, rows: DataFrame, alpha: float = ALPHA, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """entity, term, disclosure and removed (else generalised) of every term above the thresholds. rows: see ``found``."""
-    n = float(rows.count())
-    naming = rows.filter(F.size("base") > 0).select(F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"), "words")
+    n = float(rows.select("h").distinct().count())
+    texts = rows.filter(F.size("base") > 0).select("h", "base", "words").dropDuplicates(["h"])
+    naming = texts.select(F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"), "words")
     entities = naming.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), F.sum(F.size("words")).alias("n_tests"))
     entities = save(entities.filter(F.col("n_entity") < n), "entities")
     several = F.when(F.col("n_entity") > 1, F.col("n_tests")).otherwise(0)
@@ -185,11 +191,10 @@ def disclosing(docs: DataFrame, rows: DataFrame, alpha: float = ALPHA, generalis
     pairs = tested.select("entity", F.explode("words").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     pairs = save(pairs.filter(F.col("n_both") >= (1 if tests <= alpha * n else 2)), "pairs")
     wanted = pairs.select("term").distinct()
-    words = docs.select(F.explode(terms(F.col("text"))).alias("term"))
-    if wanted.count() <= BROADCAST_TERMS:
-        anywhere = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    else:
-        anywhere = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "term", "left_semi")
+    words = docs.select(_text_hash(), F.explode(terms(F.col("text"))).alias("term"))
+    # each term and text once: copies meet before they are counted
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_TERMS else wanted
+    anywhere = words.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     both, of_term, of_entity = F.col("n_both"), F.col("n_term"), F.col("n_entity")
     ratio = F.log(n * both / (of_term * of_entity)) / F.log(n / of_entity)
     chance = F.least(_log_chance(both, of_entity, of_term / n), _log_chance(both, of_term, of_entity / n))
@@ -199,16 +204,20 @@ def disclosing(docs: DataFrame, rows: DataFrame, alpha: float = ALPHA, generalis
 
 
 def marked(docs: DataFrame, told: DataFrame) -> DataFrame:
-    """key and found_terms: all occurrences of the disclosing terms. Only texts that hold one are cut into positions."""
+    """key and found_terms: all occurrences of the disclosing terms.
+
+    A text's words are looked up first; then only the spellings that were found are cut out of it, by a pattern of its own."""
     by_term = save(told.groupBy("term").agg(F.max("removed").alias("removed")), "disclosing")
     if by_term.count() <= BROADCAST_TERMS:
         by_term = F.broadcast(by_term)
     read = docs.select(_key(), F.coalesce("text", F.lit("")).alias("text"))
-    each = read.select("key", F.explode(terms(F.col("text"))).alias("term"))
-    holding = save(each.join(by_term, "term", "left_semi").select("key").distinct(), "holding")
-    words = read.join(holding, "key", "left_semi").select("key", F.explode(spans(F.col("text"), TERM)).alias("w"))
-    hits = words.select("key", "w.start", "w.end", F.lower("w.value").alias("term")).join(by_term, "term")
-    return hits.groupBy("key").agg(F.collect_set(F.struct("start", "end", "removed")).alias("found_terms"))
+    spelled = F.array_distinct(F.regexp_extract_all(F.col("text"), F.lit(TERM), F.lit(0)))
+    each = read.select("key", F.explode(spelled).alias("word")).withColumn("term", F.lower("word")).join(by_term, "term").select("key", "word", "removed").distinct()
+    holding = save(each.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("word", "removed"))).alias("own")), "holding")
+    # letters and digits only, so nothing is to be escaped
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(F.map_keys("own"), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    hits = read.join(holding, "key").select("key", "own", spans(F.col("text"), pattern).alias("w")).dropDuplicates(["key"])
+    return hits.select("key", F.transform("w", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.col("own")[s["value"]].alias("removed"))).alias("found_terms"))
 
 
 def private(docs: DataFrame, *keep: str, **how) -> DataFrame:

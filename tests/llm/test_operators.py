@@ -30,7 +30,7 @@ def rows():
     near = base.replace("token75", "other")
     passage = " ".join(f"shared{i}" for i in range(70))
     out = [EN, DE, EN, EN + " " + DE, None, "", " \n\t ", "one", "two words", "two words", LONG, base, near, base + " more", made[0] + " " + passage + " " + made[1], made[2] + " " + passage + " " + made[3], "a" * 900, "12345 678 " * 30, "x\x1cy é　漢  \n \n z"]
-    out += made + [f"Write to jo{i % 2}@mail.example.org from zanzibar{i % 2} please" for i in range(8)] + ["Released under the MIT License. " + made[4]]
+    out += made + [f"Write to jo{i % 2}@mail.example.org from zanzibar{i % 2} please, letter {i}" for i in range(8)] + ["Released under the MIT License. " + made[4]]
     got = [(i, t, ("de" if t == DE else "en") if t else None, None if i % 5 == 0 else f"s{i % 3}", 1, 1, 1.0, "k", 1, 1, "x", 1, "m") for i, t in enumerate(out)]
     return [*got, got[0], got[0], (None, EN, "en", "s1", 1, 1, 1.0, "k", 1, 1, "x", 1, "m"), (None, None, None, None, None, None, None, None, None, None, None, None, None)]
 
@@ -336,7 +336,7 @@ def test_disclosure(spark, docs, none):
 
 
 def test_disclosing_terms(spark, docs):
-    """zanzibar0 stands beside jo0 only, in four documents; 'please' beside both; counted by hand."""
+    """zanzibar0 stands beside jo0 only, in four different texts; 'please' beside both; counted by hand."""
     out = {r.doc_id: r for r in disclosure.private(docs).filter("n_email > 0").collect()}
     text = {r[0]: r[1] for r in rows()}
     for i, r in out.items():
@@ -553,3 +553,54 @@ def test_one_kept_table_a_worker(spark, docs):
     language.identify(one, r).count()
     seen = {x.kept for x in spark.range(8).repartition(8).mapInArrow(kept, "kept string").collect()}
     assert "Reference" in seen or "none" in seen
+
+
+def test_copies_disclose_nothing(spark):
+    """Copying a corpus changes no term, and a text and its copy don't make each other's words evidence."""
+    r = random.Random(21)
+    common = [f"common{i}" for i in range(300)]
+    fill = lambda n: " ".join(r.choices(common, k=n))
+    texts = [fill(15) + f" once{i}" for i in range(1500)]
+    texts[3] = texts[4] = f"{fill(40)} rare5 4@mail.example.org rare6 {fill(9)}"
+    for i in (20, 21, 22):
+        texts[i] = f"{fill(12)} Quagga {fill(5)} 9@mail.example.org {i}x"
+    texts[30] = f"QUAGGA alone, quagga{'s'}"
+    one = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    two = spark.createDataFrame([(i + k * len(texts), t) for k in range(2) for i, t in enumerate(texts)], "doc_id long, text string")
+    first = {x.doc_id: x.spans for x in disclosure.private(one).collect()}
+    for x in disclosure.private(two).collect():
+        assert x.spans == first[x.doc_id % len(texts)]
+    assert "term" not in first[3] + first[4]
+    assert first[30] == "term:0:6" and all(first[i].count("term") == 1 for i in (20, 21, 22))
+
+
+def test_fourier_matches_one_piece(spark):
+    """The sums over partitions give the ridge solution and the isotonic fit of all rows at once."""
+    r = np.random.default_rng(6)
+    n, k = 400, len(fourier.STATISTICS)
+    x = r.normal(size=(n, k)) * r.uniform(0.1, 5, k) + r.normal(size=k)
+    y = (x[:, 0] + r.normal(size=n) > 0).astype(int)
+    stats = spark.createDataFrame([(i, x[i].tolist()) for i in range(n)], "doc_id long, x array<double>").repartition(7)
+    labels = spark.createDataFrame([(i, int(y[i]), 0) for i in range(n)], "doc_id long, quality int, toxic int")
+    model = fourier.fit(stats, labels)
+    known = np.array([zlib.crc32(str(i).encode()) % 3 != 1 for i in range(n)])
+    a, b = x[known], y[known]
+    mean, scale = a.mean(0), a.std(0)
+    assert np.allclose(model.mean, mean) and np.allclose(model.scale, scale)
+    z = fourier.cosines((a - mean) / scale)
+    d = z.shape[1]
+    penalty = fourier.RIDGE * len(a) * np.diag(np.r_[np.ones(d - 1) / (d - 1), 1e-9])
+    weights = np.linalg.solve(z.T @ z + penalty, z.T @ b)
+    assert np.allclose(z @ model.weights, z @ weights, atol=1e-6)
+    assert not np.allclose(z @ weights, z @ np.linalg.lstsq(z, b, rcond=None)[0], atol=1e-3)  # the penalty shows
+    # calibration: of all rising sequences over the bins the one nearest to the labels, by minimax over intervals
+    bin_of = np.clip(((z @ model.weights - fourier.LOWEST) / fourier.STEP).astype(int), 0, fourier.BINS - 1)
+    bins = np.unique(bin_of)
+    w = np.array([(bin_of == v).sum() for v in bins])
+    good = np.array([b[bin_of == v].sum() for v in bins])
+    level = [max(min(good[i : j + 1].sum() / w[i : j + 1].sum() for j in range(m, len(bins))) for i in range(m + 1)) for m in range(len(bins))]
+    assert np.allclose(fourier.isotonic(good / w, w), level)
+    score = model.score(a)
+    assert (np.diff(score[np.argsort(z @ model.weights)]) >= -1e-9).all() and score.min() >= 0 and score.max() <= 1
+    got = {q.doc_id: q.score for q in fourier.scored(stats, model).collect()}
+    assert np.allclose([got[i] for i in range(n)], model.score(x))
