@@ -490,6 +490,7 @@ def test_bitmaps_rule_out_no_link():
         if not len(b):
             continue
         found = list(shingle_join.open_pairs([shingle_join.bitmap(a), shingle_join.bitmap(b)], ["x", "y"], [0, 0], 0, 0, 85))
+        assert bool(found) == shingle_join.may_link(shingle_join.bitmap(a), shingle_join.bitmap(b), 85) == shingle_join.may_link(shingle_join.bitmap(b), shingle_join.bitmap(a), 85)
         common = len(np.intersect1d(a, b))
         if 100 * common >= 85 * (len(a) + len(b) - common):
             assert found in ([(0, 1)], [(1, 0)])
