@@ -12,10 +12,10 @@ tokens share ``CLASSES + 1``. Hence the keys of a document:
 
 Sets that share a key, and are near in size, are candidates; they are verified key by key, and only verified links are closed transitively.
 First each set meets the least set of the keys it shares, the one with most keys in common (linear in the rows); what links is contracted. Then
-the keys that still hold several components are left; of keys with the same sets one is kept. There, pairs of different components are
-tested by parity bitmaps (four bits a token: the bits in which two sets differ are at most the tokens in which they differ, so the test never drops a link), and
+the keys that still hold several components are left; of keys with the same sets one is kept. There, pairs of different components (listed once
+where a key has ``FEW`` sets at most) are tested by parity bitmaps (four bits a token: the bits in which two sets differ are at most the tokens in which they differ, so the test never drops a link), and
 the texts of sets with a pair that passes are sent to the key and compared exactly, until what is connected is known. Keys with many sets are
-worked through in blocks of bounded size. No pair list of a group is ever made.
+worked through in blocks of bounded size. No pair list of a large group is ever made.
 
 Defined results: the null and the empty text have the empty set and link with nothing (component: the own id). Fewer words than a shingle has
 are one token. Equal sets link, copies and repeated rows included; they count as one set all along, known by 126 bits. A null id is ignored when
@@ -42,8 +42,8 @@ from ledgerline.llm.shingles import SIZE, mix, shingles
 
 #: Similarity in percent, classes of frequent tokens, cells of the sketch (a power of two) and of a filter of sets.
 PERCENT, CLASSES, CELL_BITS, FILTER_BITS = 85, 16, 22, 25
-#: Keys that a set shares with its star's center to be verified there first; sets and bytes of a block of bitmaps.
-STAR_KEYS, BLOCK_SETS, BLOCK_BYTES = 2, 2048, 16_000_000
+#: Keys that a set shares with its star's center to be verified there first; sets of a key whose pairs are listed; sets and bytes of a block of bitmaps.
+STAR_KEYS, FEW, BLOCK_SETS, BLOCK_BYTES = 2, 8, 2048, 16_000_000
 _SLICE = 1 << 16
 
 
@@ -120,10 +120,11 @@ def keys(tokens: np.ndarray, levels: np.ndarray, percent: int = PERCENT, classes
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """The set's size (8 bytes) and its parity bitmap: each token flips one bit of 256, or of as many as the set has tokens, rounded up to a power of two.
+    """The set's size (8 bytes) and its parity bitmap: each token flips one bit of 256, or of as many as the set has tokens, rounded up to a power of two
+    (beyond 2,048 tokens of half as many).
 
     Of a bit a token, sets of a similarity of 0.7 differ in a quarter; those of 0.85 may in a sixth at most."""
-    bits = max(256, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 256
+    bits = max(256, 1 << (len(tokens) - 1).bit_length() >> (len(tokens) > 2048)) if len(tokens) else 256
     at = (mix(tokens) & np.uint64(bits - 1)).astype(np.int64)
     flips = np.bincount(at, minlength=bits).astype(np.uint8) & 1
     return len(tokens).to_bytes(8, "little") + np.packbits(flips).tobytes()
@@ -194,16 +195,25 @@ def indexed(docs: DataFrame, levels: np.ndarray, size: int = SIZE, percent: int
     return text_key(docs).mapInArrow(run, "doc_id long, n long, sig decimal(38,0), t1 long, t2 long, keys array<long>, sketch binary")
 
 
+def _member_sums() -> list:
+    """Two sums of hashes that keys of the same sets (rows: key, sig) have in common."""
+    return [F.sum(F.xxhash64(F.lit(k), "sig").cast("decimal(38,0)")).alias(f"sum{k}") for k in range(2)]
+
+
 def candidates(index: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """key, sig and low of all sets that share a key with another of similar size; low: the key's least set."""
+    """key, sig, low and keys of all sets that share a key with another of similar size; low: the key's least set; keys: how many keys it stands for.
+
+    Keys of the same sets are one (two documents with a passage in common have many such keys)."""
     tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # dealt by key once, for the count and for the join (which is why both read all columns); no key has more rows than there are sets, of which each has many keys
     postings = index.select(F.explode("keys").alias("key"), "sig", "n").repartition(tasks, "key")
-    several = postings.groupBy("key").agg(F.min("sig").alias("low"), F.max("sig").alias("high"), F.max("n").alias("most")).filter((F.col("low") < F.col("high")) & (F.col("most") > 0)).select("key")
-    active = save(postings.join(several, "key"), "active-postings")
+    several = postings.groupBy("key").agg(F.min("sig").alias("low"), F.max("sig").alias("high"), F.max("n").alias("most"), F.count(F.lit(1)).alias("sets"), *_member_sums())
+    several = several.filter((F.col("low") < F.col("high")) & (F.col("most") > 0))
+    kept = several.groupBy("sets", "sum0", "sum1").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("keys")).select("key", "keys")
+    active = save(postings.join(kept, "key"), "active-postings")
     # sizes: similar sets differ by at most one class, so each set is listed under its own and the next
     size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + F.lit(1e-9))
-    listed = active.withColumn("size", F.explode(F.array(size, size + 1))).select("sig", F.xxhash64("key", "size").alias("key"))
+    listed = active.withColumn("size", F.explode(F.array(size, size + 1))).select("sig", F.xxhash64("key", "size").alias("key"), "keys")
     hubs = listed.groupBy("key").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).filter(F.col("low") < F.col("high")).select("key", "low")
     return listed.join(hubs, "key").distinct()
 
@@ -227,12 +237,16 @@ def leftover_links(docs: DataFrame, index: DataFrame, active: DataFrame, found:
     """a and b: links between different components of a key. active: key and sig; found: node and component."""
     placed = active.join(found.select(F.col("node").alias("sig"), "component"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     placed = save(placed, "key-components")
-    # keys of the same sets (a passage of two documents has many) are one: the least of those with equal sums of hashes
-    sums = [F.sum(F.xxhash64(F.lit(k), "sig").cast("decimal(38,0)")).alias(f"sum{k}") for k in range(2)]
-    several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("sets"), *sums).filter(F.col("x") < F.col("y"))
+    # by sizes, keys of the same sets may have come up again
+    several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("sets"), *_member_sums()).filter(F.col("x") < F.col("y"))
     kept = several.groupBy("sets", "sum0", "sum1").agg(F.min("key").alias("key")).select("key")
     rows = save(placed.join(kept, "key", "left_semi"), "open-keys")
     facts = save(wanted_sets(index, rows), "open-sets")
+    # keys of a few sets: their pairs, of which each comes up once however many keys it has; the others go through blocks
+    few = save(several.filter(F.col("sets") <= FEW).select("key"), "few-keys")
+    paired = save(_tested(_few_pairs(rows.join(few, "key", "left_semi")), facts, percent), "few-pairs")
+    of_pairs = verified_stars(docs, index, paired, size, percent)
+    rows = rows.join(few, "key", "left_anti")
 
     def pairs(key: int, i: int, j: int, group: dict[str, list]) -> Iterator[tuple[int, int]]:
         return open_pairs(group["sketch"], group["component"], group["own"], i, j, percent)
@@ -246,12 +260,17 @@ def leftover_links(docs: DataFrame, index: DataFrame, active: DataFrame, found:
     full = save(rows.join(facts.select("sig", "sketch"), "sig"), "key-bitmaps")
     blocks = full.groupBy("key").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum(F.length("sketch")) / BLOCK_BYTES)).cast("int").alias("blocks"))
     doubts = save(dealt_by(in_blocks(full, blocks), ["key", "i", "j"], ["sig"], doubtful, "key long, sig decimal(38,0)").distinct(), "doubtful-sets")
-    return verified_doubts(docs, rows, facts, doubts, pairs, size, percent)
+    return of_pairs.unionByName(verified_doubts(docs, rows, facts, doubts, pairs, size, percent))
 
 
-def _open_stars(index: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
-    """The stars (sig, low) whose bitmaps do not rule a link out: only their texts are sent."""
-    facts = save(wanted_sets(index, stars.select("sig").unionByName(stars.select(F.col("low").alias("sig")))).select("sig", "sketch"), "star-bitmaps")
+def _few_pairs(rows: DataFrame) -> DataFrame:
+    """sig and low of the pairs of different components in keys of up to ``FEW`` sets, each once. rows: key, sig, component."""
+    other = rows.select("key", F.col("sig").alias("low"), F.col("component").alias("of_low"))
+    return rows.join(other, "key").filter((F.col("low") < F.col("sig")) & (F.col("component") != F.col("of_low"))).select("sig", "low").distinct()
+
+
+def _tested(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (sig, low) whose bitmaps do not rule a link out: only their texts are sent. facts: sig and sketch, once each."""
 
     def test(parts):
         for batch in parts:
@@ -259,7 +278,7 @@ def _open_stars(index: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
             kept = batch.filter(pa.array([may_link(x, y, percent) for x, y in zip(a, b)], pa.bool_()))
             yield kept.select(["sig", "low"])
 
-    both = stars.join(facts, "sig").join(facts.select(F.col("sig").alias("low"), F.col("sketch").alias("center")), "low")
+    both = pairs.join(facts.select("sig", "sketch"), "sig").join(facts.select(F.col("sig").alias("low"), F.col("sketch").alias("center")), "low")
     return both.select("sig", "low", "sketch", "center").mapInArrow(test, "sig decimal(38,0), low decimal(38,0)")
 
 
@@ -267,9 +286,10 @@ def set_components(docs: DataFrame, index: DataFrame, size: int = SIZE, percent:
     """node (a set's signature) and component of the sets that link with others."""
     active = save(candidates(index, percent), "candidates")
     best = F.max(F.struct("shared", "low")).alias("best")
-    stars = active.filter(F.col("sig") != F.col("low")).groupBy("sig", "low").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= STAR_KEYS)
+    stars = active.filter(F.col("sig") != F.col("low")).groupBy("sig", "low").agg(F.sum("keys").alias("shared")).filter(F.col("shared") >= STAR_KEYS)
     stars = save(stars.groupBy("sig").agg(best).select("sig", "best.low"), "stars")
-    stars = save(_open_stars(index, stars, percent), "open-stars")
+    facts = save(wanted_sets(index, stars.select("sig").unionByName(stars.select(F.col("low").alias("sig")))).select("sig", "sketch"), "star-bitmaps")
+    stars = save(_tested(stars, facts, percent), "open-stars")
     first = save(verified_stars(docs, index, stars, size, percent), "star-links")
     rest = leftover_links(docs, index, active.select("key", "sig"), components(first), size, percent)
     return components(first.unionByName(rest))
