@@ -12,10 +12,10 @@ tokens share ``CLASSES + 1``. Hence the keys of a document:
 
 Sets that share a key, and are near in size, are candidates; they are verified key by key, and only verified links are closed transitively.
 First each set meets the least set of the keys it shares, the one with most keys in common (linear in the rows); what links is contracted. Then
-the keys that still hold several components are left; of keys with the same sets one is kept. There, pairs of different components (listed once
-where a key has ``FEW`` sets at most) are tested by parity bitmaps (four bits a token: the bits in which two sets differ are at most the tokens in which they differ, so the test never drops a link), and
+the keys that still hold several components are left; of keys with the same sets one is kept. There, pairs of different components are
+tested by parity bitmaps (four bits a token: the bits in which two sets differ are at most the tokens in which they differ, so the test never drops a link), and
 the texts of sets with a pair that passes are sent to the key and compared exactly, until what is connected is known. Keys with many sets are
-worked through in blocks of bounded size. No pair list of a large group is ever made.
+worked through in blocks of bounded size. No pair list of a group is ever made.
 
 Defined results: the null and the empty text have the empty set and link with nothing (component: the own id). Fewer words than a shingle has
 are one token. Equal sets link, copies and repeated rows included; they count as one set all along, known by 126 bits. A null id is ignored when
@@ -42,8 +42,8 @@ from ledgerline.llm.shingles import SIZE, mix, shingles
 
 #: Similarity in percent, classes of frequent tokens, cells of the sketch (a power of two) and of a filter of sets.
 PERCENT, CLASSES, CELL_BITS, FILTER_BITS = 85, 16, 22, 25
-#: Keys that a set shares with its star's center to be verified there first; sets of a key whose pairs are listed; sets and bytes of a block of bitmaps.
-STAR_KEYS, FEW, BLOCK_SETS, BLOCK_BYTES = 2, 8, 2048, 16_000_000
+#: Keys that a set shares with its star's center to be verified there first; sets and bytes of a block of bitmaps.
+STAR_KEYS, BLOCK_SETS, BLOCK_BYTES = 2, 2048, 16_000_000
 _SLICE = 1 << 16
 
 
@@ -206,7 +206,7 @@ def candidates(index: DataFrame, percent: int = PERCENT) -> DataFrame:
     Keys of the same sets are one (two documents with a passage in common have many such keys)."""
     tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # dealt by key once, for the count and for the join (which is why both read all columns); no key has more rows than there are sets, of which each has many keys
-    postings = index.select(F.explode("keys").alias("key"), "sig", "n").repartition(tasks, "key")
+    postings = index.select(F.explode("keys").alias("key"), "sig", "n").filter(F.col("key").isNotNull()).repartition(tasks, "key")
     several = postings.groupBy("key").agg(F.min("sig").alias("low"), F.max("sig").alias("high"), F.max("n").alias("most"), F.count(F.lit(1)).alias("sets"), *_member_sums())
     several = several.filter((F.col("low") < F.col("high")) & (F.col("most") > 0))
     kept = several.groupBy("sets", "sum0", "sum1").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("keys")).select("key", "keys")
@@ -242,11 +242,6 @@ def leftover_links(docs: DataFrame, index: DataFrame, active: DataFrame, found:
     kept = several.groupBy("sets", "sum0", "sum1").agg(F.min("key").alias("key")).select("key")
     rows = save(placed.join(kept, "key", "left_semi"), "open-keys")
     facts = save(wanted_sets(index, rows), "open-sets")
-    # keys of a few sets: their pairs, of which each comes up once however many keys it has; the others go through blocks
-    few = save(several.filter(F.col("sets") <= FEW).select("key"), "few-keys")
-    paired = save(_tested(_few_pairs(rows.join(few, "key", "left_semi")), facts, percent), "few-pairs")
-    of_pairs = verified_stars(docs, index, paired, size, percent)
-    rows = rows.join(few, "key", "left_anti")
 
     def pairs(key: int, i: int, j: int, group: dict[str, list]) -> Iterator[tuple[int, int]]:
         return open_pairs(group["sketch"], group["component"], group["own"], i, j, percent)
@@ -260,13 +255,7 @@ def leftover_links(docs: DataFrame, index: DataFrame, active: DataFrame, found:
     full = save(rows.join(facts.select("sig", "sketch"), "sig"), "key-bitmaps")
     blocks = full.groupBy("key").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum(F.length("sketch")) / BLOCK_BYTES)).cast("int").alias("blocks"))
     doubts = save(dealt_by(in_blocks(full, blocks), ["key", "i", "j"], ["sig"], doubtful, "key long, sig decimal(38,0)").distinct(), "doubtful-sets")
-    return of_pairs.unionByName(verified_doubts(docs, rows, facts, doubts, pairs, size, percent))
-
-
-def _few_pairs(rows: DataFrame) -> DataFrame:
-    """sig and low of the pairs of different components in keys of up to ``FEW`` sets, each once. rows: key, sig, component."""
-    other = rows.select("key", F.col("sig").alias("low"), F.col("component").alias("of_low"))
-    return rows.join(other, "key").filter((F.col("low") < F.col("sig")) & (F.col("component") != F.col("of_low"))).select("sig", "low").distinct()
+    return verified_doubts(docs, rows, facts, doubts, pairs, size, percent)
 
 
 def _tested(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
