@@ -454,7 +454,7 @@ def test_license_notices(spark):
 def test_registered(spark):
     import __spark_entry__ as entry
 
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in entry.queries()) == 1 for n in names) and "pipeline" in entry.queries()
     assert set(queries.SQL) <= set(queries.QUERIES)
 
