@@ -30,20 +30,21 @@ def main(argv) -> None:
     spark = build_session("local[8]", app="ledgerline-measure", shuffle_partitions=8, extra=extra)
     sc = spark.sparkContext
     t0 = time.perf_counter()
-    Inputs(spark, sf, mode="cache").materialize_all()
+    inputs = Inputs(spark, sf, mode="cache")
+    inputs.materialize_all()
     build_sec = time.perf_counter() - t0
     out = {}
     for key in QUERIES:
         def run():
             s = time.perf_counter()
-            build(key, spark, sf, Inputs(spark, sf, mode="cache")).write.format("noop").mode("overwrite").save()
+            build(key, spark, sf, inputs).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - s
         run()
         times = [run() for _ in range(runs)]
         sc.setJobGroup(f"measure:{key}", key)
         run()
         sc.setJobGroup("other", "other")
-        rows = build(key, spark, sf, Inputs(spark, sf, mode="cache")).count()
+        rows = build(key, spark, sf, inputs).count()
         out[key] = {"median": round(statistics.median(times), 3), "worst": round(max(times), 3), "rows": rows}
     spark.stop()
     stage_group, shuffle = {}, {}
