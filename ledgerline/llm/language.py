@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -36,9 +35,17 @@ UNKNOWN = "und"
 SAMPLE_DOCS, SAMPLE_WORDS, FULL_SAMPLES, MAX_LANGUAGES = 200, 8000, 200, 10_000
 #: Letters that a text needs to be judged foreign.
 MIN_LETTERS = 20
-_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-#: Runs of letters as ``str.isalpha`` has them: word characters without digits, the underscore, and other numerals such as superscripts and fractions.
-LETTERS = re.compile(rf"[^\W\d_{re.escape(_NUMERALS)}]+").findall
+_RUNS = re.compile(r"[^\W\d_]+").findall
+
+
+def letter_runs(text: str) -> list[str]:
+    """Runs of letters as ``str.isalpha`` has them: word characters without digits, the underscore and other numerals (superscripts, fractions)."""
+    runs = _RUNS(text)
+    if all(map(str.isalpha, runs)):
+        return runs
+    return "".join(c if c.isalpha() else " " for c in " ".join(runs)).split()
+
+
 #: Words whose phrase counts a worker keeps; beyond that it starts anew.
 KEPT_WORDS = 400_000
 _FIELD = 48
@@ -149,7 +156,7 @@ class Parser:
 
     def predict(self, text: str) -> tuple[str, float, float]:
         """Language, score, and the least entropy (bits a letter)."""
-        words = LETTERS(text.lower())
+        words = letter_runs(text.lower())
         if not words or not self.languages:
             return UNKNOWN, 0.0, 0.0
         if len(self.known) > KEPT_WORDS:
@@ -168,7 +175,7 @@ class Parser:
     def placed(self, text: str, below: float) -> bool:
         """Whether the text has a language: see ``most_bits``."""
         lang, _, bits = self.predict(text)
-        return lang != UNKNOWN and (bits < below or sum(map(len, LETTERS(text.lower()))) < MIN_LETTERS)
+        return lang != UNKNOWN and (bits < below or sum(map(len, letter_runs(text.lower()))) < MIN_LETTERS)
 
 
 class _Known(dict):

@@ -504,7 +504,7 @@ def test_bitmaps_rule_out_no_link():
 
 def test_letters_are_those_of_isalpha():
     every = [chr(c) for c in range(0x110000)]
-    assert [c for c in every if language.LETTERS(c)] == [c for c in every if c.isalpha()]
+    assert [c for c in every if language.letter_runs(c)] == [c for c in every if c.isalpha()]
 
 
 def test_numerals_alone_have_no_language(spark, docs):
