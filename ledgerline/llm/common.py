@@ -60,12 +60,18 @@ def kept_alone(key, make):
 
     An encoder's and a parser's tables take hundreds of megabytes; the next operator's task lets go of them before it makes its own."""
     if key not in _KEPT:
-        _KEPT.clear()
-        gc.collect()
+        let_go()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+def let_go() -> None:
+    """Let go of what this worker keeps: for tasks that need the memory and keep nothing themselves."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+
+
 def ship(spark: SparkSession) -> None:
     """Python workers look for this package where the driver found it, besides what the cluster ships to them."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

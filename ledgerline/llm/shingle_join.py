@@ -13,7 +13,8 @@ tokens share ``CLASSES + 1``. Hence the keys of a document:
 Sets that share a key, and are near in size, are candidates; they are verified key by key, and only verified links are closed transitively.
 First each set meets the least set of the keys it shares, the one with most keys in common (linear in the rows); what links is contracted. Then
 the keys that still hold several components are left; of keys with the same sets one is kept. There, pairs of different components are
-tested by parity bitmaps (four bits a token: the bits in which two sets differ are at most the tokens in which they differ, so the test never drops a link), and
+tested by parity bitmaps (the bits in which two sets differ are at most the tokens in which they differ, so the test never drops a link; sets of more than
+2,048 tokens by 128 values of a one-permutation sketch, which drops a link with a probability of 1e-9), and
 the texts of sets with a pair that passes are sent to the key and compared exactly, until what is connected is known. Keys with many sets are
 worked through in blocks of bounded size. No pair list of a group is ever made.
 
@@ -34,16 +35,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import batches, save, texts
+from ledgerline.llm.common import batches, let_go, save, texts
 from ledgerline.llm.components import components
 from ledgerline.llm.hot import join_unique
-from ledgerline.llm.minhash import SIG, dealt_by, decimals, grouped_rows, in_blocks, signature, text_key, verified_doubts, verified_stars, wanted_sets
+from ledgerline.llm.minhash import SIG, dealt_by, decimals, grouped_rows, in_blocks, signature, sketch, text_key, verified_doubts, verified_stars, wanted_sets
 from ledgerline.llm.shingles import SIZE, mix, shingles
 
 #: Similarity in percent, classes of frequent tokens, cells of the sketch (a power of two) and of a filter of sets.
 PERCENT, CLASSES, CELL_BITS, FILTER_BITS = 85, 16, 22, 25
 #: Keys that a set shares with its star's center to be verified there first; sets and bytes of a block of bitmaps.
 STAR_KEYS, BLOCK_SETS, BLOCK_BYTES = 2, 2048, 16_000_000
+#: Tokens beyond which a set has a sketch instead of a bitmap (a power of two), and the values of that.
+LONG, LONG_BINS = 2048, 128
 _SLICE = 1 << 16
 
 
@@ -84,6 +87,7 @@ def frequency_levels(docs: DataFrame, bits: int = CELL_BITS, size: int = SIZE) -
     """A level for each cell of the sketch, rising with its count; 128 and more: frequent."""
 
     def count(parts):
+        let_go()
         total = None
         for batch in parts:
             cells = [_cells(shingles(t, size), bits) for t in texts(batch)]
@@ -120,19 +124,30 @@ def keys(tokens: np.ndarray, levels: np.ndarray, percent: int = PERCENT, classes
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """The set's size (8 bytes) and its parity bitmap: each token flips one bit of 256, or of as many as the set has tokens, rounded up to a power of two
-    (beyond 2,048 tokens of half as many).
+    """The set's size (8 bytes) and its parity bitmap: each token flips one bit of 256, or of as many as the set has tokens, rounded up to a power of two.
+    A set of more than ``LONG`` tokens has ``LONG_BINS`` values of its one-permutation sketch instead, as long texts have many keys.
 
     Of a bit a token, sets of a similarity of 0.7 differ in a quarter; those of 0.85 may in a sixth at most."""
-    bits = max(256, 1 << (len(tokens) - 1).bit_length() >> (len(tokens) > 2048)) if len(tokens) else 256
+    if len(tokens) > LONG:
+        return len(tokens).to_bytes(8, "little") + sketch(tokens)[:LONG_BINS].astype(np.uint8).tobytes()
+    bits = max(256, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 256
     at = (mix(tokens) & np.uint64(bits - 1)).astype(np.int64)
     flips = np.bincount(at, minlength=bits).astype(np.uint8) & 1
     return len(tokens).to_bytes(8, "little") + np.packbits(flips).tobytes()
 
 
+def _least_alike(percent: int) -> int:
+    """Equal values that two sketches of linked sets have, but for a chance of 1e-9: 6.5 deviations below the mean."""
+    p = percent / 100
+    return int(LONG_BINS * p - 6.5 * (LONG_BINS * p * (1 - p)) ** 0.5)
+
+
 def may_link(a: bytes, b: bytes, percent: int) -> bool:
     """Whether two sets' bitmaps leave it open that they are similar: the bits in which they differ are at most the tokens in which they do."""
     n, m = (int.from_bytes(x[:8], "little") for x in (a, b))
+    if max(n, m) > LONG:
+        alike = np.count_nonzero(np.frombuffer(a[8:], np.uint8) == np.frombuffer(b[8:], np.uint8)) if min(n, m) > LONG else LONG_BINS
+        return 100 * min(n, m) >= percent * max(n, m) and bool(alike >= _least_alike(percent))
     a, b = sorted((a[8:], b[8:]), key=len)
     x, y = int.from_bytes(a, "big"), int.from_bytes(b, "big")
     half = 4 * len(b)
@@ -145,30 +160,36 @@ def may_link(a: bytes, b: bytes, percent: int) -> bool:
 def open_pairs(bitmaps: list[bytes], component: list, own: list, i: int, j: int, percent: int) -> Iterator[tuple[int, int]]:
     """Pairs of rows that belong to different components and whose bitmaps do not rule a link out; of two different blocks i and j only across them."""
     n = np.array([int.from_bytes(b[:8], "little") for b in bitmaps])
-    words = np.array([(len(b) - 8) // 8 for b in bitmaps])
+    words = np.where(n > LONG, 0, [(len(b) - 8) // 8 for b in bitmaps])  # 0: sketches
     code: dict = {}
     of = np.array([code.setdefault(c, len(code)) for c in component])
     block = np.array(own)
     table, folded = {}, {}
     for w in np.unique(words).tolist():
         rows = np.flatnonzero(words == w)
-        full = np.frombuffer(b"".join(bitmaps[r][8:] for r in rows), np.uint64).reshape(len(rows), w)
+        kind = np.uint64 if w else np.uint8
+        full = np.frombuffer(b"".join(bitmaps[r][8:] for r in rows), kind).reshape(len(rows), -1)
         table[w] = rows, full
         if w > 4:  # a token's bit in the table of half the size is its place modulo that size: fold the halves
             folded[w] = full[:, : w // 2] ^ full[:, w // 2 :]
     for w, (rows, full) in table.items():
         for other_w, (others, against) in table.items():
             # similar sets differ in size by less than a factor of two, so their tables are of the same or of neighbouring sizes
-            if other_w not in (w, w // 2) or (other_w == w // 2 and w == 4):
+            if other_w not in (w, w // 2 if w > 4 else w, LONG // 64 if not w else w):
                 continue
-            mine = full if other_w == w else folded[w]
+            mine = full if other_w == w or not w else folded[w]
             for k, r in enumerate(rows.tolist()):
                 at = (of[others] != of[r]) & ((block[others] == (j if block[r] == i else i)) if i != j else True)
                 if other_w == w:
                     at &= others > r
                 at &= 100 * np.minimum(n[others], n[r]) >= percent * np.maximum(n[others], n[r])
                 close = np.flatnonzero(at)
-                if len(close):
+                if not w and len(close):  # a sketch: against another one, or against a bitmap, which says nothing
+                    if other_w == 0:
+                        close = close[(against[close] == mine[k]).sum(1) >= _least_alike(percent)]
+                    for m in close.tolist():
+                        yield r, int(others[m])
+                elif len(close):
                     apart = np.bitwise_count(against[close] ^ mine[k]).sum(1, dtype=np.int64)
                     for m in close[apart * (100 + percent) <= (100 - percent) * (n[others[close]] + n[r])].tolist():
                         yield r, int(others[m])
