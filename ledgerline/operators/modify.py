@@ -154,15 +154,20 @@ def ingredient_list_with_multiplier(lines: DataFrame, bridge: DataFrame, names:
 
 def tagged_toppings(numbered: DataFrame, bridge: DataFrame) -> DataFrame:
     """Relational form of the resolution: one row per (line, topping) left after exclusions, with
-    ``is_extra``. ``numbered`` carries the line identity (order_id, record_id)."""
+    ``is_extra``. ``numbered`` carries the line identity (order_id, record_id).
+
+    The rows of the UNION ALL of recipe, extras and exclusions come from one pass over the lines: three branches would number
+    the lines three times within each task."""
     key = ["order_id", "record_id", "pizza_id"]
-    standard = numbered.join(bridge, "pizza_id").select(*key, "topping_id", F.lit("standard").alias("topping_type"))
-    extra = numbered.where(F.col("extras").isNotNull()).select(
-        *key, F.explode(split_ids(F.col("extras"))).alias("topping_id"), F.lit("extra").alias("topping_type"))
-    excl = numbered.where(F.col("exclusions").isNotNull()).select(
-        *key, F.explode(split_ids(F.col("exclusions"))).alias("topping_id"), F.lit("exclusion").alias("topping_type"))
+
+    def tagged(ids: Column, kind: str) -> Column:
+        rows = F.transform(ids, lambda i: F.struct(i.alias("topping_id"), F.lit(kind).alias("topping_type")))
+        return F.coalesce(rows, F.array().cast("array<struct<topping_id:int,topping_type:string>>"))
+
+    union = F.concat(tagged(F.col("recipe_ids"), "standard"), tagged(split_ids(F.col("extras")), "extra"),
+                     tagged(split_ids(F.col("exclusions")), "exclusion"))
     kind = F.col("topping_type")
-    return (standard.unionByName(extra).unionByName(excl)
+    return (numbered.join(recipe_sets(bridge), "pizza_id", "left").select(*key, F.inline(union))
             .groupBy(*key, "topping_id")
             .agg(F.max(F.when(kind == "extra", 1).otherwise(0)).alias("is_extra"),
                  F.count_if(kind == "exclusion").alias("_excluded"))

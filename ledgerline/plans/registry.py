@@ -20,6 +20,7 @@ from ledgerline.plans import stored
 from ledgerline.plans.materialized import shared_input
 from ledgerline.sources import bindings as b
 from ledgerline.sources.sinks import write_in_order
+from ledgerline.sources.tables import tasks_for
 
 # The rows the reference appends for its new all-toppings item (ids 3 and 8 absent).
 NEW_ITEM_TOPPINGS = (1, 2, 4, 5, 6, 7, 9, 10, 11, 12)
@@ -27,8 +28,8 @@ NEW_ITEM_ID = 5  # the next free item id of the bound item dimension (ids 0-4)
 
 
 class Inputs:
-    """Logical inputs for one scale-factor folder, built lazily (in mode ``none`` nothing runs until an action; the other
-    modes look at the input files once for each ``Inputs``).
+    """Logical inputs for one scale-factor folder, built lazily (in mode ``none`` nothing runs until an action, but that the mart and
+    ``lines_by_order`` count the line items by the files' footers; the other modes look at the input files once for each ``Inputs``).
 
     The inputs that the reference keeps as tables and that are derived here by joins (``sales``, the
     cleaned order lines and runner orders, ratings, the recipe bridge, the clean weekly mart) can be
@@ -74,6 +75,18 @@ class Inputs:
     def lines(self) -> DataFrame:
         return self._shared("customer_orders_clean", lambda: clean.clean_customer_orders(self.raw_lines))
 
+    @cached_property
+    def tasks(self) -> int:
+        """Tasks that share the order lines."""
+        return tasks_for(self.spark, self.d, "lineitem")
+
+    @cached_property
+    def lines_by_order(self) -> DataFrame:
+        """``lines``, dealt by order to :attr:`tasks`: for steps that number, expand or regroup the lines of an order."""
+        if self.mode != "none":
+            return self.lines.repartition(self.tasks, "order_id")
+        return clean.clean_customer_orders(b.customer_orders(self.spark, self.d, self.tasks))
+
     @cached_property
     def orders(self) -> DataFrame:
         return self._shared("runner_orders_clean", lambda: clean.clean_runner_orders(self.raw_orders))
@@ -180,9 +193,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "order_lines_numbered": lambda i: stored.order_lines_numbered(i.lines),
     "order_item_label_relational": lambda i: modify.order_item_label(i.lines, i.names, i.toppings, method="relational"),
     "ingredient_list_relational": lambda i: modify.ingredient_list_with_multiplier(
-        i.lines, i.bridge, i.names, i.toppings, method="relational"),
+        i.lines_by_order, i.bridge, i.names, i.toppings, method="relational"),
     "ingredient_usage_relational": lambda i: modify.ingredient_usage_delivered(
-        i.lines, i.orders, i.bridge, i.toppings, method="relational"),
+        i.lines_by_order, i.orders, i.bridge, i.toppings, method="relational"),
     "revenue_fixed_price": lambda i: delivery.revenue_fixed_price(i.lines, i.orders, i.names, b.PREMIUM_ITEM),
     "revenue_with_extras": lambda i: delivery.revenue_with_extras(i.lines, i.orders, i.names, b.PREMIUM_ITEM),
     "ratings_table": lambda i: i.ratings,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.sources.tables import read_table
+from ledgerline.sources.tables import read_table, tasks_for
 
 # Fixed values of the bindings (see FIXTURES.md §3).
 MEMBER_JOIN_BASE = "1996-01-01"       # members: join_date = base + custkey % 1500 days
@@ -64,9 +64,12 @@ def members(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- delivery family
 
-def customer_orders(spark: SparkSession, d: str) -> DataFrame:
+def customer_orders(spark: SparkSession, d: str, tasks: int | None = None) -> DataFrame:
+    """The order lines; with ``tasks`` dealt to so many by order, so that steps keyed by the order need no other shuffle."""
     li = read_table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    if tasks:
+        li, o = li.repartition(tasks, "l_orderkey"), o.repartition(tasks, "o_orderkey")
     p, s, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     exclusions = (F.when(p % 4 == 0, F.lit("")).when(p % 4 == 1, F.lit("null"))
                   .when(p % 4 == 2, _str(s % 25))
