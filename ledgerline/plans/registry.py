@@ -188,7 +188,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "top_exclusion": lambda i: delivery.top_exclusion(i.lines, i.toppings, 1),
     "order_item_label": lambda i: modify.order_item_label(i.lines, i.names, i.toppings),
     "ingredient_list_with_multiplier": lambda i: modify.ingredient_list_with_multiplier(
-        i.lines, i.bridge, i.names, i.toppings),
+        i.lines_by_order, i.bridge, i.names, i.toppings),
     "ingredient_usage_delivered": lambda i: modify.ingredient_usage_delivered(i.lines, i.orders, i.bridge, i.toppings),
     "order_lines_numbered": lambda i: stored.order_lines_numbered(i.lines),
     "order_item_label_relational": lambda i: modify.order_item_label(i.lines, i.names, i.toppings, method="relational"),
