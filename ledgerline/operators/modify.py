@@ -8,7 +8,7 @@ as it is excluded; an extra already in the recipe counts once). Two equivalent f
   distinct list or (item, exclusions, extras) combination and is joined back to the lines, so per
   line only a hash-join probe remains. How the per-list / per-combination tables are joined back is left to their
   size at run time, dimension joins are planned by size, and nothing is collected to the driver.
-* **relational form**: the tagged UNION ALL of recipe/extra/exclusion rows, grouped per
+* **relational form**: the tagged UNION ALL of recipe/extra/exclusion rows (made in one pass), grouped per
   (line, topping) with a HAVING on exclusions, then joined and re-aggregated per line: the
   reference's own plan, kept as the cross-check of the default form.
 """
@@ -55,23 +55,39 @@ def resolve_modifications(lines: DataFrame, bridge: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- D21 labels
 
-def _list_labels(lines: DataFrame, toppings: DataFrame, col: str, prefix: str, out: str) -> DataFrame:
-    """``prefix`` + topping names in list order, once per distinct list text (ids without a topping are
-    skipped; a list with no known topping gets no label)."""
-    lists = lines.where(F.col(col).isNotNull()).select(F.col(col).alias("_list")).distinct()
-    exploded = lists.select("_list", F.posexplode(split_ids(F.col("_list"))).alias("_pos", "topping_id"))
+#: Slices of the orders for each task: a list text that most lines have, or none, is joined slice by slice.
+SLICES_A_TASK = 4
+
+
+def _list_labels(lines: DataFrame, toppings: DataFrame, col: str, prefix: str, out: str, tasks: int | None) -> DataFrame:
+    """``prefix`` + topping names in list order, once per distinct list text and slice that has it (ids without a
+    topping are skipped; a list with no known topping gets no label)."""
+    lists = lines.where(F.col(col).isNotNull()).select(F.col(col).alias(f"{out}_list"), F.col("_slice").alias(f"{out}_slice")).distinct()
+    key = [f"{out}_list", f"{out}_slice"]
+    if tasks:  # as the lines are dealt in _labelled
+        lists = lists.repartition(tasks, *key)
+    exploded = lists.select(*key, F.posexplode(split_ids(F.col(f"{out}_list"))).alias("_pos", "topping_id"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("_pos", "topping_name"))), lambda s: s["topping_name"])
-    return (exploded.join(toppings, "topping_id").groupBy("_list")
+    return (exploded.join(toppings, "topping_id").groupBy(*key)
             .agg(F.concat(F.lit(prefix), F.array_join(ordered, ", ")).alias(out)))
 
 
+def _labelled(lines: DataFrame, labels: DataFrame, col: str, out: str, tasks: int | None) -> DataFrame:
+    """The lines with the label of their list; each (list, slice) meets in one of ``tasks``, lines without a list by slice."""
+    if tasks:
+        lines = lines.repartition(tasks, col, "_slice")
+    same = (F.col(col) == F.col(f"{out}_list")) & (F.col("_slice") == F.col(f"{out}_slice"))
+    return lines.join(labels, same, "left").drop(f"{out}_list", f"{out}_slice")
+
+
 def order_item_label(lines: DataFrame, names: DataFrame, toppings: DataFrame, method: str = "lists",
-                     record_id: bool = False) -> DataFrame:
+                     record_id: bool = False, tasks: int | None = None) -> DataFrame:
     """``Name - Exclude a, b - Extra c, d`` per line; absent parts skipped; ids without a topping
     are ignored; names keep list order. Lines whose item has no name are dropped (inner join).
 
-    Default: each distinct list text is labelled once (explode, join, regroup; bounded by one list)
-    and the labels are joined back to the lines by list text. Nothing runs while the query is built:
+    Default: each distinct list text is labelled once a slice of the orders (explode, join, regroup; bounded by
+    one list) and the labels are joined back to the lines by list text and slice, so that the lines of one frequent text, or without
+    one, are dealt over ``tasks`` (default: the session's partitions). Nothing runs while the query is built:
     whether a label table is broadcast is left to its size in bytes at run time. ``record_id`` adds the line's number
     within its order, by which the reference sorts without listing it.
     """
@@ -79,12 +95,13 @@ def order_item_label(lines: DataFrame, names: DataFrame, toppings: DataFrame, me
         return _order_item_label_relational(lines, names, toppings)
     if record_id:
         lines = line_ids(lines)
-    excl = _list_labels(lines, toppings, "exclusions", "Exclude ", "_excl").withColumnRenamed("_list", "_excl_list")
-    extra = _list_labels(lines, toppings, "extras", "Extra ", "_extra").withColumnRenamed("_list", "_extra_list")
-    j = (lines.join(names, "pizza_id")
-         .join(excl, F.col("exclusions") == F.col("_excl_list"), "left")
-         .join(extra, F.col("extras") == F.col("_extra_list"), "left"))
     key = ["order_id", "record_id"] if record_id else ["order_id"]
+    slices = SLICES_A_TASK * (tasks or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    lines = lines.select(*key, *LINE_CONTENT, F.pmod(F.xxhash64("order_id"), F.lit(slices)).alias("_slice"))
+    excl = _list_labels(lines, toppings, "exclusions", "Exclude ", "_excl", tasks)
+    extra = _list_labels(lines, toppings, "extras", "Extra ", "_extra", tasks)
+    j = _labelled(lines.join(names, "pizza_id"), excl, "exclusions", "_excl", tasks)
+    j = _labelled(j, extra, "extras", "_extra", tasks)
     return j.select(*key, "pizza_id", F.concat_ws(" - ", "pizza_name", "_excl", "_extra").alias("order_item"))
 
 

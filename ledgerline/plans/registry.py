@@ -186,7 +186,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "standard_ingredients": lambda i: delivery.standard_ingredients(i.bridge, i.names, i.toppings),
     "top_extra": lambda i: delivery.top_extra(i.lines, i.toppings, 1),
     "top_exclusion": lambda i: delivery.top_exclusion(i.lines, i.toppings, 1),
-    "order_item_label": lambda i: modify.order_item_label(i.lines, i.names, i.toppings),
+    "order_item_label": lambda i: modify.order_item_label(i.lines_by_order, i.names, i.toppings, tasks=i.tasks),
     "ingredient_list_with_multiplier": lambda i: modify.ingredient_list_with_multiplier(
         i.lines_by_order, i.bridge, i.names, i.toppings),
     "ingredient_usage_delivered": lambda i: modify.ingredient_usage_delivered(i.lines, i.orders, i.bridge, i.toppings),
@@ -268,7 +268,7 @@ RESULT_ORDER: dict[str, tuple[str, ...]] = {
 
 # Reports that are sorted by a column which they don't list: the query with that column, for the sort only.
 HIDDEN_ORDER: dict[str, tuple[Callable[[Inputs], DataFrame], str]] = {
-    "order_item_label": (lambda i: modify.order_item_label(i.lines, i.names, i.toppings, record_id=True), "record_id"),
+    "order_item_label": (lambda i: modify.order_item_label(i.lines_by_order, i.names, i.toppings, record_id=True, tasks=i.tasks), "record_id"),
 }
 
 
