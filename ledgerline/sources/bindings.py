@@ -155,16 +155,21 @@ def event_weeks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def weekly_sales(spark: SparkSession, d: str) -> DataFrame:
-    """Raw weekly mart: text week (``dd/MM/yy``, Monday), five dimensions, transactions, sales."""
+    """Raw weekly mart: text week (``dd/MM/yy``, Monday), five dimensions, transactions, sales.
+
+    Line items meet their orders last, dealt by order to a number of tasks that grows with the line items: the distinct orders
+    of a group are found there, without another shuffle."""
     li = read_table(spark, d, "lineitem", "l_orderkey", "l_extendedprice", "l_returnflag", "l_shipdate")
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
     c = read_table(spark, d, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
     n = read_table(spark, d, "nation", "n_nationkey", "n_regionkey")
     r = read_table(spark, d, "region", "r_regionkey", "r_name")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(c, o.o_custkey == c.c_custkey)
-         .join(n, c.c_nationkey == n.n_nationkey)
-         .join(r, n.n_regionkey == r.r_regionkey))
+    tasks = tasks_for(spark, d, "lineitem")
+    placed = (o.join(c, o.o_custkey == c.c_custkey)
+              .join(n, c.c_nationkey == n.n_nationkey)
+              .join(r, n.n_regionkey == r.r_regionkey)
+              .select("o_orderkey", "o_orderpriority", "c_custkey", "c_mktsegment", "r_name").repartition(tasks, "o_orderkey"))
+    j = li.repartition(tasks, "l_orderkey").join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
     key = F.col("c_custkey")
     seg = F.col("c_mktsegment")
     segment = (F.when(seg == "HOUSEHOLD", F.concat(F.lit("F"), _str(1 + key % 4)))
