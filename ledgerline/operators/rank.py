@@ -114,7 +114,7 @@ def number_rows(df: DataFrame, order: Sequence[str], out: str = "row_number", pa
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).repartitionByRange(partitions, *by).sortWithinPartitions(*by)
     # the number of the range in the upper bits, the place within the range in the lower 33
     placed = materialize(counted.withColumn("_place", F.monotonically_increasing_id()), table_path(spark, f"numbered-{uuid.uuid4().hex}", local_fallback=True))
-    placed = placed.withColumn("_range", F.shiftright("_place", 33))
+    placed = placed.withColumn("_range", F.shiftright("_place", 33)).repartition(partitions, "_range")
     totals = placed.groupBy("_range").agg(F.sum("_n").alias("_total"))
     listed = totals.agg(F.array_sort(F.collect_list(F.struct("_range", "_total"))).alias("all")).select(F.posexplode("all").alias("k", "r"), "all")
     before = F.aggregate(F.slice("all", 1, F.col("k")), F.lit(0).cast("long"), lambda a, r: a + r["_total"])

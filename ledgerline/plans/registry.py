@@ -190,7 +190,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "ingredient_list_with_multiplier": lambda i: modify.ingredient_list_with_multiplier(
         i.lines_by_order, i.bridge, i.names, i.toppings),
     "ingredient_usage_delivered": lambda i: modify.ingredient_usage_delivered(i.lines, i.orders, i.bridge, i.toppings),
-    "order_lines_numbered": lambda i: stored.order_lines_numbered(i.lines),
+    "order_lines_numbered": lambda i: stored.order_lines_numbered(i.lines_by_order, i.tasks),
     "order_item_label_relational": lambda i: modify.order_item_label(i.lines_by_order, i.names, i.toppings, method="relational"),
     "ingredient_list_relational": lambda i: modify.ingredient_list_with_multiplier(
         i.lines_by_order, i.bridge, i.names, i.toppings, method="relational"),

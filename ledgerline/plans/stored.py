@@ -49,9 +49,9 @@ def bridge_insert_repeated(recipes: DataFrame, new_rows: DataFrame) -> DataFrame
     return recipes.sparkSession.read.parquet(path).select("pizza_id", "topping_id")
 
 
-def order_lines_numbered(lines: DataFrame) -> DataFrame:
-    """Every order line under a table-wide number (``ROW_NUMBER() OVER ()``, with a defined order)."""
-    return number_rows(lines, LINE_ORDER, "record_id")
+def order_lines_numbered(lines: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Every order line under a table-wide number (``ROW_NUMBER() OVER ()``, with a defined order), in ``tasks`` ranges."""
+    return number_rows(lines, LINE_ORDER, "record_id", tasks)
 
 
 def bucketed_sales(spark: SparkSession, sf_dir: str, buckets: int = SALES_BUCKETS) -> DataFrame:
