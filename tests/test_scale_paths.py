@@ -176,3 +176,52 @@ def test_table_sinks(spark, tmp_path):
     save_as(df, "ll_sink.bridge")
     assert spark.table("ll_sink.bridge").count() == 2
     spark.sql("DROP SCHEMA ll_sink CASCADE")
+
+
+def _rows_a_task(df):
+    return [n for n in df.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect() if n]
+
+
+def test_lines_are_dealt_by_order_however_few_bytes(spark):
+    """Partitions that AQE would merge stay apart: the order's tasks are fixed, and numbering doesn't shuffle again."""
+    from ledgerline.sources import bindings as b
+    from ledgerline.sources.tables import tasks_for
+
+    n = read_table(spark, SF_SMALL, "lineitem").count()
+    assert tasks_for(spark, SF_SMALL, "lineitem", 500) == -(-n // 500) > spark.sparkContext.defaultParallelism
+    assert tasks_for(spark, SF_SMALL, "lineitem") == spark.sparkContext.defaultParallelism
+    lines = clean.clean_customer_orders(b.customer_orders(spark, SF_SMALL, 12))
+    assert rows(lines) == rows(Inputs(spark, SF_SMALL).lines)
+    numbered = modify.line_ids(lines)
+    dealt = _rows_a_task(numbered)
+    assert len(dealt) == 12 and max(dealt) < n / 6
+    bound = Inputs(spark, SF_SMALL)
+    assert len(_rows_a_task(modify.tagged_toppings(numbered, bound.bridge))) == 12
+
+
+def test_lines_of_one_frequent_list_are_dealt(spark):
+    """A list that all lines have, and lines without a list, don't meet in one task."""
+    names = spark.createDataFrame([(1, "Meatlovers")], "pizza_id int, pizza_name string")
+    toppings = spark.createDataFrame([(1, "Bacon"), (2, "Beef")], "topping_id int, topping_name string")
+    lines = spark.range(4000).selectExpr("id order_id", "id customer_id", "1 pizza_id", "'2, 1' exclusions", "cast(null as string) extras", "cast(null as timestamp_ntz) order_time")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = modify.order_item_label(lines, names, toppings, tasks=6)
+        dealt = _rows_a_task(out)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(dealt) == 4000 and max(dealt) < 2000
+    assert {r.order_item for r in out.collect()} == {"Meatlovers - Exclude Beef, Bacon"}
+
+
+def test_weekly_groups_and_numbers_keep_their_tasks(spark):
+    """Line items meet their orders in the tasks where the distinct orders are counted."""
+    from ledgerline.operators.rank import number_rows
+    from ledgerline.sources import bindings as b
+
+    plan = b.weekly_sales(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 1
+    assert sum("hashpartitioning" in x and "o_orderkey" in x and "week" in x.lower() for x in plan.splitlines()) == 0
+    df = spark.range(1000).selectExpr("id % 300 a", "id % 7 b")
+    got = sorted(r.n for r in number_rows(df, ["a"], "n", partitions=9).collect())
+    assert got == list(range(1, 1001))
