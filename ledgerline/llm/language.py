@@ -1,7 +1,7 @@
 """Language identification by cross-parsing: suffix automata of labelled text, fewest phrases win.
 
-For each language one suffix automaton is built from the words of a bounded sample of labelled
-documents. A text is cut into lower-case letter runs, each marked with a space at both ends, and parsed
+For each language one suffix automaton is built from the most frequent words of all its labelled
+documents (their number is bounded). A text is cut into lower-case letter runs, each marked with a space at both ends, and parsed
 greedily against every automaton: each phrase is the longest match that the automaton has (a character
 that it lacks is a phrase by itself). ``phrases * log2(reference length) / letters`` estimates the cross
 entropy in bits a letter; the language with the least wins. Phrases end at word ends, so the counts of a
@@ -13,7 +13,7 @@ learned. Ties go to the language with more labelled documents, then to the first
 rows are judged each for itself; other columns are ignored.
 
 ``placed`` keeps the documents that have a language. A text of another one, or in a script that no automaton has, needs about a phrase a
-letter; ``most_bits`` learns from the labelled sample how far below that labelled texts stay, and texts of ``MIN_LETTERS``
+letter; ``most_bits`` learns from all labelled texts how far below that labelled texts stay, and texts of ``MIN_LETTERS``
 letters or more beyond the middle of the two go as well.
 """
 
@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import held_out, kept_alone, texts
 
 UNKNOWN = "und"
-#: Bounds of the labelled sample: documents and distinct words of each language. All languages are learned: beyond ``FULL_SAMPLES`` of them each
-#: gets a smaller sample, so that the whole stays as large; more than ``MAX_LANGUAGES`` labels are an error.
-SAMPLE_DOCS, SAMPLE_WORDS, FULL_SAMPLES, MAX_LANGUAGES = 200, 8000, 200, 10_000
+#: Bound of the model: distinct words of each language, the most frequent ones of all its documents. All languages are learned: beyond
+#: ``FULL_SAMPLES`` of them each gets fewer words, so that the whole stays as large; more than ``MAX_LANGUAGES`` labels are an error.
+SAMPLE_WORDS, FULL_SAMPLES, MAX_LANGUAGES = 8000, 200, 10_000
 #: Letters that a text needs to be judged foreign.
 MIN_LETTERS = 20
 _RUNS = re.compile(r"[^\W\d_]+").findall
@@ -114,11 +114,11 @@ def _sample_ids(known: DataFrame, sample_docs: int) -> DataFrame:
     return ranked.filter(F.col("r") <= sample_docs).select("lang", "doc_id").distinct()
 
 
-def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS, full_samples: int = FULL_SAMPLES, max_languages: int = MAX_LANGUAGES) -> Reference:
+def learn(docs: DataFrame, sample_docs: int | None = None, sample_words: int = SAMPLE_WORDS, full_samples: int = FULL_SAMPLES, max_languages: int = MAX_LANGUAGES) -> Reference:
     """The references from the documents with a language that are not held out.
 
-    Bounded by the parameters, so the chosen ids may be broadcast and the words come to the driver.
-    The sample takes the documents with the least hash of the id; of their words, the most frequent.
+    Words are counted over all these documents; of each language's the most frequent come to the driver, bounded by the parameters.
+    Only where ``sample_docs`` is given are they counted over that many documents of a language, those with the least hash of the id.
     """
     known = _labelled(docs)
     top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages + 1).collect()
@@ -127,10 +127,11 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = S
     if not top:
         return Reference((), ())
     fewer = max(1, -(-len(top) // full_samples))
-    sample_docs, sample_words = -(-sample_docs // fewer), -(-sample_words // fewer)
-    ids = _sample_ids(known, sample_docs)
+    sample_words = -(-sample_words // fewer)
+    if sample_docs:
+        known = known.join(F.broadcast(_sample_ids(known, -(-sample_docs // fewer))), ["lang", "doc_id"])
     words = (
-        known.join(F.broadcast(ids), ["lang", "doc_id"]).select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("word"))
+        known.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("word"))
         .groupBy("lang", "word").count()
     )
     best = words.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).filter(F.col("r") <= sample_words)
@@ -214,17 +215,14 @@ def identify(docs: DataFrame, reference: Reference, *keep: str) -> DataFrame:
     return source.mapInArrow(run, _ddl(docs.select(*keep)) + ", lang_pred string, score double, bits double")
 
 
-def most_bits(docs: DataFrame, reference: Reference, sample_docs: int = SAMPLE_DOCS) -> float:
-    """The bits a letter from which a text is foreign: midway between the worst text of the labelled sample and a phrase a letter.
+def most_bits(docs: DataFrame, reference: Reference) -> float:
+    """The bits a letter from which a text is foreign: midway between the worst of all labelled texts and a phrase a letter.
 
     Infinite where a labelled text needs that much itself, or nothing was learned."""
     if not reference.languages:
         return math.inf
-    fewer = max(1, -(-len(reference.languages) // FULL_SAMPLES))
-    known = _labelled(docs)
-    sample = known.join(F.broadcast(_sample_ids(known, -(-sample_docs // fewer))), ["lang", "doc_id"])
-    long = identify(sample, reference, "text").filter(F.length(F.regexp_replace("text", r"\P{L}+", "")) >= MIN_LETTERS)
-    worst = long.agg(F.max("bits")).first()[0] or 0.0
+    long = _labelled(docs).filter(F.length(F.regexp_replace("text", r"\P{L}+", "")) >= MIN_LETTERS)
+    worst = identify(long, reference, "doc_id").agg(F.max("bits")).first()[0] or 0.0
     alone = min(math.log2(max(2, len(t))) for t in reference.texts)
     return (worst + alone) / 2 if worst < alone else math.inf
 

@@ -535,6 +535,26 @@ def test_foreign_texts_have_no_place(spark, docs):
     assert {x.doc_id for x in labelled} <= kept
 
 
+def test_threshold_and_words_of_all_labelled_texts(spark):
+    """The last of 400 labelled texts by the hash of the id is an odd one: its words are learned, and the threshold lies above it."""
+    from pyspark.sql import functions as F
+
+    known = spark.range(400).withColumnRenamed("id", "doc_id").filter(~language.held_out(F.col("doc_id")))
+    last = known.orderBy(F.xxhash64("doc_id").desc()).first().doc_id
+    odd = "qxz jvq kwx zqj xvk wjq vzx qkj"
+    text = F.when(F.col("doc_id") == last, odd).otherwise("the house by the river is old and the garden is wide")
+    table = known.select("doc_id", text.alias("text"), F.lit("en").alias("lang"))
+    assert table.count() > 250
+    assert " qxz " in language.learn(table).texts[0]
+    few = language.learn(table, sample_docs=200)
+    assert " qxz " not in few.texts[0]
+    bits = {r.doc_id: r.bits for r in language.identify(table, few).collect()}
+    assert bits[last] == max(bits.values()) > min(bits.values())
+    below = language.most_bits(table, few)
+    assert below > bits[last] or below == float("inf")
+    assert last in {r.doc_id for r in language.placed(table, few, below).collect()}
+
+
 def test_one_kept_table_a_worker(spark, docs):
     """After the encoder has worked, the parser's tasks in the same worker let go of its tables."""
     from ledgerline.llm import common
