@@ -32,8 +32,7 @@ KEPT = 0.5
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    reference = language.learn(docs)
-    return language.placed(docs, reference, language.most_bits(docs, reference))
+    return language.with_language(docs, language.learn(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,8 +26,9 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerline.llm.common import held_out, kept_alone, texts
+from ledgerline.llm.common import held_out, in_slices, kept_alone, save, texts
 
 UNKNOWN = "und"
 #: Bound of the model: distinct words of each language, the most frequent ones of all its documents. All languages are learned: beyond
@@ -157,9 +158,13 @@ class Parser:
 
     def predict(self, text: str) -> tuple[str, float, float]:
         """Language, score, and the least entropy (bits a letter)."""
+        return self.judged(text)[:3]
+
+    def judged(self, text: str) -> tuple[str, float, float, int]:
+        """Language, score, the least entropy (bits a letter), and the number of letters."""
         words = letter_runs(text.lower())
         if not words or not self.languages:
-            return UNKNOWN, 0.0, 0.0
+            return UNKNOWN, 0.0, 0.0, sum(map(len, words))
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
         packed = sum(map(self.known.__getitem__, words))
@@ -168,15 +173,14 @@ class Parser:
         bits = [(packed >> (_FIELD * i) & mask) * b / letters for i, b in enumerate(self.bits)]
         best = min(range(len(bits)), key=lambda i: (bits[i], i))
         if len(bits) == 1:
-            return self.languages[best], 1.0, bits[best]
+            return self.languages[best], 1.0, bits[best], letters
         other = min(b for i, b in enumerate(bits) if i != best)
-        return self.languages[best], other / (bits[best] + other), bits[best]
-
+        return self.languages[best], other / (bits[best] + other), bits[best], letters
 
     def placed(self, text: str, below: float) -> bool:
         """Whether the text has a language: see ``most_bits``."""
-        lang, _, bits = self.predict(text)
-        return lang != UNKNOWN and (bits < below or sum(map(len, letter_runs(text.lower()))) < MIN_LETTERS)
+        lang, _, bits, letters = self.judged(text)
+        return lang != UNKNOWN and (bits < below or letters < MIN_LETTERS)
 
 
 class _Known(dict):
@@ -205,7 +209,7 @@ def identify(docs: DataFrame, reference: Reference, *keep: str) -> DataFrame:
 
     def run(parts):
         parser = _parser(shared.value)
-        for batch in parts:
+        for batch in in_slices(parts):
             found = [parser.predict(t) for t in texts(batch)]
             columns = [batch.column(c) for c in keep]
             for k, kind in enumerate((pa.string(), pa.float64(), pa.float64())):
@@ -221,8 +225,14 @@ def most_bits(docs: DataFrame, reference: Reference) -> float:
     Infinite where a labelled text needs that much itself, or nothing was learned."""
     if not reference.languages:
         return math.inf
-    long = _labelled(docs).filter(F.length(F.regexp_replace("text", r"\P{L}+", "")) >= MIN_LETTERS)
-    worst = identify(long, reference, "doc_id").agg(F.max("bits")).first()[0] or 0.0
+    return _midway(reference, identify(_long(docs), reference, "doc_id").agg(F.max("bits")).first()[0] or 0.0)
+
+
+def _long(docs: DataFrame) -> DataFrame:
+    return _labelled(docs).filter(F.length(F.regexp_replace("text", r"\P{L}+", "")) >= MIN_LETTERS)
+
+
+def _midway(reference: Reference, worst: float) -> float:
     alone = min(math.log2(max(2, len(t))) for t in reference.texts)
     return (worst + alone) / 2 if worst < alone else math.inf
 
@@ -233,11 +243,32 @@ def placed(docs: DataFrame, reference: Reference, below: float = math.inf) -> Da
 
     def run(parts):
         parser = _parser(shared.value)
-        for batch in parts:
+        for batch in in_slices(parts):
             yield batch.filter(pa.array([parser.placed(t, below) for t in texts(batch)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
 
+def with_language(docs: DataFrame, reference: Reference) -> DataFrame:
+    """``placed`` below ``most_bits``, both from one parse of each text, which is saved with the documents."""
+    if not reference.languages:
+        return docs.limit(0)
+    shared = docs.sparkSession.sparkContext.broadcast(reference)
+    bits, few = "own_bits", "own_few"
+    while {bits, few} & set(docs.columns):
+        bits, few = bits + "_", few + "_"
+
+    def run(parts):
+        parser = _parser(shared.value)
+        for batch in in_slices(parts):
+            found = [parser.judged(t) for t in texts(batch)]
+            own = pa.array([None if lang == UNKNOWN else x for lang, _, x, _ in found], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, own, pa.array([n < MIN_LETTERS for *_, n in found], pa.bool_())], names=[*batch.schema.names, bits, few])
+
+    parsed = save(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(bits, T.DoubleType()), T.StructField(few, T.BooleanType())])), "parsed")
+    below = _midway(reference, _long(parsed).agg(F.max(bits)).first()[0] or 0.0)
+    return parsed.filter(F.col(bits).isNotNull() & ((F.col(bits) < below) | F.col(few))).drop(bits, few)
+
+
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bits import may_have
-from ledgerline.llm.common import batches, save, texts
+from ledgerline.llm.common import batches, in_slices, save, texts
 from ledgerline.llm.components import components
 from ledgerline.llm.hot import join_unique
 from ledgerline.llm.shingles import SIZE, mix, shingles
@@ -154,7 +154,7 @@ def grouped_rows(parts: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[t
 def dealt_by(rows: DataFrame, by: list[str], then: list[str], run: Callable, schema: str) -> DataFrame:
     # the work is in the comparisons, not in the bytes: a fixed number of partitions
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(tasks, *by).sortWithinPartitions(*by, *then).mapInArrow(run, schema)
+    return rows.repartition(tasks, *by).sortWithinPartitions(*by, *then).mapInArrow(lambda parts: run(in_slices(parts)), schema)
 
 
 def verified_stars(docs: DataFrame, index: DataFrame, stars: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import batches, kept_alone, save, shared_path, texts
+from ledgerline.llm.common import batches, in_slices, kept_alone, save, shared_path, texts
 
 MAGIC = b"LPL1"
 #: Ids of a block, ids after which a task begins a new file, and the id put after each document.
@@ -257,7 +257,7 @@ def write_files(docs: DataFrame, tokenizer: str, folder: str, planes: str = "bit
         files, base = pafs.FileSystem.from_uri(folder)
         files.create_dir(base, recursive=True)
         code, part, seq, out, name = encoder(tokenizer, kept).encode, TaskContext.get().partitionId(), 0, None, ""
-        for batch in parts:
+        for batch in in_slices(parts):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
                 if out is None:
                     name = f"part-{part:06d}-{seq:05d}-{uuid.uuid4().hex}.lpl"

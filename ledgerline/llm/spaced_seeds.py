@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import batches, texts
+from ledgerline.llm.common import batches, in_slices, texts
 
 #: Found by search: no pattern of up to a fifth of substitutions in 8 words or more escapes all three (the tests go through them).
 MASKS = ("101111", "1110011", "11101001")
@@ -171,7 +171,7 @@ def uncontaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
 
         def run(parts, shared=shared):
             index = Items(shared.value, how.get("masks", MASKS))
-            for batch in parts:
+            for batch in in_slices(parts):
                 clean = [next(index.overlaps(t, how.get("min_words", MIN_WORDS), how.get("min_share", MIN_SHARE), how.get("min_identity", MIN_IDENTITY)), None) is None for t in texts(batch)]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 

@@ -1,7 +1,10 @@
 """The stages over a small table: each one's decision, and the whole run."""
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from ledgerline.llm import language, mixing, planes, queries
+from ledgerline.llm import common, language, mixing, planes, queries, shingle_join
 from ledgerline.llm.common import read, save
 from tests.conftest import SF_SMALL
 from tests.llm.test_operators import DE, docs, linked, rows, same  # noqa: F401
@@ -66,3 +69,38 @@ def test_files_hold_the_mixture_in_its_order(spark):
         place.setdefault(i, []).append(k)
     apart = [b - a for p in place.values() for a, b in zip(p, p[1:])]
     assert len(ids) > 3000 and min(apart) > 100
+
+
+def test_texts_are_parsed_once(spark, docs, monkeypatch):  # noqa: F811
+    """The language stage keeps the rows of ``placed`` below ``most_bits``, and neither of these parses every text again."""
+    reference = language.learn(docs)
+    wanted = language.placed(docs, reference, language.most_bits(docs, reference)).collect()
+    monkeypatch.setattr(language, "identify", None)
+    monkeypatch.setattr(language, "placed", None)
+    got = corpus_pipeline.language_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    same([(r.doc_id, r.text) for r in got.collect()], [(r.doc_id, r.text) for r in wanted])
+    clash = docs.withColumn("own_bits", F.lit(1))
+    assert corpus_pipeline.language_stage(spark, clash, "").columns == clash.columns
+    assert corpus_pipeline.language_stage(spark, docs.withColumn("lang", F.lit(None).cast("string")), "").count() == 0
+
+
+def test_workers_hold_few_rows_and_give_memory_back(monkeypatch):
+    """A batch of 10,000 long texts is never a list of 10,000 strings, and a task's freed memory does not stay with its worker."""
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    batch = pa.RecordBatch.from_pydict({"text": [str(i) for i in range(1201)]})
+    seen = [common.texts(x) for x in common.in_slices(iter([batch, batch.slice(0, 0)]))]
+    assert [len(x) for x in seen] == [500, 500, 201] and [t for x in seen for t in x] == [str(i) for i in range(1201)]
+    assert given == [1]
+
+
+def test_representatives_are_known_by_their_text(spark):
+    """One row of a group stays without a set being made twice; rows without words stay as they are."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(3, text), (3, text), (1, text.upper()), (1, text), (None, None), (None, None), (7, " \t\n\x0b\f\r"), (8, "\u00a0"), (9, "\u00a0"), (10, "é")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in shingle_join.one_of_each(df).collect()]
+    same(got, [(1, text.upper()), (None, None), (None, None), (7, " \t\n\x0b\f\r"), (8, "\u00a0"), (10, "é")])
+    plan = shingle_join.one_of_each(df)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan
