@@ -24,8 +24,15 @@ def bit_table(hashes: DataFrame, column: str, bits: int = BITS) -> DataFrame:
 
 def may_have(rows: DataFrame, hashes: DataFrame, column: str, bits: int = BITS) -> DataFrame:
     """The rows whose ``column`` is among the ``column`` of ``hashes``, and by chance some others."""
+    return told_apart(rows, hashes, column, bits)[0]
+
+
+def told_apart(rows: DataFrame, hashes: DataFrame, column: str, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+    """The rows that ``may_have`` gives, and all others."""
     table = F.broadcast(save(bit_table(hashes, column, bits), "bits"))
     at = _at(column, bits)
     byte = F.conv(F.hex(F.substring("bitmap", (F.floor(at % _PAGE / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    kept = rows.withColumn("page", F.floor(at / _PAGE)).join(table, "page").filter(F.getbit(byte, (at % 8).cast("int")) == 1)
-    return kept.drop("page", "bitmap")
+    has = F.getbit(byte, (at % 8).cast("int")) == 1
+    paged = rows.withColumn("page", F.floor(at / _PAGE))
+    others = paged.join(table, "page", "left").filter(~F.coalesce(has, F.lit(False)))
+    return paged.join(table, "page").filter(has).drop("page", "bitmap"), others.drop("page", "bitmap")

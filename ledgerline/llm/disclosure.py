@@ -27,6 +27,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.bits import may_have, told_apart
 from ledgerline.llm.common import save
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -175,9 +176,17 @@ def _log_chance(both: Column, draws: Column, share: Column) -> Column:
     return -draws * (part * F.log(part / share) + rest)
 
 
+def distinct_texts(docs: DataFrame, of_hash: DataFrame) -> DataFrame:
+    """The text of the documents, copies once. of_hash: h and n_rows. Only texts that may have copies are moved."""
+    read = docs.select(_text_hash(), F.coalesce("text", F.lit("")).alias("text"))
+    copied, once = told_apart(read, of_hash.filter("n_rows > 1"), "h")
+    return once.select("text").unionByName(copied.dropDuplicates(["h"]).select("text"))
+
+
 def disclosing(docs: DataFrame, rows: DataFrame, alpha: float = ALPHA, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """entity, term, disclosure and removed (else generalised) of every term above the thresholds. rows: see ``found``."""
-    n = float(rows.select("h").distinct().count())
+    of_hash = save(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n_rows")), "texts")
+    n = float(of_hash.count())
     texts = rows.filter(F.size("base") > 0).select("h", "base", "words").dropDuplicates(["h"])
     naming = texts.select(F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"), "words")
     entities = naming.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), F.sum(F.size("words")).alias("n_tests"))
@@ -191,10 +200,10 @@ def disclosing(docs: DataFrame, rows: DataFrame, alpha: float = ALPHA, generalis
     pairs = tested.select("entity", F.explode("words").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     pairs = save(pairs.filter(F.col("n_both") >= (1 if tests <= alpha * n else 2)), "pairs")
     wanted = pairs.select("term").distinct()
-    words = docs.select(_text_hash(), F.explode(terms(F.col("text"))).alias("term"))
-    # each term and text once: copies meet before they are counted
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_TERMS else wanted
-    anywhere = words.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    words = distinct_texts(docs, of_hash).select(F.explode(terms(F.col("text"))).alias("term"))
+    if wanted.count() <= BROADCAST_TERMS:  # else all terms are counted: tasks send a count a term, and the join below leaves the others out
+        words = words.join(F.broadcast(wanted), "term", "left_semi")
+    anywhere = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     both, of_term, of_entity = F.col("n_both"), F.col("n_term"), F.col("n_entity")
     ratio = F.log(n * both / (of_term * of_entity)) / F.log(n / of_entity)
     chance = F.least(_log_chance(both, of_entity, of_term / n), _log_chance(both, of_term, of_entity / n))
@@ -206,7 +215,7 @@ def disclosing(docs: DataFrame, rows: DataFrame, alpha: float = ALPHA, generalis
 def marked(docs: DataFrame, told: DataFrame) -> DataFrame:
     """key and found_terms: all occurrences of the disclosing terms.
 
-    A text's words are looked up first; then only the spellings that were found are cut out of it, by a pattern of its own."""
+    A text's words are looked up first; then only the spellings that were found are cut out of it, by a pattern of its own. Texts without any stay where they are."""
     by_term = save(told.groupBy("term").agg(F.max("removed").alias("removed")), "disclosing")
     if by_term.count() <= BROADCAST_TERMS:
         by_term = F.broadcast(by_term)
@@ -216,7 +225,9 @@ def marked(docs: DataFrame, told: DataFrame) -> DataFrame:
     holding = save(each.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("word", "removed"))).alias("own")), "holding")
     # letters and digits only, so nothing is to be escaped
     pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(F.map_keys("own"), "|"), F.lit(r")(?![\p{L}\p{N}])"))
-    hits = read.join(holding, "key").select("key", "own", spans(F.col("text"), pattern).alias("w")).dropDuplicates(["key"])
+    own_hash = F.xxhash64("key").alias("key_hash")
+    held = may_have(read.select("*", own_hash), holding.select(own_hash), "key_hash").drop("key_hash")
+    hits = held.join(holding, "key").select("key", "own", spans(F.col("text"), pattern).alias("w")).dropDuplicates(["key"])
     return hits.select("key", F.transform("w", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.col("own")[s["value"]].alias("removed"))).alias("found_terms"))
 
 

@@ -625,3 +625,22 @@ def test_fourier_matches_one_piece(spark):
     assert (np.diff(score[np.argsort(z @ model.weights)]) >= -1e-9).all() and score.min() >= 0 and score.max() <= 1
     got = {q.doc_id: q.score for q in fourier.scored(stats, model).collect()}
     assert np.allclose([got[i] for i in range(n)], model.score(x))
+
+
+def test_only_copies_move_for_the_corpus_count(spark, monkeypatch):
+    """Each distinct text counts once, and terms are counted where the texts lie: no row a text and term is shuffled, whether terms are broadcast or not."""
+    r = random.Random(5)
+    texts = [f"{' '.join(r.choices([f'common{i}' for i in range(200)], k=12))} once{i}" for i in range(900)] + [None, "", ""]
+    for i in (5, 6, 7):
+        texts[i] = f"Okapi {r.randint(0, 9)} {i} 7@mail.example.org"
+    texts += texts[:40] + [texts[5]] * 30
+    table = spark.createDataFrame(list(enumerate(texts)) + [(None, texts[6]), (3, texts[3])], "doc_id long, text string").repartition(5)
+    of_hash = table.groupBy(disclosure._text_hash()).count().withColumnRenamed("count", "n_rows")
+    assert sorted(x.text for x in disclosure.distinct_texts(table, of_hash).collect()) == sorted({t or "" for t in texts})
+    few = sorted((str(x.doc_id), x.spans) for x in disclosure.private(table).collect())
+    assert sum("term:0:5" in spans for _, spans in few) == 2 * 3 + 30 + 1
+    for most in (disclosure.BROADCAST_TERMS, 0):
+        monkeypatch.setattr(disclosure, "BROADCAST_TERMS", most)
+        assert sorted((str(x.doc_id), x.spans) for x in disclosure.private(table).collect()) == few
+        plan = disclosure.disclosing(table, disclosure.found(table))._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(term#" in plan and not re.search(r"hashpartitioning\((term#\w+, h#|h#\w+, term#)", plan)
