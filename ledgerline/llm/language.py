@@ -24,10 +24,10 @@ import re
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ledgerline.llm.bits import told_apart
 from ledgerline.llm.common import held_out, in_slices, kept_alone, save, texts
 
 UNKNOWN = "und"
@@ -105,7 +105,15 @@ class Reference:
 
 
 def _labelled(docs: DataFrame) -> DataFrame:
-    return docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    return docs.filter(_is_labelled())
+
+
+def _is_labelled() -> Column:
+    return F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
+
+
+def _is_long() -> Column:
+    return F.length(F.regexp_replace("text", r"\P{L}+", "")) >= MIN_LETTERS
 
 
 def _sample_ids(known: DataFrame, sample_docs: int) -> DataFrame:
@@ -225,11 +233,7 @@ def most_bits(docs: DataFrame, reference: Reference) -> float:
     Infinite where a labelled text needs that much itself, or nothing was learned."""
     if not reference.languages:
         return math.inf
-    return _midway(reference, identify(_long(docs), reference, "doc_id").agg(F.max("bits")).first()[0] or 0.0)
-
-
-def _long(docs: DataFrame) -> DataFrame:
-    return _labelled(docs).filter(F.length(F.regexp_replace("text", r"\P{L}+", "")) >= MIN_LETTERS)
+    return _midway(reference, identify(_labelled(docs).filter(_is_long()), reference, "doc_id").agg(F.max("bits")).first()[0] or 0.0)
 
 
 def _midway(reference: Reference, worst: float) -> float:
@@ -250,24 +254,27 @@ def placed(docs: DataFrame, reference: Reference, below: float = math.inf) -> Da
 
 
 def with_language(docs: DataFrame, reference: Reference) -> DataFrame:
-    """``placed`` below ``most_bits``, both from one parse of each text, which is saved with the documents."""
+    """``placed`` below ``most_bits``. All texts are parsed once, for a table of numbers; a second time only those that may go, as a bit table of their hashes tells."""
     if not reference.languages:
         return docs.limit(0)
     shared = docs.sparkSession.sparkContext.broadcast(reference)
-    bits, few = "own_bits", "own_few"
-    while {bits, few} & set(docs.columns):
-        bits, few = bits + "_", few + "_"
+    schema = pa.schema([("h", pa.int64()), ("counts", pa.bool_()), ("bits", pa.float64()), ("letters", pa.int64())])
 
     def run(parts):
         parser = _parser(shared.value)
         for batch in in_slices(parts):
             found = [parser.judged(t) for t in texts(batch)]
-            own = pa.array([None if lang == UNKNOWN else x for lang, _, x, _ in found], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, own, pa.array([n < MIN_LETTERS for *_, n in found], pa.bool_())], names=[*batch.schema.names, bits, few])
-
-    parsed = save(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(bits, T.DoubleType()), T.StructField(few, T.BooleanType())])), "parsed")
-    below = _midway(reference, _long(parsed).agg(F.max(bits)).first()[0] or 0.0)
-    return parsed.filter(F.col(bits).isNotNull() & ((F.col(bits) < below) | F.col(few))).drop(bits, few)
+            bits = pa.array([None if lang == UNKNOWN else x for lang, _, x, _ in found], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("counts"), bits, pa.array([n for *_, n in found], pa.int64())], schema=schema)
+
+    counts = _is_labelled() & _is_long()
+    read = docs.select("text", F.xxhash64("text").alias("h"), F.coalesce(counts, F.lit(False)).alias("counts"))
+    parsed = save(read.mapInArrow(run, "h long, counts boolean, bits double, letters long"), "parsed")
+    below = _midway(reference, parsed.filter("counts").agg(F.max("bits")).first()[0] or 0.0)
+    gone = parsed.filter(F.col("bits").isNull() | ((F.col("bits") >= below) & (F.col("letters") >= MIN_LETTERS))).select("h")
+    # the row goes along as one struct, so that none of its columns can clash with the hash
+    may, stay = told_apart(docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("h")), gone, "h")
+    return stay.select("row.*").unionByName(placed(may.select("row.*"), reference, below))
 
 
 def _ddl(df: DataFrame) -> str:
